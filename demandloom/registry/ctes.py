@@ -218,7 +218,7 @@ SELECT *, row_number() OVER (ORDER BY order_month, product_category_name) - 1 AS
 FROM labelled
 """)
 
-define("positional", "numbered", """
+define("by_position", "numbered", """
 SELECT *, CASE WHEN position < floor(n_all * 0.8) THEN 'train' ELSE 'test' END AS split FROM numbered
 """)
 

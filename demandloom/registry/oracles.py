@@ -486,7 +486,7 @@ ORACLES["latest_per_category"] = sql("monthly", f"""
 SELECT {KEYS}, demand, total_sales FROM monthly
 QUALIFY row_number() OVER (PARTITION BY product_category_name ORDER BY order_month DESC) = 1
 """)
-ORACLES["positional_split"] = sql("positional", f"SELECT {KEYS}, position, split, demand_next_month FROM positional")
+ORACLES["positional_split"] = sql("by_position", f"SELECT {KEYS}, position, split, demand_next_month FROM by_position")
 ORACLES["last_k_months_split"] = sql("dated", f"SELECT {KEYS}, split, demand_next_month FROM dated")
 ORACLES["sample_first_category"] = sql("demand_labelled", """
 SELECT * FROM demand_labelled WHERE product_category_name = (SELECT min(product_category_name) FROM demand_labelled)
@@ -504,8 +504,8 @@ FROM f_items
 
 # ---- naive models and metrics --------------------------------------------
 
-define("pos_train", "positional", "SELECT * FROM positional WHERE split = 'train'")
-define("pos_test", "positional", "SELECT * FROM positional WHERE split = 'test'")
+define("pos_train", "by_position", "SELECT * FROM by_position WHERE split = 'train'")
+define("pos_test", "by_position", "SELECT * FROM by_position WHERE split = 'test'")
 define("date_train", "dated", "SELECT * FROM dated WHERE split = 'train'")
 define("date_test", "dated", "SELECT * FROM dated WHERE split = 'test'")
 
