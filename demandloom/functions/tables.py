@@ -52,8 +52,13 @@ def left_join_by_key(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 
 def fill_numeric_nulls(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """0 for every NULL or NaN in the numeric columns."""
-    return df.fillna(0, subset=list(columns) if columns is not None else numeric_columns(df))
+    """0 for every NULL or NaN in the numeric columns.
+
+    Numeric ids stay as they are: they have no nulls, and a key wrapped in an
+    expression would hide its uniqueness and partitioning from the optimizer.
+    """
+    chosen = columns if columns is not None else [c for c in numeric_columns(df) if not c.endswith("_id")]
+    return df.fillna(0, subset=list(chosen)) if chosen else df
 
 
 def with_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:

@@ -16,22 +16,30 @@ DISTINCT_COUNTS = {
 }
 
 
-def _distinct(c: str, cfg: FeatureConfig) -> Column:
-    return F.approx_count_distinct(c) if cfg.approx_distinct else F.count_distinct(c)
+def distinct_counts(items: DataFrame) -> DataFrame:
+    """Exact distinct products, orders, customers and sellers per month and category.
+
+    Counting shuffles on the counted value as well as the group, so that a hot
+    category spreads over all tasks.
+    """
+    return items.groupBy(*KEYS).agg(*[F.count_distinct(c).alias(name) for name, c in DISTINCT_COUNTS.items()])
 
 
 def monthly_category_aggregate(items: DataFrame, cfg: FeatureConfig = DEFAULT_CONFIG) -> DataFrame:
     """Demand, sales, payment, review and delivery measures per month and category.
 
     Partial aggregation reduces a hot category to one row per task before the
-    shuffle. The exact distinct counts shuffle on the counted value as well, so
-    they spread over all tasks too.
+    shuffle. The exact distinct counts are a second, narrow aggregation: in one
+    aggregation with the measures, every wide row would be repeated once per
+    counted column. Both come out partitioned by the keys, so joining them
+    needs no shuffle, and a reader that uses none of the counts drops them.
     """
     shares = [f"pct_{t}" for t in PAYMENT_TYPES] + [f"review_pct_{k}" for k in REVIEW_SCORES]
     keyed = items.filter(F.col(MONTH).isNotNull() & F.col(CATEGORY).isNotNull())
-    return keyed.groupBy(*KEYS).agg(
+    sketches = [F.approx_count_distinct(c).alias(name) for name, c in DISTINCT_COUNTS.items()]
+    measures = keyed.groupBy(*KEYS).agg(
         F.count("product_id").alias("demand"),
-        *[_distinct(c, cfg).alias(name) for name, c in DISTINCT_COUNTS.items()],
+        *(sketches if cfg.approx_distinct else []),
         F.sum("price").alias("total_sales"),
         F.avg("price").alias("avg_price"),
         F.stddev_samp("price").alias("price_std"),
@@ -52,6 +60,9 @@ def monthly_category_aggregate(items: DataFrame, cfg: FeatureConfig = DEFAULT_CO
         F.avg("is_delayed").alias("pct_delayed_orders"),
         *[F.avg(c).alias(f"{c}_mean") for c in shares if c in items.columns],
     )
+    if cfg.approx_distinct:
+        return measures
+    return measures.join(distinct_counts(keyed), list(KEYS), "left")
 
 
 def monthly_demand(items: DataFrame, weight: str | None = None) -> DataFrame:

@@ -4,20 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from demandloom.config import CATEGORY
 
 
+def stat_columns() -> dict[str, Column]:
+    return {
+        "category_avg_demand": F.avg("demand"),
+        "category_std_demand": F.stddev_samp("demand"),
+        "category_median_demand": F.median("demand"),
+        "category_max_demand": F.max("demand"),
+        "category_avg_price": F.avg("avg_price"),
+        "category_std_price": F.stddev_samp("avg_price"),
+        "category_avg_review": F.avg("avg_review_score"),
+    }
+
+
 def category_stats(df: DataFrame) -> DataFrame:
-    return df.groupBy(CATEGORY).agg(
-        F.avg("demand").alias("category_avg_demand"),
-        F.stddev_samp("demand").alias("category_std_demand"),
-        F.median("demand").alias("category_median_demand"),
-        F.max("demand").alias("category_max_demand"),
-        F.avg("avg_price").alias("category_avg_price"),
-        F.stddev_samp("avg_price").alias("category_std_price"),
-        F.avg("avg_review_score").alias("category_avg_review"),
-    )
+    """One row of demand, price and review statistics per category."""
+    return df.groupBy(CATEGORY).agg(*[value.alias(name) for name, value in stat_columns().items()])
 
 
 def _versus(c: str, mean: str) -> Column:
@@ -29,12 +35,15 @@ def _z_score(c: str, mean: str, std: str) -> Column:
 
 
 def category_features(df: DataFrame) -> DataFrame:
-    """The category statistics joined back, with relative values and z-scores.
+    """The category statistics on every row, with relative values and z-scores.
 
-    The statistics cover the whole series, later months included.
+    The statistics cover the whole series, later months included. They are
+    window aggregates on the partitioning the series features already use, so
+    the table is neither shuffled again nor computed twice for a join back.
     """
-    joined = df.join(category_stats(df), CATEGORY, "left")
-    return joined.withColumns(
+    whole = Window.partitionBy(CATEGORY)
+    described = df.withColumns({name: value.over(whole) for name, value in stat_columns().items()})
+    return described.withColumns(
         {
             "demand_vs_category_avg": _versus("demand", "category_avg_demand"),
             "price_vs_category_avg": _versus("avg_price", "category_avg_price"),

@@ -32,7 +32,7 @@ def regressors(cfg: FeatureConfig = DEFAULT_CONFIG) -> dict:
     # Model sizes, depths and learning rate.
     return {
         "random_forest": RandomForestRegressor(
-            numTrees=50, maxDepth=10, seed=cfg.seed, featureSubsetStrategy="all", maxBins=256, **common
+            numTrees=50, maxDepth=10, seed=cfg.seed, featureSubsetStrategy="all", maxBins=256, maxMemoryInMB=1024, **common
         ),
         "linear_regression": LinearRegression(**common),
         "gradient_boosting": GBTRegressor(maxIter=50, maxDepth=8, stepSize=0.1, seed=cfg.seed, **common),
@@ -77,11 +77,15 @@ def train_from_table(
 ) -> Training:
     """Fit the naive and the named models on the first rows, score them on the rest.
 
-    The split table is written once to shared storage, since every fit reads it
-    several times. A model that fails keeps its place in the metrics with NULL
+    The table is written to shared storage before it is numbered and again
+    after, since the split and every fit read it several times. A model that fails keeps its place in the metrics with NULL
     values and status ``failed``.
     """
-    split = materialize(positional_split(prepare(features), cfg, order_by), "train")
+    table = materialize(prepare(features), "features")
+    split = positional_split(table, cfg, order_by)
+    # Tree and linear fits are bound by computation, so the small table is spread over the cores.
+    tasks = min(table.sparkSession.sparkContext.defaultParallelism, table.count() // 500 + 1)
+    split = materialize(split.repartition(tasks), "split")
     train, test = train_part(split), test_part(split)
     predicted = predict_all(test, train, NAIVE_MODELS, order_by)
     scored = list(NAIVE_MODELS)

@@ -150,7 +150,8 @@ def histogram(df: DataFrame, c: str, bins: int) -> DataFrame:
     value gets the range of half a unit on each side of it.
     """
     value = F.col(c).cast("double")
-    low, high = df.select(F.min(value)).scalar(), df.select(F.max(value)).scalar()
+    bounds = df.select(F.struct(F.min(value).alias("low"), F.max(value).alias("high"))).scalar()
+    low, high = bounds["low"], bounds["high"]
     half = F.when(low == high, 0.5).otherwise(0.0)
     first, last = low - half, high + half
     step = (last - first) / bins

@@ -34,7 +34,7 @@ from demandloom.operators import (
 )
 from demandloom.plans import features, training
 from demandloom.schemas import SCHEMAS, with_id_type
-from demandloom.session import scratch_path
+from demandloom.session import materialize, scratch_path
 from demandloom.sources import files, views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,11 @@ def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return final.final_clean(_series_input(spark, sf_dir).withColumns(series.target()))
 
 
+def _stored(table: DataFrame) -> DataFrame:
+    """The small monthly table, written once because the query reads it several times."""
+    return materialize(table, "monthly")
+
+
 def _star_clean_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = views.source_views(spark, sf_dir)
     return star.keep_clean(
@@ -161,7 +166,7 @@ def sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def snapshot_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second snapshot replaces the first for readers; the first stays readable."""
     root = scratch_path(spark, "snapshots")
-    table = _sales(spark, sf_dir)
+    table = _stored(_sales(spark, sf_dir))
     first = files.write_snapshot(table, root)
     files.write_snapshot(update.append_months(files.read_snapshot(spark, root), update.next_month_rows(table)), root)
     newest = files.read_snapshot(spark, root).withColumn("snapshot", F.lit("newest"))
@@ -307,24 +312,24 @@ def semi_join_valid_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def top_category_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.top_category_series(_demand_labelled(spark, sf_dir))
+    return profile.top_category_series(_stored(_demand_labelled(spark, sf_dir)))
 
 
 @query
 def new_categories_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = split.positional_split(_labelled(spark, sf_dir), order_by=(CATEGORY, DATE))
+    parts = split.positional_split(_stored(_labelled(spark, sf_dir)), order_by=(CATEGORY, DATE))
     return profile.new_categories(split.test_part(parts), split.train_part(parts))
 
 
 @query
 def new_categories_except(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = split.positional_split(_labelled(spark, sf_dir), order_by=(CATEGORY, DATE))
+    parts = split.positional_split(_stored(_labelled(spark, sf_dir)), order_by=(CATEGORY, DATE))
     return profile.new_categories_except(split.test_part(parts), split.train_part(parts))
 
 
 @query
 def future_month_scaffold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return update.future_months(_monthly(spark, sf_dir), months=3)
+    return update.future_months(_stored(_monthly(spark, sf_dir).select(*KEYS)), months=3)
 
 
 @query
@@ -482,7 +487,7 @@ def top_categories_by_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def demand_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _demand_labelled(spark, sf_dir)
+    df = _stored(_demand_labelled(spark, sf_dir))
     parts = [profile.histogram(df, c, bins) for c in ("monthly_demand_units", TARGET) for bins in (30, 50)]
     result = parts[0].withColumn("bins", F.lit(30))
     for part, bins in zip(parts[1:], (50, 30, 50)):
@@ -492,13 +497,13 @@ def demand_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def split_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = profile.split_distribution(split.last_months_split(_labelled(spark, sf_dir)))
+    table = profile.split_distribution(split.last_months_split(_stored(_labelled(spark, sf_dir))))
     return rounded(table, 4, ["demand_std", "target_std"])
 
 
 @query
 def split_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = _series_input(spark, sf_dir).withColumns(series.target())
+    table = _stored(_series_input(spark, sf_dir).withColumns(series.target()).select(*KEYS, DATE, TARGET))
     return profile.split_completeness(split.last_months_split(table))
 
 
@@ -550,18 +555,18 @@ def latest_per_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def positional_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = split.positional_split(_labelled(spark, sf_dir))
+    parts = split.positional_split(_stored(_labelled(spark, sf_dir)))
     return parts.select(*KEYS, "position", "split", TARGET)
 
 
 @query
 def last_k_months_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split.last_months_split(_labelled(spark, sf_dir)).select(*KEYS, "split", TARGET)
+    return split.last_months_split(_stored(_labelled(spark, sf_dir))).select(*KEYS, "split", TARGET)
 
 
 @query
 def sample_first_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.sample_first_category(_demand_labelled(spark, sf_dir))
+    return profile.sample_first_category(_stored(_demand_labelled(spark, sf_dir)))
 
 
 @query
@@ -629,12 +634,12 @@ def sanitize_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _positional(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    parts = split.positional_split(_labelled(spark, sf_dir).select(*KEYS, DATE, TARGET))
+    parts = split.positional_split(_stored(_labelled(spark, sf_dir).select(*KEYS, DATE, TARGET)))
     return split.test_part(parts), split.train_part(parts)
 
 
 def _by_date(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    parts = split.last_months_split(_labelled(spark, sf_dir).select(*KEYS, DATE, TARGET))
+    parts = split.last_months_split(_stored(_labelled(spark, sf_dir).select(*KEYS, DATE, TARGET)))
     return split.test_part(parts), split.train_part(parts)
 
 
@@ -719,13 +724,13 @@ UPDATE_COLUMNS = (MONTH, CATEGORY, DATE, "demand", "total_sales", TARGET)
 
 @query
 def update_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    existing = _labelled(spark, sf_dir).select(*UPDATE_COLUMNS)
+    existing = _stored(_labelled(spark, sf_dir).select(*UPDATE_COLUMNS))
     return update.append_months(existing, update.next_month_rows(existing))
 
 
 @query
 def update_recompute(spark: SparkSession, sf_dir: str) -> DataFrame:
-    monthly = _monthly(spark, sf_dir)
+    monthly = _stored(_monthly(spark, sf_dir))
     table = training.updated_features(monthly, update.next_month_rows(monthly))
     columns = ["demand", TARGET, "demand_lag_1", "demand_lag_12", "ma_3", "demand_growth_1m", "cumulative_demand_year"]
     return rounded(table.select(*KEYS, *columns), 4, ["ma_3"])
@@ -754,7 +759,7 @@ QUERIES["gbt_predictions"] = _predictions("gradient_boosting")
 @query
 def train_from_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Training from an updated table whose appended rows still hold nulls."""
-    table = _features(spark, sf_dir)
+    table = _stored(_features(spark, sf_dir))
     appended = update.append_months(table, update.next_month_rows(table).drop("demand_lag_1"))
     trained = models.train_from_table(appended, ("linear_regression",), order_by=(CATEGORY, DATE))
     return trained.metrics
@@ -771,7 +776,7 @@ def train_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def model_persist(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions of the stored best model after loading it again."""
     root = scratch_path(spark, "models")
-    table = _features(spark, sf_dir)
+    table = _stored(_features(spark, sf_dir))
     training.train_and_save(table, root, names=("linear_regression",))
     loaded = files.load_model(f"{root}/model_latest")
     return models.predict(loaded, models.prepare(table), "prediction").select(*KEYS, TARGET, "prediction")

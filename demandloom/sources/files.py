@@ -62,8 +62,12 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_table(df: DataFrame, path: str, partition_by: str = MONTH) -> None:
-    """Parquet, one folder per month; rows of a month are brought together before writing."""
-    df.repartition(partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
+    """Parquet, one folder per month.
+
+    The rebalance hint brings the rows of a month together for few files, and
+    splits a month that is too large for one task.
+    """
+    df.hint("rebalance", F.col(partition_by)).write.mode("overwrite").partitionBy(partition_by).parquet(path)
 
 
 def read_csv_like(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
