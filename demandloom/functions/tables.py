@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from demandloom.functions.scalar import numeric_columns
 
@@ -24,6 +25,11 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ())
     return winners.select(*picked)
 
 
+def row_groups(df: DataFrame) -> DataFrame:
+    """Distinct rows with their number of copies; copies combine before the shuffle."""
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+
+
 def join_by_key(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Join a table with possibly hot keys (left) to one with few rows per key (right).
 
@@ -61,6 +67,13 @@ def fill_numeric_nulls(df: DataFrame, columns: Sequence[str] | None = None) -> D
     return df.fillna(0, subset=list(chosen)) if chosen else df
 
 
+def zero_unusable(df: DataFrame) -> DataFrame:
+    """0 for every NULL, NaN and infinity in the numeric columns, ids excepted."""
+    fractional = [f.name for f in df.schema if isinstance(f.dataType, T.FractionalType)]
+    infinities = {float("inf"): 0.0, -float("inf"): 0.0}
+    return fill_numeric_nulls(df.replace(infinities, subset=fractional) if fractional else df)
+
+
 def with_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
     """Add each missing column with its default value; existing columns stay."""
     missing = {name: F.lit(value) for name, value in defaults.items() if name not in df.columns}

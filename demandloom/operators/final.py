@@ -4,20 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from demandloom.config import TARGET
-from demandloom.functions.scalar import finite_or_zero, numeric_columns
-from demandloom.functions.tables import fill_numeric_nulls
+from demandloom.functions.scalar import numeric_columns
+from demandloom.functions.tables import zero_unusable
 
 
 def final_clean(df: DataFrame, target: str = TARGET) -> DataFrame:
     """Labelled rows only; nulls, NaN and infinities become 0."""
-    labelled = df.filter(F.col(target).isNotNull())
-    fractional = {
-        f.name: finite_or_zero(f.name) for f in df.schema if isinstance(f.dataType, T.FractionalType)
-    }
-    return fill_numeric_nulls(labelled.withColumns(fractional) if fractional else labelled)
+    return zero_unusable(df.filter(F.col(target).isNotNull()))
 
 
 def constant_columns(df: DataFrame) -> DataFrame:

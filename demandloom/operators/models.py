@@ -9,11 +9,10 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from demandloom.config import DEFAULT_CONFIG, KEYS, NON_FEATURES, TARGET, FeatureConfig
-from demandloom.functions.scalar import finite_or_zero, numeric_columns
-from demandloom.functions.tables import fill_numeric_nulls
+from demandloom.functions.scalar import numeric_columns
+from demandloom.functions.tables import zero_unusable
 from demandloom.operators.metrics import best_model, model_metrics, stack_predictions
 from demandloom.operators.naive import NAIVE_MODELS, predict_all
 from demandloom.operators.split import positional_split, test_part, train_part
@@ -39,14 +38,6 @@ def regressors(cfg: FeatureConfig = DEFAULT_CONFIG) -> dict:
     }
 
 
-def prepare(features: DataFrame) -> DataFrame:
-    """Nulls to 0 in features and target, as training from a full table requires."""
-    doubles = {
-        f.name: finite_or_zero(f.name) for f in features.schema if isinstance(f.dataType, T.FractionalType)
-    }
-    return fill_numeric_nulls(features.withColumns(doubles) if doubles else features)
-
-
 def fit(train: DataFrame, name: str, cfg: FeatureConfig = DEFAULT_CONFIG) -> PipelineModel:
     assembler = VectorAssembler(inputCols=feature_names(train), outputCol="features")
     return Pipeline(stages=[assembler, regressors(cfg)[name]]).fit(train)
@@ -81,7 +72,7 @@ def train_from_table(
     after, since the split and every fit read it several times. A model that fails keeps its place in the metrics with NULL
     values and status ``failed``.
     """
-    table = materialize(prepare(features), "features")
+    table = materialize(zero_unusable(features), "features")
     split = positional_split(table, cfg, order_by)
     # Tree and linear fits are bound by computation, so the small table is spread over the cores.
     tasks = min(table.sparkSession.sparkContext.defaultParallelism, table.count() // 500 + 1)

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from demandloom.config import CATEGORY, DATE, MONTH, TARGET
+from demandloom.config import CATEGORY, MONTH, TARGET
+from demandloom.functions.tables import join_by_key, row_groups
 
 
 def _missing(df: DataFrame, c: str) -> Column:
@@ -18,11 +19,6 @@ def _missing(df: DataFrame, c: str) -> Column:
     return value.isNull()
 
 
-def _row_groups(df: DataFrame) -> DataFrame:
-    """Distinct rows with their number of copies; copies combine before the shuffle."""
-    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
-
-
 def _nulls_per_row(df: DataFrame) -> Column:
     return sum((_missing(df, c).cast("int") for c in df.columns), F.lit(0))
 
@@ -39,7 +35,7 @@ def data_quality(df: DataFrame, name: str) -> DataFrame:
     rows = F.coalesce(F.sum(copies), F.lit(0))
     nulls = F.coalesce(F.sum(_nulls_per_row(df) * copies), F.lit(0))
     return (
-        _row_groups(df)
+        row_groups(df)
         .agg(
             rows.alias("n_rows"),
             nulls.alias("nulls_total"),
@@ -212,8 +208,6 @@ def restore_category(df: DataFrame, products: DataFrame, default: str = "unknown
     if CATEGORY in df.columns:
         return df
     if CATEGORY in products.columns:
-        from demandloom.functions.tables import join_by_key
-
         mapping = products.select("product_id", CATEGORY).distinct()
         return join_by_key(df, mapping, "product_id", "left")
     return df.withColumn(CATEGORY, F.lit(default))

@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 
 from demandloom.config import CATEGORY, KEYS, MONTH
 from demandloom.functions.scalar import flag, floored_days, month_label, parse_number
-from demandloom.functions.tables import join_by_key, left_join_by_key
+from demandloom.functions.tables import join_by_key, left_join_by_key, row_groups
 
 WEIGHT = "repeats"
 
@@ -105,6 +105,86 @@ def retention_report(sources: dict[str, DataFrame], orders_clean: DataFrame, pro
     )
 
 
+def _part(df: DataFrame, name: str, **totals: Column) -> DataFrame:
+    """Rows, distinct rows and nulls of one table per order id, and any further totals."""
+    values = [c for c in df.columns if c != "order_id"]
+    nulls = sum((F.col(c).isNull().cast("long") for c in values), F.lit(0))
+    copies = F.col("_copies")
+    return (
+        row_groups(df)
+        .groupBy("order_id")
+        .agg(
+            F.sum(copies).alias(f"{name}_rows"),
+            F.count(F.lit(1)).alias(f"{name}_distinct"),
+            F.sum(nulls * copies).alias(f"{name}_nulls"),
+            *[F.sum(F.when(condition, copies).otherwise(0)).alias(c) for c, condition in totals.items()],
+        )
+    )
+
+
+def star_quality(
+    sources: dict[str, DataFrame],
+    name: str,
+    orders_clean: DataFrame | None = None,
+    products_clean: DataFrame | None = None,
+) -> DataFrame:
+    """``profile.data_quality`` of the star join, or of its cleaned rows.
+
+    The star rows of an order are all combinations of the order's rows in the
+    four tables, so their number, their distinct number and their nulls follow
+    from those of each table. Nothing larger than the sources is shuffled.
+    """
+    sold = join_by_key(sources["items"], sources["products"], "product_id", "left")
+    cleaned = orders_clean is not None and products_clean is not None
+    if cleaned:
+        sold = keep_clean(sold, orders_clean, products_clean)
+    tables = {"orders": sources["orders"], "items": sold, "reviews": sources["reviews"], "payments": sources["payments"]}
+    flags = {"bad_prices": F.col("price") <= 0, "bad_freights": F.col("freight_value") < 0}
+    joined = _part(tables["orders"], "orders")
+    joined = joined.join(_part(tables["items"], "items", **flags), "order_id", "inner" if cleaned else "left")
+    for other in ("reviews", "payments"):
+        joined = joined.join(_part(tables[other], other), "order_id", "left")
+
+    def of(table: str, what: str) -> Column:
+        absent = len(tables[table].columns) - 1 if what == "nulls" else 1
+        return F.coalesce(F.col(f"{table}_{what}"), F.lit(absent).cast("long"))
+
+    def combined(what: str, replace: str | None = None, by: Column | None = None) -> Column:
+        result = F.lit(1).cast("long")
+        for table in tables:
+            result = result * (by if table == replace else of(table, what))
+        return result
+
+    def total(value: Column) -> Column:
+        return F.coalesce(F.sum(value), F.lit(0).cast("long"))
+
+    width = sum(len(t.columns) for t in tables.values()) - 3
+    nulls = sum((combined("rows", t, of(t, "nulls")) for t in tables), F.lit(0))
+    counts = joined.agg(
+        total(combined("rows")).alias("n_rows"),
+        total(nulls).alias("nulls_total"),
+        total(combined("distinct")).alias("_distinct"),
+        total(combined("rows", "items", F.coalesce("bad_prices", F.lit(0)))).alias("invalid_prices"),
+        total(combined("rows", "items", F.coalesce("bad_freights", F.lit(0)))).alias("negative_freights"),
+    )
+    return counts.select(
+        F.lit(name).alias("dataset"),
+        "n_rows",
+        "nulls_total",
+        F.try_divide(F.col("nulls_total") * 100, F.col("n_rows") * width).alias("nulls_pct"),
+        (F.col("n_rows") - F.col("_distinct")).alias("duplicate_rows"),
+        "invalid_prices",
+        "negative_freights",
+    )
+
+
+def compare_star_quality(
+    sources: dict[str, DataFrame], orders_clean: DataFrame, products_clean: DataFrame
+) -> DataFrame:
+    before = star_quality(sources, "original")
+    return before.unionByName(star_quality(sources, "clean", orders_clean, products_clean))
+
+
 def _weighted_mean(total: Column, weight: Column) -> Column:
     return F.try_divide(F.sum(total), F.sum(weight))
 

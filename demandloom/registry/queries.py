@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from demandloom.config import CATEGORY, DATE, KEYS, MONTH, TARGET
 from demandloom.functions import series as fs
 from demandloom.functions.scalar import clamp_non_negative, finite_or_zero, normalize_category
-from demandloom.functions.tables import fill_numeric_nulls, with_defaults
+from demandloom.functions.tables import fill_numeric_nulls, with_defaults, zero_unusable
 from demandloom.operators import (
     aggregates,
     calendar,
@@ -412,13 +412,11 @@ def target_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def data_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = views.source_views(spark, sf_dir)
-    before = star.star_left_join(sources)
-    after = cleaning.clean_combined(
-        before,
+    return star.compare_star_quality(
+        sources,
         cleaning.clean_orders(sources["orders"]),
         cleaning.clean_products(sources["products"], dashes=True),
     )
-    return profile.compare_quality(before, after)
 
 
 @query
@@ -711,7 +709,8 @@ def round_features(df: DataFrame) -> DataFrame:
         *calendar.cycle_columns(), "demand_vs_category_avg", "price_vs_category_avg", "review_vs_category_avg",
         "demand_z_score", "price_z_score",
     ]
-    return df.withColumns({**{c: F.round(c, 4) for c in four}, **{c: F.round(c, 6) for c in six}})
+    digits = {**dict.fromkeys(four, 4), **dict.fromkeys(six, 6)}
+    return df.selectExpr(*[f"round({c}, {digits[c]}) AS {c}" if c in digits else c for c in df.columns])
 
 
 @query
@@ -779,4 +778,4 @@ def model_persist(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _stored(_features(spark, sf_dir))
     training.train_and_save(table, root, names=("linear_regression",))
     loaded = files.load_model(f"{root}/model_latest")
-    return models.predict(loaded, models.prepare(table), "prediction").select(*KEYS, TARGET, "prediction")
+    return models.predict(loaded, zero_unusable(table), "prediction").select(*KEYS, TARGET, "prediction")
