@@ -31,7 +31,7 @@ def regressors(cfg: FeatureConfig = DEFAULT_CONFIG) -> dict:
     # Model sizes, depths and learning rate.
     return {
         "random_forest": RandomForestRegressor(
-            numTrees=50, maxDepth=10, seed=cfg.seed, featureSubsetStrategy="all", maxBins=256, maxMemoryInMB=1024, **common
+            numTrees=50, maxDepth=10, seed=cfg.seed, featureSubsetStrategy="all", maxBins=256, maxMemoryInMB=128, **common
         ),
         "linear_regression": LinearRegression(**common),
         "gradient_boosting": GBTRegressor(maxIter=50, maxDepth=8, stepSize=0.1, seed=cfg.seed, **common),
