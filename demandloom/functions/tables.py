@@ -57,6 +57,18 @@ def left_join_by_key(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return matched.select(*columns).unionByName(unmatched, allowMissingColumns=True).select(*columns)
 
 
+def spread_by(df: DataFrame, key: str) -> DataFrame:
+    """Partition a small table by ``key`` over the cores for windows on that key.
+
+    The windows need this exchange anyway. Named with a number of partitions it
+    is not merged down to the few that the table's size in bytes would suggest,
+    while computing a hundred window columns is what costs time here.
+    """
+    spark = df.sparkSession
+    tasks = min(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(tasks, key)
+
+
 def fill_numeric_nulls(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """0 for every NULL or NaN in the numeric columns.
 

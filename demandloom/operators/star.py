@@ -16,6 +16,7 @@ from pyspark.sql.window import Window
 from demandloom.config import CATEGORY, KEYS, MONTH
 from demandloom.functions.scalar import flag, floored_days, month_label, parse_number
 from demandloom.functions.tables import join_by_key, left_join_by_key, row_groups
+from demandloom.operators.aggregates import distinct_counts
 
 WEIGHT = "repeats"
 
@@ -185,55 +186,49 @@ def compare_star_quality(
     return before.unionByName(star_quality(sources, "clean", orders_clean, products_clean))
 
 
-def _weighted_mean(total: Column, weight: Column) -> Column:
-    return F.try_divide(F.sum(total), F.sum(weight))
+# Measures whose deviation over the repeated rows is wanted: prefix -> column.
+SPREAD = {"price": "price", "days": "delivery_time_days"}
 
 
-def _merged_std(prefix: str) -> Column:
-    """Sample deviation from group sizes, means and variances (see ``_spread``)."""
-    size = F.sum(f"{prefix}_n")
-    within = F.sum(F.col(f"{prefix}_n") * F.col(f"{prefix}_var"))
-    between = F.sum(F.col(f"{prefix}_n") * F.pow(F.col(f"{prefix}_mean") - F.col(f"{prefix}_centre"), 2))
-    return F.when(size > 1, F.sqrt((within + between) / (size - 1)))
-
+def _summaries() -> list[Column]:
+    """Weight, mean and variance of each spread measure inside one repeat count."""
+    return [
+        column
+        for name, c in SPREAD.items()
+        for column in (
+            (F.count(c) * F.col(WEIGHT)).alias(f"{name}_n"),
+            F.avg(c).alias(f"{name}_mean"),
+            F.var_pop(c).alias(f"{name}_var"),
+        )
+    ]
 
-def _spread(items: DataFrame) -> DataFrame:
-    """Price and delivery-time deviation with every row repeated.
 
-    Rows are first summarised per repeat count with Spark's own stable
-    variance; the summaries are then merged around the common mean. The window
-    runs over those summaries only.
-    """
-    measures = {"price": "price", "days": "delivery_time_days"}
-    summary = items.groupBy(*KEYS, WEIGHT).agg(
-        *[
-            column
-            for name, c in measures.items()
-            for column in (
-                (F.count(c) * F.col(WEIGHT)).alias(f"{name}_n"),
-                F.avg(c).alias(f"{name}_mean"),
-                F.var_pop(c).alias(f"{name}_var"),
-            )
-        ]
-    )
+def _centres() -> dict[str, Column]:
+    """Common mean of the summaries of a month and category."""
     group = Window.partitionBy(*KEYS)
-    centred = summary.withColumns(
-        {
-            f"{name}_centre": F.try_divide(
-                F.sum(F.col(f"{name}_n") * F.col(f"{name}_mean")).over(group),
-                F.sum(F.when(F.col(f"{name}_mean").isNotNull(), F.col(f"{name}_n"))).over(group),
-            )
-            for name in measures
-        }
-    )
-    return centred.groupBy(*KEYS).agg(
-        _merged_std("price").alias("price_std"),
-        _merged_std("days").alias("delivery_time_days_std"),
-    )
+    return {
+        f"{name}_centre": F.try_divide(
+            F.sum(F.col(f"{name}_n") * F.col(f"{name}_mean")).over(group), F.sum(f"{name}_n").over(group)
+        )
+        for name in SPREAD
+    }
+
+
+def _merged_std(name: str) -> Column:
+    """Sample deviation from the summaries: variance within plus distance of the means."""
+    size = F.sum(f"{name}_n")
+    within = F.sum(F.col(f"{name}_n") * F.col(f"{name}_var"))
+    between = F.sum(F.col(f"{name}_n") * F.pow(F.col(f"{name}_mean") - F.col(f"{name}_centre"), 2))
+    return F.when(size > 1, F.sqrt((within + F.coalesce(between, F.lit(0.0))) / (size - 1)))
 
 
 def monthly_aggregate_fanout(items: DataFrame) -> DataFrame:
-    """The wide monthly aggregate as the star join would give it, from ``star_items`` rows."""
+    """The wide monthly aggregate as the star join would give it, from ``star_items`` rows.
+
+    Items are summarised per month, category and repeat count with Spark's own
+    stable variance; the few summaries of a month and category are then merged
+    around their common mean.
+    """
     timed = items.withColumns(
         {
             "delivery_time_days": floored_days("order_delivered_customer_date", "order_purchase_timestamp"),
@@ -243,34 +238,46 @@ def monthly_aggregate_fanout(items: DataFrame) -> DataFrame:
     timed = timed.filter(F.col(MONTH).isNotNull() & F.col(CATEGORY).isNotNull())
 
     times, by_review, by_payment = F.col(WEIGHT), F.col("review_rows"), F.col("payment_rows")
-
-    def known(c: str) -> Column:
-        return F.when(F.col(c).isNotNull(), times)
-
-    def mean(c: str) -> Column:
-        return _weighted_mean(F.col(c) * times, known(c))
-
-    totals = timed.groupBy(*KEYS).agg(
-        F.sum(known("product_id")).alias("demand"),
-        F.count_distinct("product_id").alias("unique_products"),
-        F.count_distinct("order_id").alias("unique_orders"),
-        F.count_distinct("customer_id").alias("unique_customers"),
-        F.count_distinct("seller_id").alias("unique_sellers"),
-        F.sum(F.col("price") * times).alias("total_sales"),
-        mean("price").alias("avg_price"),
+    # mean -> (sum over the repeated rows, number of repeated rows with a value)
+    means = {
+        name: (F.col(c) * times, F.when(F.col(c).isNotNull(), times))
+        for name, c in {
+            "avg_price": "price",
+            "avg_freight": "freight_value",
+            "avg_delivery_time_days": "delivery_time_days",
+            "avg_delivery_delay": "delivery_delay",
+            "pct_delayed_orders": "is_delayed",
+        }.items()
+    }
+    means["avg_payment"] = (F.col("payment_sum") * by_review, F.col("payment_values") * by_review)
+    means["installments_avg"] = (F.col("installments_sum") * by_review, F.col("installments_values") * by_review)
+    means["avg_review_score"] = (F.col("score_sum") * by_payment, F.col("score_values") * by_payment)
+
+    summaries = timed.groupBy(*KEYS, WEIGHT).agg(
+        (F.count("product_id") * F.col(WEIGHT)).alias("demand"),
         F.min("price").alias("price_min"),
         F.max("price").alias("price_max"),
-        F.sum(F.col("freight_value") * times).alias("total_freight"),
-        mean("freight_value").alias("avg_freight"),
-        mean("delivery_time_days").alias("avg_delivery_time_days"),
-        mean("delivery_delay").alias("avg_delivery_delay"),
-        mean("is_delayed").alias("pct_delayed_orders"),
-        F.coalesce(F.sum(F.col("payment_sum") * by_review), F.lit(0.0)).alias("total_payments"),
-        _weighted_mean(F.col("payment_sum") * by_review, F.col("payment_values") * by_review).alias("avg_payment"),
-        F.coalesce(F.sum(F.col("payment_values") * by_review), F.lit(0)).alias("payment_count"),
-        _weighted_mean(F.col("installments_sum") * by_review, F.col("installments_values") * by_review).alias("installments_avg"),
         F.max("installments_top").alias("installments_max"),
-        F.coalesce(F.sum(F.col("installments_sum") * by_review), F.lit(0)).alias("installments_total"),
-        _weighted_mean(F.col("score_sum") * by_payment, F.col("score_values") * by_payment).alias("avg_review_score"),
+        *[F.sum(total).alias(f"{name}_total") for name, (total, _) in means.items()],
+        *[F.sum(weight).alias(f"{name}_weight") for name, (_, weight) in means.items()],
+        *_summaries(),
+    )
+    merged = (
+        summaries.withColumns(_centres())
+        .groupBy(*KEYS)
+        .agg(
+            F.sum("demand").alias("demand"),
+            F.min("price_min").alias("price_min"),
+            F.max("price_max").alias("price_max"),
+            F.max("installments_max").alias("installments_max"),
+            *[F.try_divide(F.sum(f"{name}_total"), F.sum(f"{name}_weight")).alias(name) for name in means],
+            F.sum("avg_price_total").alias("total_sales"),
+            F.sum("avg_freight_total").alias("total_freight"),
+            F.coalesce(F.sum("avg_payment_total"), F.lit(0.0)).alias("total_payments"),
+            F.coalesce(F.sum("avg_payment_weight"), F.lit(0)).alias("payment_count"),
+            F.coalesce(F.sum("installments_avg_total"), F.lit(0)).alias("installments_total"),
+            _merged_std("price").alias("price_std"),
+            _merged_std("days").alias("delivery_time_days_std"),
+        )
     )
-    return totals.join(_spread(timed), list(KEYS), "left")
+    return merged.join(distinct_counts(timed), list(KEYS), "left")

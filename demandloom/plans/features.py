@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from demandloom.config import DEFAULT_CONFIG, FeatureConfig
+from demandloom.config import CATEGORY, DEFAULT_CONFIG, FeatureConfig
+from demandloom.functions.tables import spread_by
 from demandloom.operators.aggregates import monthly_category_aggregate
 from demandloom.operators.calendar import calendar_features
 from demandloom.operators.category import category_features
@@ -23,7 +24,8 @@ def monthly_table(sources: dict[str, DataFrame], cfg: FeatureConfig = DEFAULT_CO
 def features_from_monthly(monthly: DataFrame, cfg: FeatureConfig = DEFAULT_CONFIG) -> DataFrame:
     """All derived columns, unlabelled rows included."""
     return (
-        monthly.transform(calendar_features)
+        spread_by(monthly, CATEGORY)
+        .transform(calendar_features)
         .transform(series_features, cfg)
         .transform(business_ratios)
         .transform(yearly_features, cfg)

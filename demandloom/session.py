@@ -8,9 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # The feature table has 174 columns, above Spark's default limit of 100 fields for generated code.
-# The monthly aggregate is small but costly to compute on, so its partitions may stay small.
 SETTINGS = {
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.codegen.maxFields": "250",
