@@ -765,7 +765,7 @@ def train_from_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def train_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+def train_and_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ("linear_regression", "gradient_boosting")
     trained = training.train_and_save(_features(spark, sf_dir), scratch_path(spark, "models"), names=names)
     return metrics.comparison_table(trained.metrics)
