@@ -4,7 +4,7 @@ from demandloom.session import build_session
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "local[8]",
         app="tests",
@@ -12,6 +12,7 @@ def spark():
             "spark.sql.shuffle.partitions": "8",
             "spark.driver.memory": "6g",
             "spark.ui.enabled": "false",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -1,13 +1,16 @@
 """Every query with a SQL equivalent, checked on the smallest tables."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry
 from tests.checking import compare, duck
 
 SF_DIR = "/root/testdata/sf0.001"
-ORACLES = entry.oracle_sql()
-QUERIES = entry.queries()
+# the language-model operators have their own tests
+QUERIES = {name: query for name, query in entry.queries().items() if name != "pipeline" and not re.match(r"op\d+_", name)}
+ORACLES = {name: sql for name, sql in entry.oracle_sql().items() if name in QUERIES}
 
 
 @pytest.fixture(scope="module")
