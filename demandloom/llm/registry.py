@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from demandloom.llm import bpe, mixing
+from demandloom.llm import bpe, mixing, simhash
 from demandloom.llm.common import load
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -23,8 +24,14 @@ def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.cluster(load(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": bpe_round_trip,
+    "op2_simhash": simhash_components,
     "op3_mixing": mix_sources,
 }
 
