@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandloom.llm import bpe, mixing, simhash
+from demandloom.llm import bpe, mixing, simhash, topk
 from demandloom.llm.common import load
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -29,12 +29,18 @@ def simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def top_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(load(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": bpe_round_trip,
     "op2_simhash": simhash_components,
     "op3_mixing": mix_sources,
+    "op4_topk": top_vectors,
 }
 
 ORACLES: dict[str, str] = {
     "op3_mixing": mixing.ORACLE,
+    "op4_topk": topk.ORACLE,
 }
