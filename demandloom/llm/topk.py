@@ -245,7 +245,8 @@ def _refined(state: DataFrame, summed: DataFrame, shift: int) -> DataFrame:
     )
     moved = each.join(chosen, keys, "left").select(
         *keys,
-        (F.col("low") + F.coalesce(F.shiftleft(F.col("c.bin"), shift), F.lit(0))).alias("low"),
+        # the sum of the offset may pass the largest long before the low end is added
+        F.expr(f"CAST(low + coalesce(c.bin, 0) * CAST({1 << shift} AS DECIMAL(38, 0)) AS BIGINT)").alias("low"),
         (F.col("left") - F.coalesce(F.col("c.above"), F.lit(0))).alias("left"),
     )
     # at most QUERY_BLOCK or so entries come together here
