@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandloom.llm import bpe, mixing, simhash, topk
+from demandloom.llm import bpe, licences, mixing, sharding, simhash, syncmers, topk
 from demandloom.llm.common import load
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -33,14 +33,30 @@ def top_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(load(spark, sf_dir, "embeddings"))
 
 
+def licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(load(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+def syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.fingerprint(load(spark, sf_dir, "documents"))
+
+
+def shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(load(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": bpe_round_trip,
     "op2_simhash": simhash_components,
     "op3_mixing": mix_sources,
     "op4_topk": top_vectors,
+    "op5_licences": licence_scan,
+    "op7_syncmers": syncmer_fingerprints,
+    "op9_sharding": shard_documents,
 }
 
 ORACLES: dict[str, str] = {
     "op3_mixing": mixing.ORACLE,
     "op4_topk": topk.ORACLE,
+    "op5_licences": licences.oracle(),
 }
