@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandloom.llm import bpe, licences, mixing, sharding, simhash, syncmers, topk
+from demandloom.llm import bpe, licences, mixing, sharding, simhash, syncmers, token_files, topk
 from demandloom.llm.common import load
+from demandloom.session import scratch_path
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -37,6 +38,12 @@ def licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(load(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "token-files")
+    token_files.write(load(spark, sf_dir, "documents"), folder, BYTE_BPE)
+    return token_files.read(spark, folder, with_ids=False, digest=True)
+
+
 def syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprint(load(spark, sf_dir, "documents"))
 
@@ -51,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": mix_sources,
     "op4_topk": top_vectors,
     "op5_licences": licence_scan,
+    "op6_token_files": token_id_files,
     "op7_syncmers": syncmer_fingerprints,
     "op9_sharding": shard_documents,
 }
