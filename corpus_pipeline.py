@@ -1,27 +1,51 @@
-"""The corpus pipeline: each stage works on all rows that the one before it kept."""
+"""The corpus pipeline: each stage works on all rows that the one before it kept.
+
+1. quality: documents that the quality classifier rejects go;
+2. toxicity: documents that are predicted toxic go;
+3. near_duplicates: one document of each group of near-duplicates stays;
+4. mixing: every source gives the words of its target, in as many readings as that takes;
+5. bpe: the texts become token ids.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from demandloom.llm import bpe, mixing, registry
+from demandloom.llm import bpe, mixing, quality, registry, simhash, toxicity
 from demandloom.llm.common import load
 from demandloom.session import materialize
 
 
-def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as often as the mix reads them."""
-    return mixing.repeat_taken(mixing.mix(docs), docs.columns)
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.drop_poor(docs, load(spark, sf_dir, "labels"))
+
+
+def keep_civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.drop_toxic(docs, load(spark, sf_dir, "labels"))
+
+
+def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.drop_near_duplicates(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A document comes once for each time it is read; only a text that a source's budget cuts gets a new length."""
+    read = mixing.repeat_taken(mixing.mix(docs), docs.columns)
+    return read.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
-def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text."""
+def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All columns but the text, and its ids."""
     return bpe.encode(docs, registry.WORD_BPE)
 
 
 STAGES = [
-    ("mixing", mix),
-    ("bpe", encode),
+    ("quality", keep_good),
+    ("toxicity", keep_civil),
+    ("near_duplicates", keep_distinct),
+    ("mixing", mix_sources),
+    ("bpe", encode_texts),
 ]
 
 #: The classifiers and the tokenizer have no equivalent in SQL.

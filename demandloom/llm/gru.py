@@ -182,10 +182,13 @@ class Network:
         return pooled @ self.p["out"] + self.p["bias"][0], share, pooled
 
     def gradients(
-        self, hashed: Hashed, row: np.ndarray, at: np.ndarray, mask: np.ndarray, y: np.ndarray, weight: np.ndarray
+        self, hashed: Hashed, row: np.ndarray, at: np.ndarray, mask: np.ndarray, y: np.ndarray, weight: np.ndarray,
+        draw: np.random.Generator,
     ) -> dict[str, np.ndarray]:
-        """Gradients of the weighted mean logistic loss."""
+        """Gradients of the weighted mean logistic loss; a random half of the words goes without its embeddings."""
         x = self.inputs(hashed, row)
+        kept_words = 2 * (draw.random((len(x), 1)) < 0.5).astype(np.float32)
+        x[:, : 2 * EMBED] *= kept_words
         kept = [self._states(x @ self.p[f"x{s}"] + self.p[f"c{s}"], at, mask, s, True) for s in "fb"]
         states = np.concatenate([kept[0][0], kept[1][0]], axis=2)
         logits, share, pooled = self._pool(states, mask)
@@ -221,6 +224,7 @@ class Network:
                 d_entered[:, j] = np.bincount(place, part[:, j], minlength=len(x))
             g |= {f"h{side}": d_weights, f"x{side}": x.T @ d_entered, f"c{side}": d_entered.sum(axis=0)}
             d_x += d_entered @ self.p[f"x{side}"].T
+        d_x[:, : 2 * EMBED] *= kept_words
         sizes = np.maximum(np.diff(hashed.cuts), 1)
         spread = np.repeat(d_x[:, EMBED : 2 * EMBED] / sizes[:, None], np.diff(hashed.cuts), axis=0)
         g["words"] = np.stack([np.bincount(hashed.word // SHARED, d_x[:, j], minlength=BUCKETS // SHARED) for j in range(EMBED)], axis=1)
@@ -229,8 +233,10 @@ class Network:
 
 
 class Adam:
-    def __init__(self, network: Network, rate: float) -> None:
-        self.network, self.rate, self.step = network, rate, 0
+    """Adam steps that also shrink the weights a little."""
+
+    def __init__(self, network: Network, rate: float, decay: float) -> None:
+        self.network, self.rate, self.decay, self.step = network, rate, decay, 0
         self.mean = {k: np.zeros_like(v) for k, v in network.p.items()}
         self.square = {k: np.zeros_like(v) for k, v in network.p.items()}
 
@@ -241,7 +247,7 @@ class Adam:
             self.mean[k] += np.float32(0.1) * (g - self.mean[k])
             self.square[k] += np.float32(0.01) * (g * g - self.square[k])
             m, v = self.mean[k] / (1 - 0.9**self.step), self.square[k] / (1 - 0.99**self.step)
-            self.network.p[k] -= (self.rate * m / (np.sqrt(v) + 1e-8)).astype(np.float32)
+            self.network.p[k] -= (self.rate * (m / (np.sqrt(v) + 1e-8) + self.decay * self.network.p[k])).astype(np.float32)
 
 
 def windows(begins: np.ndarray, width: int, stride: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

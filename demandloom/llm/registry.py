@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandloom.llm import bpe, licences, mixing, sharding, simhash, syncmers, token_files, topk
+from demandloom.llm import bpe, licences, mixing, quality, sharding, simhash, syncmers, token_files, topk, toxicity
 from demandloom.llm.common import load
 from demandloom.session import scratch_path
 
@@ -48,6 +48,14 @@ def syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprint(load(spark, sf_dir, "documents"))
 
 
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 def shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(load(spark, sf_dir, "documents"))
 
@@ -60,7 +68,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_licences": licence_scan,
     "op6_token_files": token_id_files,
     "op7_syncmers": syncmer_fingerprints,
+    "op8_quality": quality_scores,
     "op9_sharding": shard_documents,
+    "op10_toxicity": toxicity_scores,
 }
 
 ORACLES: dict[str, str] = {

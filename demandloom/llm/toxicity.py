@@ -19,7 +19,8 @@ from demandloom.llm.common import text_slices, worker_path
 WIDTH, STRIDE = 64, 48
 #: Bounds of the training sample: toxic and other documents, and bytes of a text that trains (any text is scored).
 TOXIC_ROWS, OTHER_ROWS, TRAINING_BYTES = 1800, 2600, 16_384
-EPOCHS, BATCH, RATE = 3, 192, 0.01
+#: Passes over the training windows, and more for a small sample, until there were UPDATES steps.
+EPOCHS, UPDATES, BATCH, RATE, DECAY = 3, 100, 192, 0.006, 0.1
 #: From this score on a document is predicted toxic.
 THRESHOLD = 0.3
 #: Windows scored at once.
@@ -114,10 +115,12 @@ def fit(docs: DataFrame, labels: DataFrame, seed: int = 7) -> Model:
     tried = order[((toxic & (rank < 2)) | (~toxic & ((rank == 0) | (draw.random(len(order)) < 0.15)))) & ~calibrating[owner[order]]]
     toxic_window = y[owner] == 1
     weight = np.where(toxic_window, len(tried) / max(1, 2 * (y[owner[tried]] == 1).sum()), 1.0).astype(np.float32)
-    optimiser = gru.Adam(network, RATE)
+    optimiser = gru.Adam(network, RATE, DECAY)
     others = np.flatnonzero(~toxic_window & ~calibrating[owner])
-    for epoch in range(EPOCHS):
-        if epoch:  # from now on also the window of each other document that the network finds most toxic
+    epochs = max(EPOCHS, -(-UPDATES // -(-len(tried) // BATCH)))
+    mining = {epochs // 3, 2 * epochs // 3}
+    for epoch in range(epochs):
+        if epoch in mining:  # from now on also the window of each other document that the network finds most toxic
             found = _window_logits(network, network.inputs(hashed, 1), at, first[others], length[others])
             last = np.lexsort((found, owner[others]))
             ends = np.flatnonzero(np.diff(owner[others][last], append=-1))
@@ -131,11 +134,18 @@ def fit(docs: DataFrame, labels: DataFrame, seed: int = 7) -> Model:
             used, local = np.unique(own, return_inverse=True)
             part = gru.Hashed(words.take(pa.array(used // 2)))
             optimiser.update(
-                network.gradients(part, 1 + used % 2, local.reshape(own.shape), mask[batch], y_batch, weight[batch])
+                network.gradients(part, 1 + used % 2, local.reshape(own.shape), mask[batch], y_batch, weight[batch], draw)
             )
-    fitted = calibrating if calibrating.any() else np.ones(len(y), bool)
-    logits = _document_logits(network, texts.filter(pa.array(fitted)))
-    slope, offset = _calibrated(logits, y[fitted])
+    logits = np.full(len(y), -np.inf, np.float32)
+    if calibrating.any():
+        logits[calibrating] = _document_logits(network, texts.filter(pa.array(calibrating)))
+    else:  # a small sample calibrates itself, again without each document's own evidence
+        for label in (0, 1):
+            rows = np.flatnonzero(y[owner] == label)
+            found = _window_logits(network, network.inputs(hashed, 1 + label), at, first[rows], length[rows])
+            np.maximum.at(logits, owner[rows], found)
+    fitted = np.isfinite(logits)
+    slope, offset = _calibrated(logits[fitted], y[fitted])
     return Model(network, slope, offset)
 
 
@@ -152,17 +162,19 @@ def _with_evidence(hashed: gru.Hashed, at: np.ndarray, begins: np.ndarray, y: np
 
 
 def _calibrated(logits: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of a logistic fit, by Newton steps, with targets drawn in from 0 and 1."""
+    """Slope and offset of a logistic fit, by Newton steps, with targets drawn in from 0 and 1; never a falling one."""
     positive, negative = y.sum(), (1 - y).sum()
     target = np.where(y == 1, (positive + 1) / (positive + 2), 1 / (negative + 2))
-    x = np.stack([logits.astype(np.float64), np.ones(len(y))], axis=1)
-    w = np.array([1.0, 0.0])
-    for _ in range(50):
+    centre, scale = float(logits.mean()), float(logits.std()) + 1e-6
+    x = np.stack([(logits.astype(np.float64) - centre) / scale, np.ones(len(y))], axis=1)
+    w = np.array([1.0, np.log((positive + 1) / (negative + 1))])
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
-        step = np.linalg.solve(hessian, x.T @ (p - target) + 1e-3 * (w - [1.0, 0.0]))
-        w -= np.clip(step, -2, 2)
-    return float(max(w[0], 0.05)), float(w[1])
+        hessian = (x * (p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(2)
+        step = np.linalg.solve(hessian, x.T @ (p - target) + 1e-2 * (w * [1, 0]))
+        w -= np.clip(step, -1, 1)
+    slope = max(float(w[0]), 0.05) / scale
+    return slope, float(w[1]) - slope * centre
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
