@@ -31,20 +31,18 @@ _HEADER = np.dtype([("ids", "<u4"), ("vocabulary", "<u4"), ("lanes", "<u4"), ("w
 
 
 class _Model:
-    """What both sides know before a step."""
+    """What both sides know before a step; a guess and its confidence of 0 to 7 share a number."""
 
     def __init__(self, vocabulary: int) -> None:
         self.vocabulary = vocabulary
-        self.guess2 = np.zeros(SLOTS, np.int32)
-        self.sure2 = np.zeros(SLOTS, np.int8)
-        self.guess1 = np.zeros(vocabulary + 1, np.int32)
-        self.sure1 = np.zeros(vocabulary + 1, np.int8)
+        self.after2 = np.zeros(SLOTS, np.int64)
+        self.after1 = np.zeros(vocabulary + 1, np.int64)
         self.frequency = np.ones(vocabulary, np.int64)
         self.outcomes = np.tile(np.array([1.0, 1.0, 2.0]), (128, 1))
         self.pending: list[np.ndarray] = []
         self.step = 0
-        self._mix()
         self._sum()
+        self._mix()
 
     def _sum(self) -> None:
         if self.pending:
@@ -56,40 +54,48 @@ class _Model:
             total = int(self.frequency.sum())
         self.below = np.concatenate([[0], np.cumsum(self.frequency)]).astype(np.uint64)
         self.weight = self.frequency.astype(np.uint64)
-        self.total = np.uint64(total)
+        self.total = total
 
     def _mix(self) -> None:
+        """The ends of the shares of order 2 and order 1, and the unit of order 0, for each state of the confidences."""
         shares = self.outcomes / self.outcomes.sum(axis=1, keepdims=True) * (SHARES - 3)
         first, second = shares[:, 0].astype(np.int64) + 1, shares[:, 1].astype(np.int64) + 1
         second[1::2] = 0  # both guesses are the same id
-        self.share2, self.share12 = first.astype(np.uint64), (first + second).astype(np.uint64)
-        self.share0 = np.uint64(SHARES) - self.share12
+        self.unit0 = (SHARES - first - second).astype(np.uint64)
+        self.first, self.both = first.astype(np.uint64), (first + second).astype(np.uint64)
+        self._scale()
+
+    def _scale(self) -> None:
+        self.ends2, self.ends12 = self.first * np.uint64(self.total), self.both * np.uint64(self.total)
 
     def look(self, one: np.ndarray, two: np.ndarray) -> None:
         """The guesses and shares after the ids ``one`` and, before it, ``two``."""
-        self.slot = (one * 40503 + two * 668265263) % SLOTS
+        self.slot = (one * 40503 + two * 668265263) & (SLOTS - 1)
         self.one = one
-        self.g2, self.s2 = self.guess2[self.slot], self.sure2[self.slot]
-        self.g1, self.s1 = self.guess1[one], self.sure1[one]
-        self.state = (self.s2.astype(np.int64) * 8 + self.s1) * 2 + (self.g1 == self.g2)
-        self.end2 = self.share2[self.state] * self.total
-        self.end12 = self.share12[self.state] * self.total
-        self.part0 = self.share0[self.state]
+        self.p2, self.p1 = self.after2.take(self.slot), self.after1.take(one)
+        self.g2, self.g1 = self.p2 >> 3, self.p1 >> 3
+        self.s2, self.s1 = self.p2 & 7, self.p1 & 7
+        self.state = (self.s2 << 4) + (self.s1 << 1) + (self.g1 == self.g2)
+        self.end2, self.end12 = self.ends2.take(self.state), self.ends12.take(self.state)
+        self.part0 = self.unit0.take(self.state)
 
     def learn(self, ids: np.ndarray, by2: np.ndarray, by1: np.ndarray) -> None:
-        outcome = np.where(by2, 0, np.where(by1, 1, 2))
+        outcome = 2 - by1 - 2 * by2.view(np.int8)
         self.outcomes += np.bincount(self.state * 3 + outcome, minlength=384).reshape(128, 3)
-        if self.step % 4 == 0:
-            self._mix()
-        right1 = ids == self.g1
-        self.sure2[self.slot] = np.where(by2, np.minimum(self.s2 + 1, 7), np.maximum(self.s2 >> 1, 1))
-        self.guess2[self.slot] = np.where(by2 | (self.s2 > 1), self.g2, ids)
-        self.sure1[self.one] = np.where(right1, np.minimum(self.s1 + 1, 7), np.maximum(self.s1 >> 1, 1))
-        self.guess1[self.one] = np.where(right1 | (self.s1 > 1), self.g1, ids)
+        self._adjust(self.after2, self.slot, self.p2, self.s2, by2, ids)
+        self._adjust(self.after1, self.one, self.p1, self.s1, ids == self.g1, ids)
         self.pending.append(ids[outcome == 2])
         self.step += 1
         if self.step < 8 or self.step % 8 == 0:
             self._sum()
+            self._mix()
+
+    @staticmethod
+    def _adjust(table: np.ndarray, at: np.ndarray, packed: np.ndarray, sure: np.ndarray, right: np.ndarray, ids: np.ndarray) -> None:
+        """A right guess gains confidence; a wrong one loses half of it, and at the last is replaced."""
+        gained = packed + (sure < 7)
+        lost = np.where(sure > 1, packed - sure + (sure >> 1), (ids << 3) + 1)
+        table[at] = np.where(right, gained, lost)
 
 
 def _shape(count: int) -> tuple[int, int]:
@@ -105,7 +111,7 @@ def _active(count: int, length: int, step: int) -> int:
 
 def _settled(low: np.ndarray, span: np.ndarray, at: np.ndarray | None) -> np.ndarray:
     """The lanes, among ``at``, whose highest 16 bits are fixed; a range too narrow to go on is cut so that they are."""
-    a, s = (low, span) if at is None else (low[at], span[at])
+    a, s = (low, span) if at is None else (low.take(at), span.take(at))
     fixed = (a ^ (a + s)) < _TOP
     narrow = s < _BOTTOM
     narrow &= ~fixed
@@ -141,14 +147,14 @@ def encode_block(ids: np.ndarray) -> bytes:
         by2 = y == model.g2
         by1 = (y == model.g1) & ~by2
         part0, end2, end12 = model.part0, model.end2, model.end12
-        start = np.where(by2, np.uint64(0), np.where(by1, end2, end12 + part0 * model.below[y]))
-        width = np.where(by2, end2, np.where(by1, end12 - end2, part0 * model.weight[y]))
-        s //= shares * model.total
+        start = np.where(by2, np.uint64(0), np.where(by1, end2, end12 + part0 * model.below.take(y)))
+        width = np.where(by2, end2, np.where(by1, end12 - end2, part0 * model.weight.take(y)))
+        s //= shares * np.uint64(model.total)
         a += s * start
         s *= width
         at = _settled(a, s, None)
         while len(at):
-            leaving = a[at]
+            leaving = a.take(at)
             out_lane.append(at.astype(np.uint16))
             out_word.append((leaving >> _U48).astype(np.uint16))
             a[at] = leaving << _U16
@@ -182,16 +188,18 @@ def decode_block(block: bytes) -> np.ndarray:
         return np.zeros(0, np.int64)
     at_sizes = _HEADER.itemsize
     sizes = np.frombuffer(body, "<u4", lanes, at_sizes).astype(np.int64)
-    words = np.concatenate([np.frombuffer(body, "<u2", size, at_sizes + 4 * lanes).astype(np.uint64), np.zeros(1, np.uint64)])
-    ends = np.cumsum(sizes)
-    place = ends - sizes
+    # reading runs up to four words past a lane's end, where zeros stand
+    words = np.zeros(size + 4 * lanes, np.uint64)
+    lane = np.repeat(np.arange(lanes), sizes)
+    words[np.arange(size) + 4 * lane] = np.frombuffer(body, "<u2", size, at_sizes + 4 * lanes)
+    place = np.cumsum(sizes) - sizes + 4 * np.arange(lanes)
     _, length = _shape(count)
     steps = np.zeros((length, lanes), np.int64)
     model = _Model(vocabulary)
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
     code = np.zeros(lanes, np.uint64)
     for _ in range(4):
-        code = (code << _U16) | np.where(place < ends, words[np.minimum(place, size)], np.uint64(0))
+        code = (code << _U16) | words.take(place)
         place += 1
     one, two = np.full(lanes, vocabulary, np.int64), np.full(lanes, vocabulary, np.int64)
     shares = np.uint64(SHARES)
@@ -200,26 +208,28 @@ def decode_block(block: bytes) -> np.ndarray:
         a, s, c = low[:n], span[:n], code[:n]
         model.look(one[:n], two[:n])
         part0, end2, end12 = model.part0, model.end2, model.end12
-        whole = shares * model.total
+        whole = shares * np.uint64(model.total)
         s //= whole
         found = np.minimum((c - a) // s, whole - np.uint64(1))
         by2 = found < end2
         by1 = (found < end12) & ~by2
-        y = np.where(by2, model.g2, model.g1).astype(np.int64)
+        y = np.where(by2, model.g2, model.g1)
         rest = np.flatnonzero(found >= end12)
-        inside = (found[rest] - end12[rest]) // part0[rest]
-        y[rest] = np.searchsorted(model.below, inside, side="right") - 1
+        bases, units = end12.take(rest), part0.take(rest)
+        # whole numbers below 2**32, whose quotient a double rounds down right
+        inside = ((found.take(rest) - bases).astype(np.float64) / units.astype(np.float64)).astype(np.uint64)
+        symbols = np.searchsorted(model.below, inside, side="right") - 1
+        y[rest] = symbols
         start, width = np.where(by2, np.uint64(0), end2), np.where(by2, end2, end12 - end2)
-        start[rest] = end12[rest] + part0[rest] * model.below[y[rest]]
-        width[rest] = part0[rest] * model.weight[y[rest]]
+        start[rest] = bases + units * model.below.take(symbols)
+        width[rest] = units * model.weight.take(symbols)
         a += s * start
         s *= width
         at = _settled(a, s, None)
         while len(at):
-            where = place[at]
-            word = np.where(where < ends[at], words[np.minimum(where, size)], np.uint64(0))
+            where = place.take(at)
             place[at] = where + 1
-            c[at] = (c[at] << _U16) | word
+            c[at] = (c.take(at) << _U16) | words.take(where)
             a[at] <<= _U16
             s[at] <<= _U16
             at = _settled(a, s, at)

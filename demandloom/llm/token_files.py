@@ -29,9 +29,9 @@ from demandloom.llm.bpe import tokenizer  # noqa: E402
 from demandloom.llm.common import running_total, text_slices, worker_path  # noqa: E402
 
 END = 2
-BLOCK_IDS = 1 << 20
+BLOCK_IDS = 1 << 21
 #: Distinct pieces of text whose ids a Python worker remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 2_000_000
 
 
 def _pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -39,7 +39,8 @@ def _pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
     These are the places before a single space, and around a single line feed,
     between two characters that are surely no white space: printable ASCII, or
-    characters whose first byte in UTF-8 starts no white space.
+    characters whose first byte in UTF-8 starts no white space. A full stop or
+    comma that ends a word after an ASCII letter or digit is cut off as well.
     """
     texts = pa.concat_arrays([pc.fill_null(texts, ""), pa.array([], pa.string())])
     if not pc.any(pc.greater(pc.binary_length(texts), 0)).as_py():
@@ -60,9 +61,18 @@ def _pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     edge[offsets] = True
     fit = ends & starts & ~edge[at] & ~edge[at + 1]
     single = at[fit]
-    cuts = np.union1d(offsets, np.concatenate([single, single[raw[single] == 10] + 1]))
+    cut = np.zeros(len(raw) + 1, bool)
+    cut[offsets] = True
+    cut[single] = True
+    cut[single[raw[single] == 10] + 1] = True
+    # a full stop or comma between a letter or digit and the end of a word is a piece of its own
+    marks = single - 1
+    before = byte[marks + 2]
+    letter = (before >= 48) & (before < 58) | ((before | 32) >= 97) & ((before | 32) < 123)
+    cut[marks[((raw[marks] == 44) | (raw[marks] == 46)) & letter & ~edge[marks]]] = True
+    cuts = np.flatnonzero(cut)
     pieces = pa.StringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(raw))
-    return pieces, np.searchsorted(cuts, offsets)
+    return pieces, (np.cumsum(cut) - 1)[offsets]
 
 
 class _Remembering:
@@ -70,31 +80,57 @@ class _Remembering:
 
     def __init__(self, path: str) -> None:
         self.model = tokenizer(path)
+        line = self.model.encode("a\n b", add_special_tokens=False).ids
+        self.line = line[1] if len(line) == 3 else None
         self.clear()
 
     def clear(self) -> None:
-        self.number: dict[str, int] = {}
+        self.known = pa.array([], pa.string())
         self.lengths = np.zeros(1 << 16, np.int64)
         self.starts = np.zeros(1 << 16, np.int64)
         self.ids = np.zeros(1 << 18, np.int32)
         self.used = 0
 
-    def _add(self, pieces: list[str]) -> None:
-        for first in range(0, len(pieces), 8192):
-            part = pieces[first : first + 8192]
-            found = [e.ids for e in self.model.encode_batch(part, add_special_tokens=False)]
-            lengths = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter((i for ids in found for i in ids), np.int32, int(lengths.sum()))
-            known = len(self.number)
-            while known + len(part) > len(self.lengths):
+    def _ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the pieces, and how many each has.
+
+        Pieces without white space but a space in front are encoded together, as
+        lines of one text: a line feed between them is always one id of its own.
+        """
+        found = self.model.encode_batch_fast(["\n".join(pieces)], add_special_tokens=False)[0]
+        ids = np.array(found.ids, np.int32)
+        ends = np.flatnonzero(ids == self.line)
+        if len(ends) == len(pieces) - 1:
+            lengths = np.diff(np.concatenate([[-1], ends, [len(ids)]])) - 1
+            return ids[ids != self.line], lengths
+        return self._singly(pieces)
+
+    def _singly(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.model.encode_batch_fast(pieces, add_special_tokens=False)]
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter((i for ids in found for i in ids), np.int32, int(lengths.sum())), lengths
+
+    def _add(self, pieces: pa.Array) -> None:
+        """Remember pieces that are not known yet."""
+        whole = pc.and_(
+            pc.match_substring_regex(pieces, r"^ ?[!-~À-\x{7FF}](.*[!-~À-\x{7FF}])?$"), pc.invert(pc.match_substring(pieces, "<|"))
+        )
+        if self.line is None:
+            whole = pc.and_(whole, False)
+        for chosen, encode in ((pieces.filter(whole), self._ids), (pieces.filter(pc.invert(whole)), self._singly)):
+            known = len(self.known)
+            self.known = pa.concat_arrays([self.known, chosen])
+            while len(self.known) > len(self.lengths):
                 self.lengths, self.starts = (np.concatenate([x, np.zeros_like(x)]) for x in (self.lengths, self.starts))
-            while self.used + len(flat) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            self.lengths[known : known + len(part)] = lengths
-            self.starts[known : known + len(part)] = self.used + np.cumsum(lengths) - lengths
-            self.ids[self.used : self.used + len(flat)] = flat
-            self.used += len(flat)
-            self.number.update(zip(part, range(known, known + len(part))))
+            for first in range(0, len(chosen), 512):
+                flat, lengths = encode(chosen.slice(first, 512).to_pylist())
+                while self.used + len(flat) > len(self.ids):
+                    self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+                here = slice(known + first, known + first + len(lengths))
+                self.lengths[here] = lengths
+                self.starts[here] = self.used + np.cumsum(lengths) - lengths
+                self.ids[self.used : self.used + len(flat)] = flat
+                self.used += len(flat)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and how many each text has."""
@@ -102,19 +138,18 @@ class _Remembering:
         if not len(pieces):
             return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
         coded = pieces.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        if len(self.number) + len(distinct) > REMEMBERED:
+        if len(self.known) + len(coded.dictionary) > REMEMBERED:
             self.clear()
-        get = self.number.get
-        numbers = [get(p, -1) for p in distinct]
-        fresh = [p for p, n in zip(distinct, numbers) if n < 0]
-        if fresh:
-            self._add(fresh)
-            numbers = [self.number[p] for p in distinct]
-        which = np.array(numbers, np.int64)[coded.indices.to_numpy(zero_copy_only=False)]
-        lengths = self.lengths[which]
+        numbers = pc.index_in(coded.dictionary, value_set=self.known)
+        if numbers.null_count:
+            self._add(coded.dictionary.filter(numbers.is_null()))
+            numbers = pc.index_in(coded.dictionary, value_set=self.known)
+        which = numbers.to_numpy(zero_copy_only=False).take(coded.indices.to_numpy(zero_copy_only=False)).astype(np.int64)
+        lengths = self.lengths.take(which)
         stops = np.cumsum(lengths)
-        ids = self.ids[np.repeat(self.starts[which] - (stops - lengths), lengths) + np.arange(int(stops[-1]))]
+        places = np.repeat(self.starts.take(which) - (stops - lengths), lengths)
+        places += np.arange(int(stops[-1]))
+        ids = self.ids.take(places)
         return ids, np.diff(np.concatenate([[0], stops])[begins])
 
 
@@ -145,7 +180,7 @@ def _blocks(path: str, end: int, block_ids: int):
             )
 
         for batch in batches:
-            for part in text_slices(batch, "text", 1 << 20):
+            for part in text_slices(batch, "text", 8 << 20):
                 ids, sizes = coder.encode(part.column("text"))
                 gathered.append(np.insert(ids, np.cumsum(sizes), end))
                 names.append(part.column("doc_id"))
