@@ -52,19 +52,23 @@ def variation(c: str, rows: int) -> Column:
 def exponential_mean(c: str, alpha: float) -> Column:
     """Weighted mean of all earlier rows, weight ``(1 - alpha) ** age``.
 
-    Rows whose weight is below 1e-17 of the newest cannot change a double, so
-    the frame ends there.
+    A row without a value ages the rows before it and adds nothing itself. With
+    ``alpha`` 1 only the row before counts. The whole history is read: a window
+    partition holds one category's months.
     """
+    if alpha >= 1:
+        return F.lag(F.col(c).cast("double")).over(by_date())
     decay = 1.0 - alpha
-    depth = math.ceil(math.log(1e-17) / math.log(decay))
-    history = F.collect_list(F.col(c).cast("double")).over(previous(depth))
+    earlier = by_date().rowsBetween(Window.unboundedPreceding, -1)
+    # a list leaves nulls out, but not the structs that hold them
+    history = F.collect_list(F.struct(F.col(c).cast("double").alias("value"))).over(earlier)
     start = F.struct(F.lit(0.0).alias("total"), F.lit(0.0).alias("weight"))
     return F.aggregate(
         history,
         start,
         lambda acc, x: F.struct(
-            (acc["total"] * decay + x).alias("total"),
-            (acc["weight"] * decay + 1.0).alias("weight"),
+            (acc["total"] * decay + F.coalesce(x["value"], F.lit(0.0))).alias("total"),
+            (acc["weight"] * decay + F.when(x["value"].isNull(), 0.0).otherwise(1.0)).alias("weight"),
         ),
         lambda acc: ratio(acc["total"], acc["weight"]),
     )

@@ -44,38 +44,43 @@ def join_by_key(left: DataFrame, right: DataFrame, key: str, how: str = "inner")
     return joined.drop("_bucket")
 
 
+#: Rows of a key of the optional side that one salted part holds, about.
+SALTED_ROWS = 10_000
+
+
 def left_join_by_key(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Left join where the *right* side may have hot keys.
+    """Left join where the *right* side may have hot keys, and where ``left`` is read once.
 
-    An outer join cannot split its optional side, so the matched rows come from
-    an inner join, which can, and the left rows without a match are added.
+    An outer join cannot split its optional side, so a hot key is split by salt:
+    a narrow count per key says in how many parts the right rows of a key are
+    dealt, each left row comes once for every part of its key, and a copy that
+    meets no row of its part is dropped unless the key has no rows at all.
     """
-    matched = join_by_key(right, left, key, "inner")
-    partners = right.select(key).distinct()
-    unmatched = left.join(partners, key, "left_anti")
-    columns = left.columns + [c for c in right.columns if c != key]
-    return matched.select(*columns).unionByName(unmatched, allowMissingColumns=True).select(*columns)
+    counts = right.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / SALTED_ROWS).cast("int").alias("_parts"))
+    salted = join_by_key(left, counts, key, "left").withColumn(
+        "_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))
+    )
+    others = [c for c in right.columns if c != key]
+    dealt = join_by_key(right, counts, key).withColumn("_part", F.pmod(F.xxhash64(*right.columns), "_parts").cast("int"))
+    dealt = dealt.withColumn("_met", F.lit(True)).drop("_parts")
+    joined = salted.join(dealt, [key, "_part"], "left")
+    kept = joined.filter(F.col("_met").isNotNull() | F.col("_parts").isNull())
+    return kept.select(*left.columns, *others)
 
 
-def spread_by(df: DataFrame, key: str) -> DataFrame:
-    """Partition a small table by ``key`` over the cores for windows on that key.
-
-    The windows need this exchange anyway. Named with a number of partitions it
-    is not merged down to the few that the table's size in bytes would suggest,
-    while computing a hundred window columns is what costs time here.
-    """
-    spark = df.sparkSession
-    tasks = min(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return df.repartition(tasks, key)
+# The keys of the source tables, where they are numbers.
+ID_COLUMNS = ("order_id", "order_item_id", "product_id", "customer_id", "seller_id", "review_id")
 
 
-def fill_numeric_nulls(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def fill_numeric_nulls(
+    df: DataFrame, columns: Sequence[str] | None = None, keys: Sequence[str] = ID_COLUMNS
+) -> DataFrame:
     """0 for every NULL or NaN in the numeric columns.
 
-    Numeric ids stay as they are: they have no nulls, and a key wrapped in an
+    The ``keys`` stay as they are: they have no nulls, and a key wrapped in an
     expression would hide its uniqueness and partitioning from the optimizer.
     """
-    chosen = columns if columns is not None else [c for c in numeric_columns(df) if not c.endswith("_id")]
+    chosen = columns if columns is not None else [c for c in numeric_columns(df) if c not in keys]
     return df.fillna(0, subset=list(chosen)) if chosen else df
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.config import CATEGORY, DEFAULT_CONFIG, KEYS, MONTH, PAYMENT_TYPES, REVIEW_SCORES, FeatureConfig
+from demandloom.session import materialize
 
 # Output names of the distinct counts.
 DISTINCT_COUNTS = {
@@ -16,6 +17,21 @@ DISTINCT_COUNTS = {
 }
 
 
+# The item columns that the measures are made of, apart from the shares.
+MEASURED = (
+    "product_id", "price", "freight_value", "payment_total", "payment_avg", "payment_count", "installments_avg",
+    "review_score_mean", "review_count", "delivery_time_days", "delivery_delay", "is_delayed",
+)
+
+
+def kept_rows(items: DataFrame) -> DataFrame:
+    """Joined item rows that two aggregations read: written to the shared folder, so the joins before them run once.
+
+    A cached table would outlive the query and answer later ones from old files.
+    """
+    return materialize(items, "items")
+
+
 def distinct_counts(items: DataFrame) -> DataFrame:
     """Exact distinct products, orders, customers and sellers per month and category.
 
@@ -25,21 +41,28 @@ def distinct_counts(items: DataFrame) -> DataFrame:
     return items.groupBy(*KEYS).agg(*[F.count_distinct(c).alias(name) for name, c in DISTINCT_COUNTS.items()])
 
 
-def monthly_category_aggregate(items: DataFrame, cfg: FeatureConfig = DEFAULT_CONFIG) -> DataFrame:
+def monthly_category_aggregate(
+    items: DataFrame, cfg: FeatureConfig = DEFAULT_CONFIG, with_counts: bool = True
+) -> DataFrame:
     """Demand, sales, payment, review and delivery measures per month and category.
 
     Partial aggregation reduces a hot category to one row per task before the
     shuffle. The exact distinct counts are a second, narrow aggregation: in one
     aggregation with the measures, every wide row would be repeated once per
-    counted column. Both come out partitioned by the keys, so joining them
-    needs no shuffle, and a reader that uses none of the counts drops them.
+    counted column. Both read the same kept rows, so the joins before them run
+    once, and come out partitioned by the keys, so joining them needs no shuffle.
+    ``with_counts`` False leaves the distinct counts out and stores nothing.
     """
     shares = [f"pct_{t}" for t in PAYMENT_TYPES] + [f"review_pct_{k}" for k in REVIEW_SCORES]
     keyed = items.filter(F.col(MONTH).isNotNull() & F.col(CATEGORY).isNotNull())
+    exact = with_counts and not cfg.approx_distinct
+    if exact:
+        read = [*KEYS, *MEASURED, *DISTINCT_COUNTS.values(), *shares]
+        keyed = kept_rows(keyed.select(*[c for c in dict.fromkeys(read) if c in keyed.columns]))
     sketches = [F.approx_count_distinct(c).alias(name) for name, c in DISTINCT_COUNTS.items()]
     measures = keyed.groupBy(*KEYS).agg(
         F.count("product_id").alias("demand"),
-        *(sketches if cfg.approx_distinct else []),
+        *(sketches if with_counts and cfg.approx_distinct else []),
         F.sum("price").alias("total_sales"),
         F.avg("price").alias("avg_price"),
         F.stddev_samp("price").alias("price_std"),
@@ -60,7 +83,7 @@ def monthly_category_aggregate(items: DataFrame, cfg: FeatureConfig = DEFAULT_CO
         F.avg("is_delayed").alias("pct_delayed_orders"),
         *[F.avg(c).alias(f"{c}_mean") for c in shares if c in items.columns],
     )
-    if cfg.approx_distinct:
+    if not exact:
         return measures
     return measures.join(distinct_counts(keyed), list(KEYS), "left")
 

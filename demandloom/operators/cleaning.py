@@ -67,11 +67,23 @@ ENTITY_COLUMNS = {
 }
 
 
+def clean_entity(name: str, df: DataFrame) -> DataFrame:
+    """The columns of one entity, cleaned; the cleaner removes duplicates, which also undoes a fan-out."""
+    cleaners = {
+        "orders": clean_orders,
+        "items": clean_items,
+        "products": lambda rows: clean_products(rows, dashes=True),
+        "payments": clean_payments,
+        "reviews": clean_reviews,
+    }
+    return cleaners[name](select_existing(df, ENTITY_COLUMNS[name]))
+
+
 def decompose_wide(wide: DataFrame) -> dict[str, DataFrame]:
-    """Split a wide joined table back into cleaned entity tables.
+    """Split any wide joined table back into cleaned entity tables.
 
-    Each cleaner removes duplicates itself, which also undoes the fan-out. An
-    entity is left out when its key is not in the table.
+    An entity is left out when its key is not in the table. The table is read
+    once per entity; for the star join itself see ``star.star_entities``.
     """
     keys = {
         "orders": ["order_id"],
@@ -80,17 +92,8 @@ def decompose_wide(wide: DataFrame) -> dict[str, DataFrame]:
         "payments": ["order_id"],
         "reviews": ["order_id"],
     }
-    cleaners = {
-        "orders": clean_orders,
-        "items": clean_items,
-        "products": lambda df: clean_products(df, dashes=True),
-        "payments": clean_payments,
-        "reviews": clean_reviews,
-    }
     return {
-        name: cleaners[name](select_existing(wide, columns))
-        for name, columns in ENTITY_COLUMNS.items()
-        if all(k in wide.columns for k in keys[name])
+        name: clean_entity(name, wide) for name in ENTITY_COLUMNS if all(k in wide.columns for k in keys[name])
     }
 
 

@@ -10,7 +10,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandloom.config import DEFAULT_CONFIG, KEYS, NON_FEATURES, TARGET, FeatureConfig
+from demandloom.config import CATEGORY, DEFAULT_CONFIG, KEYS, NON_FEATURES, TARGET, FeatureConfig
 from demandloom.functions.scalar import numeric_columns
 from demandloom.functions.tables import zero_unusable
 from demandloom.operators.metrics import best_model, model_metrics, stack_predictions
@@ -31,7 +31,7 @@ def regressors(cfg: FeatureConfig = DEFAULT_CONFIG) -> dict:
     # Model sizes, depths and learning rate.
     return {
         "random_forest": RandomForestRegressor(
-            numTrees=50, maxDepth=10, seed=cfg.seed, featureSubsetStrategy="all", maxBins=256, maxMemoryInMB=128, **common
+            numTrees=50, maxDepth=10, seed=cfg.seed, featureSubsetStrategy="all", maxBins=256, **common
         ),
         "linear_regression": LinearRegression(**common),
         "gradient_boosting": GBTRegressor(maxIter=50, maxDepth=8, stepSize=0.1, seed=cfg.seed, **common),
@@ -39,6 +39,8 @@ def regressors(cfg: FeatureConfig = DEFAULT_CONFIG) -> dict:
 
 
 def fit(train: DataFrame, name: str, cfg: FeatureConfig = DEFAULT_CONFIG) -> PipelineModel:
+    """Fit one model. Rows are dealt by category and sorted first, so that a forest's samples follow from the rows alone."""
+    train = train.repartition(CATEGORY).sortWithinPartitions(*KEYS)
     assembler = VectorAssembler(inputCols=feature_names(train), outputCol="features")
     return Pipeline(stages=[assembler, regressors(cfg)[name]]).fit(train)
 
@@ -69,14 +71,12 @@ def train_from_table(
     """Fit the naive and the named models on the first rows, score them on the rest.
 
     The table is written to shared storage before it is numbered and again
-    after, since the split and every fit read it several times. A model that fails keeps its place in the metrics with NULL
-    values and status ``failed``.
+    after, since the split and every fit read it several times. A model that fails
+    keeps its place in the metrics with NULL values, status ``failed`` and the
+    reason in ``error``.
     """
     table = materialize(zero_unusable(features), "features")
-    split = positional_split(table, cfg, order_by)
-    # Tree and linear fits are bound by computation, so the small table is spread over the cores.
-    tasks = min(table.sparkSession.sparkContext.defaultParallelism, table.count() // 500 + 1)
-    split = materialize(split.repartition(tasks), "split")
+    split = materialize(positional_split(table, cfg, order_by), "split")
     train, test = train_part(split), test_part(split)
     predicted = predict_all(test, train, NAIVE_MODELS, order_by)
     scored = list(NAIVE_MODELS)
@@ -92,8 +92,8 @@ def train_from_table(
         predicted = predict(model, predicted, name)
         scored.append(name)
     stacked = stack_predictions(predicted, scored)
-    metrics = model_metrics(stacked).withColumn("status", F.lit("ok"))
+    metrics = model_metrics(stacked).withColumns({"status": F.lit("ok"), "error": F.lit(None).cast("string")})
     if failures:
-        rows = [(name, None, None, None, "failed") for name in failures]
+        rows = [(name, None, None, None, "failed", reason) for name, reason in failures.items()]
         metrics = metrics.unionByName(features.sparkSession.createDataFrame(rows, metrics.schema))
     return Training(models, metrics, stacked, failures)

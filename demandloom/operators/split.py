@@ -9,26 +9,27 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from demandloom.config import DATE, DEFAULT_CONFIG, KEYS, FeatureConfig
+from demandloom.session import materialize
 
 
 def with_position(df: DataFrame, order_by: Sequence[str] = KEYS) -> DataFrame:
-    """Zero-based row position in ``order_by`` order, without sorting the table in one task.
+    """Zero-based row position in ``order_by`` order, without sorting or numbering the table in one task.
 
-    Rows are numbered inside each value of the first column; the number of rows
-    before that value comes from a running sum over one count per value (months
-    or categories, so a few thousand rows at most).
+    Rows are dealt to ranges of the whole order and stored with the number of
+    their range, since the counts and the numbering have to see the same ranges.
+    Each range is numbered on its own; before it come the rows of all ranges
+    below, one count per shuffle partition.
     """
-    outer, *inner = order_by
-    counts = df.groupBy(outer).agg(F.count(F.lit(1)).alias("_size"))
-    running = Window.orderBy(outer).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(outer, F.coalesce(F.sum("_size").over(running), F.lit(0)).alias("_offset"))
-    within = F.row_number().over(Window.partitionBy(outer).orderBy(*inner))
-    return (
-        df.withColumn("_within", within)
-        .join(offsets, outer)
-        .withColumn("position", F.col("_offset") + F.col("_within") - 1)
-        .drop("_offset", "_within")
-    )
+    dealt = df.repartitionByRange(*order_by).withColumn("_range", F.spark_partition_id())
+    ranged = materialize(dealt, "ranges")
+    counts = dict(ranged.groupBy("_range").count().collect())
+    offsets, total = [], 0
+    for number in range(max(counts, default=-1) + 1):
+        offsets.append(total)
+        total += counts.get(number, 0)
+    within = F.row_number().over(Window.partitionBy("_range").orderBy(*order_by)) - 1
+    before = F.get(F.lit(offsets or [0]).cast("array<long>"), F.col("_range"))
+    return ranged.withColumn("position", before + within).drop("_range")
 
 
 def positional_split(

@@ -16,7 +16,8 @@ from pyspark.sql.window import Window
 from demandloom.config import CATEGORY, KEYS, MONTH
 from demandloom.functions.scalar import flag, floored_days, month_label, parse_number
 from demandloom.functions.tables import join_by_key, left_join_by_key, row_groups
-from demandloom.operators.aggregates import distinct_counts
+from demandloom.operators.aggregates import DISTINCT_COUNTS, distinct_counts, kept_rows
+from demandloom.operators.cleaning import clean_entity
 
 WEIGHT = "repeats"
 
@@ -59,7 +60,9 @@ def order_repeats(sources: dict[str, DataFrame]) -> DataFrame:
             F.count(score).alias("score_values"),
         )
     )
-    joined = sources["orders"].join(payments, "order_id", "left").join(reviews, "order_id", "left")
+    # raw orders may repeat an id very often; the totals have one row per id
+    paid = join_by_key(sources["orders"], payments, "order_id", "left")
+    joined = join_by_key(paid, reviews, "order_id", "left")
     counted = joined.withColumns(
         {
             "payment_rows": F.greatest(F.coalesce("payment_rows", F.lit(0)), F.lit(1)),
@@ -69,18 +72,67 @@ def order_repeats(sources: dict[str, DataFrame]) -> DataFrame:
     return counted.withColumn(WEIGHT, F.col("payment_rows") * F.col("review_rows"))
 
 
+def _joined(items: DataFrame, products: DataFrame, orders: DataFrame, how: str) -> DataFrame:
+    timed = orders.withColumn(MONTH, month_label("order_purchase_timestamp"))
+    sold = join_by_key(items, products.select("product_id", CATEGORY), "product_id", how)
+    return join_by_key(sold, timed, "order_id", "inner")
+
+
 def star_items(sources: dict[str, DataFrame]) -> DataFrame:
     """Item rows of the star that have an item, each with its repeat count."""
-    orders = order_repeats(sources).withColumn(MONTH, month_label("order_purchase_timestamp"))
-    sold = join_by_key(sources["items"], sources["products"].select("product_id", CATEGORY), "product_id", "left")
-    return join_by_key(sold, orders, "order_id", "inner")
+    return _joined(sources["items"], sources["products"], order_repeats(sources), "left")
+
+
+def _valued(items: DataFrame) -> DataFrame:
+    return items.filter((F.col("price") > 0) & (F.col("freight_value") >= 0))
+
+
+def clean_star_items(
+    sources: dict[str, DataFrame], orders_clean: DataFrame, products_clean: DataFrame
+) -> DataFrame:
+    """The star items that survive the combined cleaning rules.
+
+    Orders and products are reduced to the clean ones first, so the items, the
+    largest table, meet each of them in one join.
+    """
+    orders = join_by_key(order_repeats(sources), orders_clean.select("order_id"), "order_id", "left_semi")
+    products = join_by_key(sources["products"], products_clean.select("product_id"), "product_id", "left_semi")
+    return _joined(_valued(sources["items"]), products, orders, "inner")
 
 
-def keep_clean(items: DataFrame, orders_clean: DataFrame, products_clean: DataFrame) -> DataFrame:
-    """The star items that survive the combined cleaning rules."""
-    valued = items.filter((F.col("price") > 0) & (F.col("freight_value") >= 0))
-    in_orders = join_by_key(valued, orders_clean.select("order_id"), "order_id", "left_semi")
-    return join_by_key(in_orders, products_clean.select("product_id"), "product_id", "left_semi")
+def clean_combined(
+    sources: dict[str, DataFrame], orders_clean: DataFrame, products_clean: DataFrame
+) -> DataFrame:
+    """Rows of the star join with a valid order, a valid product, price and freight.
+
+    Each source is cleaned before the join that multiplies the rows. A row of the
+    star without an item has no price and is never among them.
+    """
+    orders = join_by_key(sources["orders"], orders_clean.select("order_id"), "order_id", "left_semi")
+    products = join_by_key(sources["products"], products_clean.select("product_id"), "product_id", "left_semi")
+    sold = join_by_key(_valued(sources["items"]), products, "product_id", "inner")
+    reviewed = left_join_by_key(orders, sources["reviews"], "order_id")
+    paid = left_join_by_key(reviewed, sources["payments"], "order_id")
+    return join_by_key(paid, sold, "order_id", "inner")
+
+
+def star_entities(sources: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """What ``cleaning.decompose_wide`` gives for the star join, without building the star.
+
+    Distinct rows survive the fan-out, so each entity comes from its own source,
+    reduced to what the star holds: the rows of known orders, the products of their
+    items, and rows of nulls where an order or a product has no partner.
+    """
+    known = sources["orders"].select("order_id").distinct()
+    asked = left_join_by_key(known, sources["items"].select("order_id", "product_id"), "order_id")
+    parts = {
+        "orders": sources["orders"],
+        "items": join_by_key(sources["items"], known, "order_id", "left_semi"),
+        "products": left_join_by_key(asked.select("product_id").distinct(), sources["products"], "product_id"),
+        "payments": join_by_key(sources["payments"], known, "order_id", "left_semi"),
+        "reviews": left_join_by_key(known, sources["reviews"], "order_id"),
+    }
+    return {name: clean_entity(name, df) for name, df in parts.items()}
 
 
 def retention_report(sources: dict[str, DataFrame], orders_clean: DataFrame, products_clean: DataFrame) -> DataFrame:
@@ -91,11 +143,10 @@ def retention_report(sources: dict[str, DataFrame], orders_clean: DataFrame, pro
     )
     per_order = sold.groupBy("order_id").agg(F.sum("product_rows").alias("item_rows"))
     whole = (
-        order_repeats(sources)
-        .join(per_order, "order_id", "left")
+        join_by_key(order_repeats(sources), per_order, "order_id", "left")
         .agg(F.sum(F.col(WEIGHT) * F.coalesce("item_rows", F.lit(1))).alias("rows_before"))
     )
-    kept = keep_clean(star_items(sources), orders_clean, products_clean).agg(
+    kept = clean_star_items(sources, orders_clean, products_clean).agg(
         F.coalesce(F.sum(WEIGHT), F.lit(0)).alias("rows_after")
     )
     return whole.withColumn("rows_after", kept.scalar()).select(
@@ -138,7 +189,8 @@ def star_quality(
     sold = join_by_key(sources["items"], sources["products"], "product_id", "left")
     cleaned = orders_clean is not None and products_clean is not None
     if cleaned:
-        sold = keep_clean(sold, orders_clean, products_clean)
+        valid = join_by_key(_valued(sold), orders_clean.select("order_id"), "order_id", "left_semi")
+        sold = join_by_key(valid, products_clean.select("product_id"), "product_id", "left_semi")
     tables = {"orders": sources["orders"], "items": sold, "reviews": sources["reviews"], "payments": sources["payments"]}
     flags = {"bad_prices": F.col("price") <= 0, "bad_freights": F.col("freight_value") < 0}
     joined = _part(tables["orders"], "orders")
@@ -151,13 +203,15 @@ def star_quality(
         return F.coalesce(F.col(f"{table}_{what}"), F.lit(absent).cast("long"))
 
     def combined(what: str, replace: str | None = None, by: Column | None = None) -> Column:
-        result = F.lit(1).cast("long")
+        # the product of four counts of a very hot order may pass a long
+        result = F.lit(1).cast("decimal(38,0)")
         for table in tables:
-            result = result * (by if table == replace else of(table, what))
+            factor = by if table == replace else of(table, what)
+            result = (result * factor.cast("decimal(20,0)")).cast("decimal(38,0)")
         return result
 
     def total(value: Column) -> Column:
-        return F.coalesce(F.sum(value), F.lit(0).cast("long"))
+        return F.coalesce(F.sum(value), F.lit(0)).cast("long")
 
     width = sum(len(t.columns) for t in tables.values()) - 3
     nulls = sum((combined("rows", t, of(t, "nulls")) for t in tables), F.lit(0))
@@ -235,7 +289,10 @@ def monthly_aggregate_fanout(items: DataFrame) -> DataFrame:
             "delivery_delay": floored_days("order_delivered_customer_date", "order_estimated_delivery_date"),
         }
     ).withColumn("is_delayed", flag(F.col("delivery_delay") > 0))
-    timed = timed.filter(F.col(MONTH).isNotNull() & F.col(CATEGORY).isNotNull())
+    read = [*KEYS, WEIGHT, "review_rows", "payment_rows", "price", "freight_value", "delivery_time_days", "delivery_delay",
+            "is_delayed", "payment_sum", "payment_values", "installments_sum", "installments_values", "installments_top",
+            "score_sum", "score_values", *DISTINCT_COUNTS.values()]
+    timed = kept_rows(timed.filter(F.col(MONTH).isNotNull() & F.col(CATEGORY).isNotNull()).select(*read))
 
     times, by_review, by_payment = F.col(WEIGHT), F.col("review_rows"), F.col("payment_rows")
     # mean -> (sum over the repeated rows, number of repeated rows with a value)

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from demandloom.config import CATEGORY, DEFAULT_CONFIG, FeatureConfig
-from demandloom.functions.tables import spread_by
+from demandloom.config import DEFAULT_CONFIG, FeatureConfig
 from demandloom.operators.aggregates import monthly_category_aggregate
 from demandloom.operators.calendar import calendar_features
 from demandloom.operators.category import category_features
@@ -16,16 +15,17 @@ from demandloom.operators.ratios import business_ratios
 from demandloom.operators.series import series_features, statistical_features, yearly_features
 
 
-def monthly_table(sources: dict[str, DataFrame], cfg: FeatureConfig = DEFAULT_CONFIG) -> DataFrame:
+def monthly_table(
+    sources: dict[str, DataFrame], cfg: FeatureConfig = DEFAULT_CONFIG, with_counts: bool = True
+) -> DataFrame:
     """Clean, join to item grain and aggregate to month and category."""
-    return monthly_category_aggregate(build_item_grain(clean_all(sources)), cfg)
+    return monthly_category_aggregate(build_item_grain(clean_all(sources)), cfg, with_counts)
 
 
 def features_from_monthly(monthly: DataFrame, cfg: FeatureConfig = DEFAULT_CONFIG) -> DataFrame:
     """All derived columns, unlabelled rows included."""
     return (
-        spread_by(monthly, CATEGORY)
-        .transform(calendar_features)
+        monthly.transform(calendar_features)
         .transform(series_features, cfg)
         .transform(business_ratios)
         .transform(yearly_features, cfg)
@@ -35,8 +35,10 @@ def features_from_monthly(monthly: DataFrame, cfg: FeatureConfig = DEFAULT_CONFI
 
 
 def build_features(
-    sources: dict[str, DataFrame], cfg: FeatureConfig = DEFAULT_CONFIG, drop_constants: bool = False
+    sources: dict[str, DataFrame], cfg: FeatureConfig = DEFAULT_CONFIG, drop_constants: bool = True
 ) -> DataFrame:
-    """The labelled feature table; ``drop_constants`` costs one extra aggregation."""
+    """The labelled feature table; ``drop_constants`` costs one extra aggregation. Without any order there is none."""
+    if sources["orders"].isEmpty():
+        raise ValueError("no orders to build features from")
     table = final_clean(features_from_monthly(monthly_table(sources, cfg), cfg))
     return drop_constant_columns(table) if drop_constants else table

@@ -222,6 +222,11 @@ UNION ALL SELECT 'items', count(*) FROM f_items
 UNION ALL SELECT 'products', count(*) FROM f_products
 UNION ALL SELECT 'payments', count(*) FROM f_payments
 UNION ALL SELECT 'reviews', count(*) FROM f_reviews
+UNION ALL SELECT 'customers', count(*) FROM customer
+UNION ALL SELECT 'sellers', count(*) FROM supplier
+""")
+ORACLES["scan_reviews_csv"] = sql("f_reviews", """
+SELECT *, concat('good, very ""nice"", "said" by ', order_id, chr(10), chr(10), 'product, again') AS review_comment FROM f_reviews
 """)
 ORACLES["scan_orders_typed"] = sql("f_orders", "SELECT * FROM f_orders")
 ORACLES["scan_tolerant"] = """
@@ -260,10 +265,6 @@ FROM (SELECT {KEYS}, demand, lead(demand) OVER ({W}) AS demand_next_month, {colu
 WHERE demand_next_month IS NOT NULL
 """)
 _review_columns = ["order_id", "review_score_mean", "review_count"] + [f"review_pct_{k}" for k in range(1, 6)]
-ORACLES["constant_columns"] = sql("r_features", "\nUNION ALL\n".join(
-    f"SELECT '{c}' AS column_name, CAST(min({c}) AS DOUBLE) AS value FROM r_features HAVING count(DISTINCT {c}) <= 1"
-    for c in _review_columns
-))
 ORACLES["default_columns"] = sql("f_products", """
 SELECT product_id, product_length_cm, 'unknown_category' AS product_category_name,
   0 AS delivery_delay, 0.0::DOUBLE AS pct_boleto
@@ -495,13 +496,6 @@ ORDER BY order_month LIMIT 5
 ORACLES["sample_labelled"] = sql("demand_labelled", """
 SELECT * FROM demand_labelled ORDER BY order_month, product_category_name LIMIT 10
 """)
-ORACLES["sanitize_predictions"] = sql("f_items", """
-SELECT order_id, order_item_id, product_id,
-  CASE WHEN order_id % 7 = 4 THEN 0.0::DOUBLE - price WHEN order_id % 7 > 4 THEN price ELSE 0 END AS prediction,
-  CASE WHEN order_id % 7 > 4 THEN price ELSE 0 END AS clamped
-FROM f_items
-""")
-
 # ---- naive models and metrics --------------------------------------------
 
 define("pos_train", "by_position", "SELECT * FROM by_position WHERE split = 'train'")
@@ -547,6 +541,12 @@ SELECT 'naive_last_value' AS model, * FROM naive_last_value
 UNION ALL SELECT 'naive_historical_mean', * FROM naive_historical_mean
 UNION ALL SELECT 'naive_by_category', * FROM naive_by_category
 """)
+ORACLES["sanitize_predictions"] = sql("naive_stack", f"""
+SELECT {KEYS}, model, demand_next_month,
+  {rnd("CASE WHEN demand_next_month % 7 = 4 THEN -prediction - 1 WHEN demand_next_month % 7 > 4 THEN prediction ELSE 0 END", 6)} AS prediction,
+  {rnd("CASE WHEN demand_next_month % 7 > 4 THEN prediction ELSE 0 END", 6)} AS clamped
+FROM naive_stack
+""")
 define("forecast_stack", "forecast_naive_last forecast_naive_mean forecast_global_last", """
 SELECT 'naive_category_last' AS model, * FROM forecast_naive_last
 UNION ALL SELECT 'naive_category_mean', * FROM forecast_naive_mean
@@ -646,3 +646,35 @@ FROM (
   FROM grown
 ) WHERE demand_next_month IS NOT NULL
 """)
+
+# ---- fitted models: facts about the fits ----------------------------------
+
+# Keys and dates, which are no features.
+ORACLES["constant_columns"] = f"""
+WITH feature_rows AS ({ORACLES['feature_table']})
+SELECT column_name, min(value) AS value FROM (
+  UNPIVOT (SELECT CAST(COLUMNS(* EXCLUDE (order_month, product_category_name, date)) AS DOUBLE) FROM feature_rows)
+  ON COLUMNS(*) INTO NAME column_name VALUE value
+) GROUP BY column_name HAVING min(value) = max(value)
+"""
+for _n in ("rf_predictions", "lr_predictions", "gbt_predictions"):
+    ORACLES[_n] = sql("pos_test", f"SELECT {KEYS}, demand_next_month, true AS is_finite, true AS fit_holds FROM pos_test")
+_models = ("naive_last_value", "naive_historical_mean", "naive_by_category", "linear_regression")
+
+
+def _scored(models: tuple[str, ...], more: str = "") -> str:
+    return "\nUNION ALL\n".join(f"SELECT '{m}' AS model, 'ok' AS status, true AS is_scored{more}" for m in models)
+
+
+ORACLES["train_from_table"] = _scored(_models)
+ORACLES["train_and_score"] = _scored((*_models, "gradient_boosting"), ", true AS latest_is_best")
+ORACLES["model_persist"] = sql("labelled", f"SELECT {KEYS}, demand_next_month, true AS is_same FROM labelled")
+ORACLES["retrain"] = sql("labelled", """
+SELECT count(*) + count(DISTINCT product_category_name) AS n_rows, count(DISTINCT product_category_name) AS n_categories,
+  strftime(max(date) + INTERVAL '1' MONTH, '%Y-%m') AS last_month, CAST(2 AS BIGINT) AS n_versions, CAST(4 AS BIGINT) AS n_models,
+  true AS latest_is_best
+FROM labelled
+""")
+ORACLES["read_or_compute"] = sql("labelled", """
+SELECT call, count(*) AS n_rows, CAST(sum(demand_next_month) AS BIGINT) AS target FROM labelled, (VALUES (1), (2)) c(call) GROUP BY call
+""")

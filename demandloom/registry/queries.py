@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandloom.config import CATEGORY, DATE, KEYS, MONTH, TARGET
@@ -61,8 +61,8 @@ def _item_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.build_item_grain(_clean(spark, sf_dir))
 
 
-def _monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.monthly_table(views.source_views(spark, sf_dir))
+def _monthly(spark: SparkSession, sf_dir: str, with_counts: bool = False) -> DataFrame:
+    return features.monthly_table(views.source_views(spark, sf_dir), with_counts=with_counts)
 
 
 def _series_input(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,8 +80,8 @@ def _stored(table: DataFrame) -> DataFrame:
 
 def _star_clean_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = views.source_views(spark, sf_dir)
-    return star.keep_clean(
-        star.star_items(sources),
+    return star.clean_star_items(
+        sources,
         cleaning.clean_orders(sources["orders"]),
         cleaning.clean_products(sources["products"], dashes=True),
     )
@@ -117,11 +117,21 @@ def _family(columns: dict, digits: int | None = None, skip: tuple[str, ...] = ()
 # ---- sources and sinks ---------------------------------------------------
 
 
+def _as_csv(spark: SparkSession, df: DataFrame, name: str, base: str) -> None:
+    """The table as ``base/name.csv``, times as the source files have them."""
+    stamped = {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c, t in df.dtypes if t == "timestamp_ntz"}
+    files.write_csv(df.withColumns(stamped) if stamped else df, f"{base}/{name}.csv")
+
+
 @query
 def scan_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All seven tables, written as CSV and read as the jobs read them."""
+    base = scratch_path(spark, "sources-csv")
+    for name, df in {**views.source_views(spark, sf_dir), **views.party_views(spark, sf_dir)}.items():
+        _as_csv(spark, df, name, base)
     counts = [
         df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
-        for name, df in views.source_views(spark, sf_dir).items()
+        for name, df in files.load_sources(spark, base).items()
     ]
     result = counts[0]
     for other in counts[1:]:
@@ -131,12 +141,21 @@ def scan_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def scan_orders_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "orders-csv")
+    base = scratch_path(spark, "orders-csv")
     raw = views.orders_view(spark, sf_dir)
-    stamped = {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c, t in raw.dtypes if t == "timestamp_ntz"}
-    files.write_csv(raw.withColumns(stamped), path)
+    _as_csv(spark, raw, "orders", base)
     schema = with_id_type(SCHEMAS["orders"], raw.schema["order_id"].dataType)
-    return files.scan_csv(spark, path, schema)
+    return files.scan_csv(spark, f"{base}/orders.csv", schema)
+
+
+@query
+def scan_reviews_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews with a comment that holds commas, quotes and line ends, through CSV and back."""
+    base = scratch_path(spark, "reviews-csv")
+    comment = F.concat(F.lit('good, very ""nice"", "said" by '), F.col("order_id").cast("string"), F.lit("\n\nproduct, again"))
+    raw = views.reviews_view(spark, sf_dir).withColumn("review_comment", comment)
+    _as_csv(spark, raw, "reviews", base)
+    return files.scan_csv(spark, f"{base}/reviews.csv", raw.schema, multiline=True)
 
 
 @query
@@ -231,8 +250,8 @@ def final_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def constant_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    per_order = orders.review_features(cleaning.clean_reviews(views.reviews_view(spark, sf_dir)))
-    return final.constant_columns(per_order)
+    """The columns that the feature table leaves out."""
+    return final.constant_columns(feature_table(spark, sf_dir))
 
 
 @query
@@ -245,7 +264,7 @@ def default_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def decompose_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = star.star_left_join(views.source_views(spark, sf_dir))
+    entities = star.star_entities(views.source_views(spark, sf_dir))
     keys = {"products": "product_id"}
     counts = [
         df.agg(
@@ -253,7 +272,7 @@ def decompose_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.count(F.lit(1)).alias("n_rows"),
             F.count_distinct(keys.get(name, "order_id")).alias("n_keys"),
         )
-        for name, df in cleaning.decompose_wide(wide).items()
+        for name, df in entities.items()
     ]
     result = counts[0]
     for other in counts[1:]:
@@ -264,8 +283,8 @@ def decompose_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def clean_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = views.source_views(spark, sf_dir)
-    return cleaning.clean_combined(
-        star.star_left_join(sources),
+    return star.clean_combined(
+        sources,
         cleaning.clean_orders(sources["orders"]),
         cleaning.clean_products(sources["products"], dashes=True),
     ).select(
@@ -364,7 +383,7 @@ def review_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def monthly_category_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(_monthly(spark, sf_dir), 4, ["price_std", "delivery_time_days_std"])
+    return rounded(_monthly(spark, sf_dir, with_counts=True), 4, ["price_std", "delivery_time_days_std"])
 
 
 @query
@@ -596,7 +615,7 @@ def calendar_dummies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def business_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
-    monthly = _monthly(spark, sf_dir)
+    monthly = _monthly(spark, sf_dir, with_counts=True)
     return ratios.business_ratios(monthly).drop(*[c for c in monthly.columns if c not in KEYS])
 
 
@@ -609,23 +628,20 @@ def category_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sanitize_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Forecasts spoilt by key modulus with NaN, infinity, NULL and negative values."""
-    key = F.col("order_id")
+    """Stacked naive predictions, spoilt by target modulus with NaN, infinity, NULL and negative values."""
+    key, value = F.col(TARGET), F.col("prediction").cast("double")
     raw = (
         F.when(key % 7 == 0, float("nan"))
         .when(key % 7 == 1, float("inf"))
         .when(key % 7 == 2, -float("inf"))
         .when(key % 7 == 3, F.lit(None).cast("double"))
-        .when(key % 7 == 4, -F.col("price"))
-        .otherwise(F.col("price"))
+        .when(key % 7 == 4, -value - 1)
+        .otherwise(value)
     )
-    return views.items_view(spark, sf_dir).select(
-        "order_id",
-        "order_item_id",
-        "product_id",
-        finite_or_zero(raw).alias("prediction"),
-        clamp_non_negative(raw).alias("clamped"),
+    table = _naive_stack(spark, sf_dir).select(
+        *KEYS, "model", TARGET, finite_or_zero(raw).alias("prediction"), clamp_non_negative(raw).alias("clamped")
     )
+    return rounded(table, 6, ["prediction", "clamped"])
 
 
 # ---- naive models and metrics --------------------------------------------
@@ -715,7 +731,7 @@ def round_features(df: DataFrame) -> DataFrame:
 
 @query
 def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return round_features(features.build_features(views.source_views(spark, sf_dir)))
+    return round_features(features.build_features(views.source_views(spark, sf_dir), drop_constants=False))
 
 
 UPDATE_COLUMNS = (MONTH, CATEGORY, DATE, "demand", "total_sales", TARGET)
@@ -729,7 +745,7 @@ def update_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def update_recompute(spark: SparkSession, sf_dir: str) -> DataFrame:
-    monthly = _stored(_monthly(spark, sf_dir))
+    monthly = _stored(_monthly(spark, sf_dir, with_counts=True))
     table = training.updated_features(monthly, update.next_month_rows(monthly))
     columns = ["demand", TARGET, "demand_lag_1", "demand_lag_12", "ma_3", "demand_growth_1m", "cumulative_demand_year"]
     return rounded(table.select(*KEYS, *columns), 4, ["ma_3"])
@@ -742,17 +758,57 @@ def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.build_features(views.source_views(spark, sf_dir))
 
 
-def _predictions(name: str) -> Query:
+def _finite(c: str) -> Column:
+    value = F.col(c)
+    return value.isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf"))
+
+
+def _checked(name: str, fact: Callable[[models.Training, DataFrame], Column]) -> Query:
+    """Every test row with its target, whether its prediction is finite, and a fact about the fit."""
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        trained = models.train_from_table(_features(spark, sf_dir), (name,))
-        return trained.predictions.filter(F.col("model") == name)
+        table = _stored(_features(spark, sf_dir))
+        trained = models.train_from_table(table, (name,))
+        rows = trained.predictions.filter(F.col("model") == name)
+        return rows.select(
+            *KEYS, TARGET, _finite("prediction").alias("is_finite"), fact(trained, table).alias("fit_holds")
+        )
 
     return run
 
 
-QUERIES["rf_predictions"] = _predictions("random_forest")
-QUERIES["lr_predictions"] = _predictions("linear_regression")
-QUERIES["gbt_predictions"] = _predictions("gradient_boosting")
+def _train_rows(table: DataFrame) -> DataFrame:
+    return split.train_part(split.positional_split(zero_unusable(table)))
+
+
+def _within_targets(trained: models.Training, table: DataFrame) -> Column:
+    """A forest predicts means of training targets."""
+    low, high = _train_rows(table).agg(F.min(TARGET), F.max(TARGET)).first()
+    return F.col("prediction").between(low - 1e-6, high + 1e-6)
+
+
+def _residuals_cancel(trained: models.Training, table: DataFrame) -> Column:
+    """With an intercept, the training residuals of a linear fit add up to nothing."""
+    rows = models.predict(trained.models["linear_regression"], _train_rows(table), "prediction")
+    rest, size = rows.agg(F.sum(F.col(TARGET) - F.col("prediction")), F.sum(F.abs(TARGET))).first()
+    return F.lit(abs(rest) <= 1e-6 * size)
+
+
+def _beats_the_mean(trained: models.Training, table: DataFrame) -> Column:
+    """Boosting explains most of the variance of its own training rows."""
+    rows = models.predict(trained.models["gradient_boosting"], _train_rows(table), "prediction")
+    left, whole = rows.agg(F.avg(F.pow(F.col(TARGET) - F.col("prediction"), 2)), F.var_pop(TARGET)).first()
+    return F.lit(left < 0.5 * whole)
+
+
+QUERIES["rf_predictions"] = _checked("random_forest", _within_targets)
+QUERIES["lr_predictions"] = _checked("linear_regression", _residuals_cancel)
+QUERIES["gbt_predictions"] = _checked("gradient_boosting", _beats_the_mean)
+
+
+def _scored(table: DataFrame) -> DataFrame:
+    """Each model with its status and whether its errors are usable numbers."""
+    return table.select("model", "status", (_finite("mae") & _finite("rmse") & (F.col("mae") <= F.col("rmse") + 1e-9)).alias("is_scored"))
 
 
 @query
@@ -761,21 +817,64 @@ def train_from_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _stored(_features(spark, sf_dir))
     appended = update.append_months(table, update.next_month_rows(table).drop("demand_lag_1"))
     trained = models.train_from_table(appended, ("linear_regression",), order_by=(CATEGORY, DATE))
-    return trained.metrics
+    return _scored(trained.metrics)
+
+
+def _latest_is(spark: SparkSession, root: str, trained: models.Training) -> bool:
+    """Whether the log of the newest training names the trained model with the smallest error."""
+    fitted = trained.metrics.filter(F.col("model").isin(list(trained.models)))
+    best = fitted.orderBy("mae", "model").first()["model"]
+    newest = spark.read.parquet(f"{root}/model_latest").orderBy(F.desc("version")).first()["path"]
+    return f"/model_{best}_" in newest
 
 
 @query
 def train_and_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = ("linear_regression", "gradient_boosting")
-    trained = training.train_and_save(_features(spark, sf_dir), scratch_path(spark, "models"), names=names)
-    return metrics.comparison_table(trained.metrics)
+    names, root = ("linear_regression", "gradient_boosting"), scratch_path(spark, "models")
+    trained = training.train_and_save(_features(spark, sf_dir), root, names=names)
+    latest = F.lit(_latest_is(spark, root, trained))
+    return _scored(metrics.comparison_table(trained.metrics)).withColumn("latest_is_best", latest)
 
 
 @query
 def model_persist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Predictions of the stored best model after loading it again."""
+    """Every row, and whether the stored and loaded model predicts for it what the fitted one does."""
     root = scratch_path(spark, "models")
     table = _stored(_features(spark, sf_dir))
-    training.train_and_save(table, root, names=("linear_regression",))
-    loaded = files.load_model(f"{root}/model_latest")
-    return models.predict(loaded, zero_unusable(table), "prediction").select(*KEYS, TARGET, "prediction")
+    trained = training.train_and_save(table, root, names=("linear_regression",))
+    fitted = models.predict(trained.models["linear_regression"], zero_unusable(table), "fitted")
+    both = models.predict(files.latest_model(spark, root), fitted, "loaded")
+    return both.select(*KEYS, TARGET, (F.col("fitted") == F.col("loaded")).alias("is_same"))
+
+
+@query
+def retrain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Append the next month, store the table as a new version, train on it and store the models."""
+    table_root, model_root = scratch_path(spark, "snapshots"), scratch_path(spark, "models")
+    table = _stored(_features(spark, sf_dir))
+    files.write_snapshot(table, table_root)
+    new = update.next_month_rows(table)
+    trained = training.retrain(spark, table, new, table_root, model_root, names=("linear_regression",))
+    latest = _latest_is(spark, model_root, trained)
+    versions = files.snapshot_log(spark, table_root).count()
+    ok = trained.metrics.filter("status = 'ok'").count()
+    return files.read_snapshot(spark, table_root).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct(CATEGORY).alias("n_categories"),
+        F.max(MONTH).alias("last_month"),
+        F.lit(versions).cast("long").alias("n_versions"),
+        F.lit(ok).cast("long").alias("n_models"),
+        F.lit(latest).alias("latest_is_best"),
+    )
+
+
+@query
+def read_or_compute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature table computed and stored on the first call, read on the second one."""
+    path = scratch_path(spark, "features")
+    sources = views.source_views(spark, sf_dir)
+    first = training.stored_features(spark, path, sources)
+    # without any source the second call can only read
+    second = training.stored_features(spark, path, {})
+    counted = [df.agg(F.lit(n).alias("call"), F.count(F.lit(1)).alias("n_rows"), F.sum(TARGET).alias("target")) for n, df in ((1, first), (2, second))]
+    return counted[0].unionByName(counted[1])

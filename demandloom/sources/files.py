@@ -22,26 +22,48 @@ def _without_nan(df: DataFrame) -> DataFrame:
     return df.withColumns(doubles) if doubles else df
 
 
-def scan_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header, columns matched by name, unreadable values as NULL."""
-    reader = spark.read.option("header", True).option("enforceSchema", True)
+#: Text is quoted where needed, and a quote inside a text is doubled.
+CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"'}
+
+
+def scan_csv(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = False) -> DataFrame:
+    """CSV with a header, columns matched by name, unreadable values as NULL.
+
+    Columns come in the order of the header, further ones as text; a column of
+    the schema that the files lack is added as NULL. Files of one folder must
+    agree in their header: one that names the columns otherwise stops the job,
+    since Spark reads them by position. ``multiline`` lets a quoted text run
+    over several lines; such a file is read by one task, so keep large tables in
+    many files or in parquet.
+    """
+    reader = spark.read.options(**CSV_OPTIONS, multiLine=multiline, enforceSchema=False)
     header = reader.csv(path).columns
     typed = {f.name: f for f in schema}
     present = T.StructType([typed.get(c, T.StructField(c, T.StringType())) for c in header])
-    options = {"mode": "PERMISSIVE", "timestampNTZFormat": TIMESTAMP_FORMAT, "multiLine": False}
-    return _without_nan(reader.options(**options).schema(present).csv(path))
+    found = reader.options(mode="PERMISSIVE", timestampNTZFormat=TIMESTAMP_FORMAT).schema(present).csv(path)
+    absent = {f.name: F.lit(None).cast(f.dataType) for f in schema if f.name not in header}
+    return _without_nan(found.withColumns(absent) if absent else found)
+
 
+def scan_parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Parquet with the columns and types of the schema; columns that the files lack are NULL, others are left out."""
+    stored = spark.read.parquet(path)
+    return stored.select(
+        *[(F.col(f.name) if f.name in stored.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema]
+    )
 
-def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
 
+def scan_tolerant(
+    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv", multiline: bool = False
+) -> DataFrame:
+    """The table, or no rows with the same schema when the path does not exist.
 
-def scan_tolerant(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "csv") -> DataFrame:
-    """The table, or no rows with the same schema when the path does not exist."""
+    A folder without any data file, as a failed write leaves it, is an error.
+    """
     try:
-        return scan_csv(spark, path, schema) if fmt == "csv" else scan_parquet(spark, path)
+        return scan_csv(spark, path, schema, multiline) if fmt == "csv" else scan_parquet(spark, path, schema)
     except AnalysisException as problem:
-        if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if problem.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], schema)
 
@@ -49,16 +71,19 @@ def scan_tolerant(spark: SparkSession, path: str, schema: T.StructType, fmt: str
 def load_sources(
     spark: SparkSession, base: str, fmt: str = "csv", files: dict[str, str] | None = None
 ) -> dict[str, DataFrame]:
-    """All source tables below ``base``; ``files`` overrides the name of a table's file."""
+    """All source tables below ``base``; ``files`` overrides the name of a table's file.
+
+    Reviews hold free text, so their texts may run over several lines.
+    """
     names = files or {}
     return {
-        table: scan_tolerant(spark, f"{base}/{names.get(table, f'{table}.{fmt}')}", schema, fmt)
+        table: scan_tolerant(spark, f"{base}/{names.get(table, f'{table}.{fmt}')}", schema, fmt, table == "reviews")
         for table, schema in SCHEMAS.items()
     }
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def write_table(df: DataFrame, path: str, partition_by: str = MONTH) -> None:
@@ -71,7 +96,7 @@ def write_table(df: DataFrame, path: str, partition_by: str = MONTH) -> None:
 
 
 def read_csv_like(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.option("header", True).schema(schema).csv(path)
+    return spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
 
 
 def read_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
@@ -79,7 +104,7 @@ def read_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame]
     try:
         return spark.read.parquet(path)
     except AnalysisException as problem:
-        if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if problem.getCondition() != "PATH_NOT_FOUND":
             raise
         return build()
 
@@ -95,12 +120,24 @@ def new_version() -> str:
     return datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S_%f")
 
 
+def _log(spark: SparkSession, log: str, version: str, path: str) -> None:
+    spark.createDataFrame([(version, path)], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(log)
+
+
+def _newest(spark: SparkSession, log: str, version: str | None = None) -> str:
+    entries = read_or_build(spark, log, lambda: spark.createDataFrame([], LOG_SCHEMA))
+    wanted = entries.filter(F.col("version") == version) if version else entries.orderBy(F.desc("version"))
+    entry = wanted.first()
+    if entry is None:
+        raise FileNotFoundError(f"nothing listed in {log}")
+    return entry["path"]
+
+
 def write_snapshot(df: DataFrame, root: str, version: str | None = None) -> str:
     version = version or new_version()
     path = f"{root}/data/version={version}"
     df.write.parquet(path)
-    entry = df.sparkSession.createDataFrame([(version, path)], LOG_SCHEMA)
-    entry.coalesce(1).write.mode("append").parquet(f"{root}/log")
+    _log(df.sparkSession, f"{root}/log", version, path)
     return version
 
 
@@ -109,28 +146,29 @@ def snapshot_log(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_snapshot(spark: SparkSession, root: str, version: str | None = None) -> DataFrame:
-    log = snapshot_log(spark, root)
-    wanted = log.filter(F.col("version") == version) if version else log.orderBy(F.desc("version"))
-    entry = wanted.first()
-    if entry is None:
-        raise FileNotFoundError(f"no snapshot under {root}")
-    return spark.read.parquet(entry["path"])
+    return spark.read.parquet(_newest(spark, f"{root}/log", version))
+
 
+def save_models(
+    spark: SparkSession, models: dict[str, PipelineModel], best: str | None, root: str, version: str | None = None
+) -> list[str]:
+    """Each trained model under a versioned name; the log ``model_latest`` then names the best one.
 
-def save_models(models: dict[str, PipelineModel], best: str | None, root: str, version: str | None = None) -> list[str]:
-    """Each trained model under a versioned name, and the best one as ``model_latest``."""
+    A reader of the log finds the model before until the new one is complete.
+    """
     version = version or new_version()
-    paths = []
+    paths = {name: f"{root}/model_{name}_{version}" for name in models}
     for name, model in models.items():
-        path = f"{root}/model_{name}_{version}"
-        model.write().overwrite().save(path)
-        paths.append(path)
+        model.write().overwrite().save(paths[name])
     if best in models:
-        latest = f"{root}/model_latest"
-        models[best].write().overwrite().save(latest)
-        paths.append(latest)
-    return paths
+        _log(spark, f"{root}/model_latest", version, paths[best])
+    return list(paths.values())
 
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+def latest_model(spark: SparkSession, root: str) -> PipelineModel:
+    """The best model of the newest training."""
+    return load_model(_newest(spark, f"{root}/model_latest"))

@@ -13,6 +13,8 @@ from demandloom.schemas import struct_of
 
 # The columns of the test tables that the views read.
 TABLES = {
+    "customer": struct_of("c_custkey long"),
+    "supplier": struct_of("s_suppkey long"),
     "orders": struct_of(
         "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz"
     ),
@@ -139,3 +141,11 @@ def source_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "payments": payments_view(spark, sf_dir),
         "reviews": reviews_view(spark, sf_dir),
     }
+
+
+def party_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Customers and sellers, which are loaded but enter no feature."""
+    return {
+        "customers": read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_id")),
+        "sellers": read_table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("seller_id")),
+    }

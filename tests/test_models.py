@@ -62,7 +62,7 @@ def test_training_saves_models_and_reports_failures(spark, table, tmp_path, monk
     assert trained.best(trained_only=True).first()["model"] == "linear_regression"
     saved = sorted(os.listdir(root))
     assert saved[-1].startswith("model_linear_regression_") and "model_latest" in saved and len(saved) == 2
-    loaded = files.load_model(f"{root}/model_latest")
+    loaded = files.latest_model(spark, root)
     again = models.predict(loaded, table, "p").agg(F.count("p")).first()[0]
     assert again == table.count()
 
