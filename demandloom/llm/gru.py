@@ -17,6 +17,8 @@ import pyarrow.compute as pc
 #: Buckets of the evidence of words and n-grams, how many of them share an embedding, and the sizes of an embedding
 #: and of a direction's state.
 BUCKETS, SHARED, EMBED, STATE = 1 << 18, 16, 6, 8
+#: Words whose n-grams are worked on at once.
+CHUNK = 1 << 15
 #: Lengths of the character n-grams, with a mark on either end of the word.
 GRAMS = (3, 4, 5)
 INPUT = 2 * EMBED + 3
@@ -53,7 +55,16 @@ class Hashed:
     """Buckets of words and of their n-grams; ``grams`` of word i lie between ``cuts[i]`` and ``cuts[i + 1]``."""
 
     def __init__(self, words: pa.Array) -> None:
-        raw = [b"\x02" + w.encode() + b"\x03" for w in words.to_pylist()]
+        parts = [self._hash(words.slice(first, CHUNK).to_pylist()) for first in range(0, len(words), CHUNK)]
+        none = np.zeros(0, np.int32)
+        self.word = np.concatenate([none, *[p[0] for p in parts]])
+        self.grams = np.concatenate([none, *[p[1] for p in parts]])
+        self.cuts = np.concatenate([[0], np.cumsum(np.concatenate([none, *[p[2] for p in parts]]))]).astype(np.int64)
+
+    @classmethod
+    def _hash(cls, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Buckets of the words, of their n-grams word by word, and how many n-grams each word has."""
+        raw = [b"\x02" + w.encode() + b"\x03" for w in words]
         sizes = np.fromiter(map(len, raw), np.int64, len(raw))
         data = np.frombuffer(b"".join(raw), np.uint8).astype(np.uint64)
         stops = np.cumsum(sizes)
@@ -63,7 +74,8 @@ class Hashed:
         places = np.arange(len(data)) - np.repeat(starts, sizes)
         weights = np.power(power, np.arange(1, int(sizes.max(initial=0)) + 2, dtype=np.uint64))
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(data * weights[places])])
-        self.word = self._bucket(sums[stops] - sums[starts])
+        word = cls._bucket(sums[stops] - sums[starts])
+        every = np.repeat(np.arange(len(raw), dtype=np.int32), sizes)
         kept, owners = [], []
         for n in GRAMS:
             if len(data) < n:
@@ -71,20 +83,19 @@ class Hashed:
             value = np.zeros(len(data) - n + 1, np.uint64)
             for i in range(n):
                 value = value * np.uint64(1000003) + data[i : i + len(value)]
-            ends = np.arange(len(value)) + n
-            owner = np.repeat(np.arange(len(raw)), sizes)[: len(value)]
-            inside = ends <= stops[owner]
-            kept.append(self._bucket(value[inside] + np.uint64(n)))
+            owner = every[: len(value)]
+            inside = np.arange(n, len(data) + 1) <= stops[owner]
+            kept.append(cls._bucket(value[inside] + np.uint64(n)))
             owners.append(owner[inside])
-        owner = np.concatenate(owners) if owners else np.zeros(0, np.int64)
+        owner = np.concatenate(owners) if owners else np.zeros(0, np.int32)
         order = np.argsort(owner, kind="stable")
-        self.grams = (np.concatenate(kept) if kept else np.zeros(0, np.int64))[order]
-        self.cuts = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(raw)))]).astype(np.int64)
+        grams = (np.concatenate(kept) if kept else np.zeros(0, np.int32))[order]
+        return word, grams, np.bincount(owner, minlength=len(raw)).astype(np.int32)
 
     @staticmethod
     def _bucket(value: np.ndarray) -> np.ndarray:
         mixed = value * np.uint64(0xD6E8FEB86659FD93)
-        return ((mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(40)).astype(np.int64) % BUCKETS
+        return ((mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(40)).astype(np.int32) % BUCKETS
 
 
 def evidence(present: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
@@ -137,15 +148,17 @@ class Network:
         row = np.broadcast_to(np.asarray(row), (count,))
         x = np.zeros((count, INPUT), np.float32)
         x[:, :EMBED] = self.p["words"][hashed.word // SHARED]
-        if count and len(hashed.grams):
-            sizes = np.diff(hashed.cuts)
-            # every word has at least one n-gram: two marks and a character
-            embedded = self.p["grams"][hashed.grams // SHARED]
-            x[:, EMBED : 2 * EMBED] = np.add.reduceat(embedded, hashed.cuts[:-1], axis=0) / sizes[:, None]
-            found = self.gram_evidence[np.repeat(row, sizes), hashed.grams]
-            x[:, -2] = np.maximum.reduceat(found, hashed.cuts[:-1])
-            x[:, -1] = np.add.reduceat(found, hashed.cuts[:-1]) / sizes
         x[:, -3] = self.word_evidence[row, hashed.word]
+        for first in range(0, count, CHUNK):
+            part = slice(first, min(count, first + CHUNK))
+            cuts = hashed.cuts[part.start : part.stop + 1]
+            grams, sizes, begins = hashed.grams[cuts[0] : cuts[-1]], np.diff(cuts), cuts[:-1] - cuts[0]
+            # every word has at least one n-gram: two marks and a character
+            embedded = self.p["grams"][grams // SHARED]
+            x[part, EMBED : 2 * EMBED] = np.add.reduceat(embedded, begins, axis=0) / sizes[:, None]
+            found = self.gram_evidence[np.repeat(row[part], sizes), grams]
+            x[part, -2] = np.maximum.reduceat(found, begins)
+            x[part, -1] = np.add.reduceat(found, begins) / sizes
         return x
 
     def _states(self, entered: np.ndarray, at: np.ndarray, mask: np.ndarray, side: str, keep: bool) -> tuple[np.ndarray, list]:
@@ -268,6 +281,6 @@ def laid_out(at: np.ndarray, first: np.ndarray, length: np.ndarray, width: int)
     """(windows x width) word numbers and their mask."""
     places = first[:, None] + np.arange(width)
     mask = np.arange(width) < length[:, None]
-    table = np.zeros(places.shape, np.int64)
+    table = np.zeros(places.shape, np.int32)
     table[mask] = at[places[mask]]
     return table, mask.astype(np.float32)

@@ -133,9 +133,11 @@ def fit(docs: DataFrame, labels: DataFrame, seed: int = 7) -> Model:
             own = table[batch] * 2 + y_batch[:, None].astype(np.int64)
             used, local = np.unique(own, return_inverse=True)
             part = gru.Hashed(words.take(pa.array(used // 2)))
-            optimiser.update(
-                network.gradients(part, 1 + used % 2, local.reshape(own.shape), mask[batch], y_batch, weight[batch], draw)
-            )
+            # a window without words goes with every batch, as one of a document that is not toxic
+            places = np.vstack([local.reshape(own.shape), np.zeros((1, WIDTH), np.int64)])
+            masks = np.vstack([mask[batch], np.zeros((1, WIDTH), np.float32)])
+            target, weights = np.append(y_batch, np.float32(0)), np.append(weight[batch], np.float32(1))
+            optimiser.update(network.gradients(part, 1 + used % 2, places, masks, target, weights, draw))
     logits = np.full(len(y), -np.inf, np.float32)
     if calibrating.any():
         logits[calibrating] = _document_logits(network, texts.filter(pa.array(calibrating)))
