@@ -4,7 +4,7 @@ import os
 import pytest
 
 from demandloom.plans.features import build_features
-from demandloom.schemas import SCHEMAS
+from demandloom.schemas import SCHEMAS, struct_of
 from demandloom.sources import files
 
 
@@ -41,6 +41,51 @@ def test_typed_scan(spark, base):
     assert dict(df.dtypes)["order_approved_at"] == "string"  # a column the schema does not name
 
 
+def test_quotes_and_lines_inside_a_text(spark, tmp_path):
+    schema = struct_of("review_id string, order_id string, review_comment string, review_score string")
+    rows = [
+        ("r1", "o1", 'good, very ""nice""\nproduct', "5"), ("r2", "o2", '"', "4"), ("r3", "o3", 'a\\"b\n\n,', "3"),
+        ("r4", "o4", None, "1"), ("r5", "o5", "plain", None),
+    ]
+    df = spark.createDataFrame(rows, schema)
+    files.write_csv(df, str(tmp_path / "own"))
+    assert sorted(map(tuple, files.scan_csv(spark, str(tmp_path / "own"), schema, multiline=True).collect())) == rows
+    (tmp_path / "other.csv").write_text(
+        'review_id,order_id,review_comment,review_score\nr1,o1,"good, very ""nice""\nproduct",5\nr2,o2,,4\n'
+    )
+    found = files.scan_csv(spark, str(tmp_path / "other.csv"), schema, multiline=True)
+    assert [tuple(r) for r in found.collect()] == [("r1", "o1", 'good, very "nice"\nproduct', "5"), ("r2", "o2", None, "4")]
+
+
+def test_headers_decide_not_places(spark, tmp_path):
+    one, two = tmp_path / "one", tmp_path / "two"
+    one.mkdir(), two.mkdir()
+    (one / "a.csv").write_text("order_id,freight_value,price,order_item_id,product_id,seller_id\no1,3,20,1,p,s\n")
+    assert files.scan_csv(spark, str(one), SCHEMAS["items"]).select("price", "freight_value").first() == (20.0, 3.0)
+    (two / "a.csv").write_text("order_id,price,freight_value\no1,20,3\n")
+    (two / "b.csv").write_text("order_id,freight_value,price\no2,3,20\n")
+    with pytest.raises(Exception, match="CSV header does not conform|does not conform"):
+        files.scan_csv(spark, str(two), SCHEMAS["items"]).collect()
+
+
+def test_absent_column_is_null(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("order_id,price\no1,20\n")
+    found = files.scan_csv(spark, str(tmp_path / "a.csv"), SCHEMAS["items"])
+    assert set(found.columns) == set(SCHEMAS["items"].names)
+    assert found.select("order_id", "price", "freight_value", "order_item_id").first() == ("o1", 20.0, None, None)
+
+
+def test_parquet_follows_the_schema_and_empty_folders_are_errors(spark, tmp_path):
+    path = str(tmp_path / "items.parquet")
+    spark.createDataFrame([(7, "12.5", 1)], "order_id long, price string, other int").write.parquet(path)
+    found = files.scan_tolerant(spark, path, SCHEMAS["items"], "parquet")
+    assert found.dtypes == files.scan_tolerant(spark, str(tmp_path / "none"), SCHEMAS["items"], "parquet").dtypes
+    assert found.select("order_id", "price", "freight_value").first() == ("7", 12.5, None)
+    (tmp_path / "failed.parquet").mkdir()
+    with pytest.raises(Exception, match="UNABLE_TO_INFER_SCHEMA"):
+        files.scan_tolerant(spark, str(tmp_path / "failed.parquet"), SCHEMAS["items"], "parquet")
+
+
 def test_nan_price_is_missing(spark, base):
     df = files.scan_csv(spark, f"{base}/items.csv", SCHEMAS["items"])
     assert df.filter("price is null").count() == 1
@@ -51,13 +96,13 @@ def test_missing_files_give_empty_tables_and_features(spark, base):
     sources = files.load_sources(spark, base, files={"orders": "orders.csv"})
     assert sources["reviews"].count() == 0
     assert sources["reviews"].columns == SCHEMAS["reviews"].names
-    assert build_features(sources).count() == 1  # October, labelled with November
-    empty = files.load_sources(spark, f"{base}/nowhere")
-    assert build_features(empty).count() == 0
+    assert build_features(sources, drop_constants=False).count() == 1  # October, labelled with November
+    with pytest.raises(ValueError, match="no orders"):
+        build_features(files.load_sources(spark, f"{base}/nowhere"))
 
 
 def test_feature_table_from_files_has_all_columns(spark, base):
-    table = build_features(files.load_sources(spark, base))
+    table = build_features(files.load_sources(spark, base), drop_constants=False)
     assert len(table.columns) == 174
     row = table.first()
     assert (row["order_month"], row["product_category_name"], row["demand"], row["demand_next_month"]) == (

@@ -3,7 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from demandloom.config import DEFAULT_CONFIG
+from demandloom.config import DEFAULT_CONFIG, KEYS
 from demandloom.operators import models
 from demandloom.operators.final import constant_columns, drop_constant_columns
 from demandloom.plans import features, training
@@ -15,7 +15,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="module")
 def table(spark):
-    return materialize(features.build_features(views.source_views(spark, SF_DIR)), "features")
+    return materialize(features.build_features(views.source_views(spark, SF_DIR), drop_constants=False), "features")
 
 
 def test_feature_table_is_complete_and_clean(spark, table):
@@ -57,7 +57,7 @@ def test_training_saves_models_and_reports_failures(spark, table, tmp_path, monk
     trained = training.train_and_save(table, root, names=("linear_regression", "broken"))
     rows = {r["model"]: r for r in trained.metrics.collect()}
     assert set(rows) == {"naive_last_value", "naive_historical_mean", "naive_by_category", "linear_regression", "broken"}
-    assert rows["broken"]["status"] == "failed" and rows["broken"]["mae"] is None
+    assert rows["broken"]["status"] == "failed" and rows["broken"]["mae"] is None and "absent" in rows["broken"]["error"]
     assert all(r["mae"] >= 0 for n, r in rows.items() if n != "broken")
     assert trained.best(trained_only=True).first()["model"] == "linear_regression"
     saved = sorted(os.listdir(root))
@@ -67,6 +67,23 @@ def test_training_saves_models_and_reports_failures(spark, table, tmp_path, monk
     assert again == table.count()
 
 
+def test_forest_does_not_depend_on_the_partitioning(table):
+    def predictions(partitions):
+        model = models.fit(table.repartition(partitions), "random_forest")
+        rows = models.predict(model, table, "p").select(*KEYS, "p").collect()
+        return sorted(map(tuple, rows))
+
+    assert predictions(2) == predictions(8)
+
+
+def test_latest_model_survives_until_the_next_is_complete(spark, table, tmp_path):
+    root = str(tmp_path / "models")
+    first = training.train_and_save(table, root, names=("linear_regression",))
+    want = models.predict(first.models["linear_regression"], table, "p").agg(F.sum("p")).first()[0]
+    files.save_models(spark, first.models, "not_trained", root)
+    assert models.predict(files.latest_model(spark, root), table, "p").agg(F.sum("p")).first()[0] == want
+
+
 def test_predictions_cover_exactly_the_test_rows(table):
     trained = models.train_from_table(table, ("linear_regression",))
     per_model = {r["model"]: r["count"] for r in trained.predictions.groupBy("model").count().collect()}
@@ -81,6 +98,8 @@ def test_retraining_appends_and_trains(spark, table, tmp_path):
     )
     stored = files.read_snapshot(spark, str(tmp_path / "tables"))
     assert stored.count() == table.count() + new.count()
+    order = stored.select("product_category_name", "date").collect()
+    assert order == sorted(order)
     assert trained.metrics.count() == 4
 
 

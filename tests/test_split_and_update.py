@@ -30,6 +30,11 @@ def test_positions_follow_the_order(table, order):
     assert [k for _, *k in got] == sorted(k for _, *k in got)
 
 
+def test_no_step_of_the_numbering_sees_all_rows(table):
+    plan = split.with_position(table, ("product_category_name", "date"))._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and "SinglePartition" not in plan
+
+
 def test_positional_split_sizes(table):
     sizes = {r["split"]: r["count"] for r in split.positional_split(table).groupBy("split").count().collect()}
     n = table.count()

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from demandloom.operators import aggregates, cleaning, profile, star
+from demandloom.sources import views
 
 T = dt.datetime(2017, 5, 10, 12)
 
@@ -108,10 +109,46 @@ def test_wide_aggregate(sources):
         F.max("payment_installments").alias("installments_max"),
         F.avg("review_score").alias("avg_review_score"),
     )
-    items = star.keep_clean(star.star_items(sources), orders_clean, products_clean)
+    items = star.clean_star_items(sources, orders_clean, products_clean)
     assert rows(star.monthly_aggregate_fanout(items), want.columns) == rows(want, want.columns)
 
 
+def test_combined_cleaning_before_the_fan_out(sources):
+    orders_clean, products_clean = clean(sources)
+    want = cleaning.clean_combined(joined(sources).drop("order_month"), orders_clean, products_clean)
+    got = star.clean_combined(sources, orders_clean, products_clean)
+    assert rows(got, want.columns) == rows(want, want.columns)
+
+
+def test_entities_without_the_star(sources):
+    want = cleaning.decompose_wide(star.star_left_join(sources))
+    got = star.star_entities(sources)
+    assert set(got) == set(want)
+    for name, df in want.items():
+        keys = [c for c in df.columns if c in ("order_id", "product_id", "price", "payment_value", "review_score", "order_status")]
+        assert rows(got[name], keys) == rows(df, keys), name
+
+
+def scans(df, column):
+    """File scans of the plan that ran; a reused exchange reads nothing again."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    plan = plan[: plan.index("== Initial Plan ==")] if "== Initial Plan ==" in plan else plan
+    return sum("FileScan" in line and column in line for line in plan.splitlines())
+
+
+def test_sources_are_read_once_for_rows_and_once_for_counts(spark):
+    all_views = views.source_views(spark, "/root/testdata/sf0.001")
+    orders_clean, products_clean = clean(all_views)
+    whole = star.star_left_join(all_views)
+    # the orders file is behind orders, payments and reviews; only the last two are counted
+    assert scans(whole, "l_orderkey") <= 2 and scans(whole, "o_orderkey") <= 5
+    kept = star.clean_star_items(all_views, orders_clean, products_clean)
+    assert scans(kept, "l_orderkey") == 1
+    # the joined items are stored once and then aggregated twice
+    assert scans(star.monthly_aggregate_fanout(kept), "l_orderkey") == 0
+
+
 def test_decompose_gives_back_the_clean_tables(sources):
     parts = cleaning.decompose_wide(star.star_left_join(sources))
     assert parts["orders"].count() == 3
