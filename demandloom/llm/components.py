@@ -39,7 +39,8 @@ def components(edges: DataFrame) -> DataFrame:
     driver, to see whether anything changed.
     """
     checksum = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
-    current = materialize(edges.where("u <> v").distinct(), "edges")
+    stored = materialize(edges.distinct(), "edges")
+    current = stored.where("u <> v")
     state = None
     while True:
         row = current.agg(F.count(F.lit(1)), checksum).first()
@@ -47,7 +48,7 @@ def components(edges: DataFrame) -> DataFrame:
             break
         state = tuple(row)
         current = materialize(_small_star(_large_star(current)), "edges")
-    loops = edges.where("u = v").select(F.col("u").alias("node"), F.col("v").alias("component"))
+    loops = stored.where("u = v").select(F.col("u").alias("node"), F.col("v").alias("component"))
     hung = current.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = current.select(F.col("v").alias("node"), F.col("v").alias("component"))
     found = hung.union(roots).distinct()
