@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator, Sequence
+import pickle
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -73,3 +74,20 @@ def text_slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iter
         stop = max(start + 1, int(np.searchsorted(ends, done + most, side="right")))
         yield batch.slice(start, stop - start)
         start = stop
+
+
+def fit_in_task(sample: DataFrame, order: Sequence[Column], train: Callable[[pa.Table], object]) -> object:
+    """What ``train`` makes of a sample of bounded size, computed by one task so that the driver holds only the result.
+
+    The sample's rows come in the given order. The result has to be picklable.
+    """
+    worker_path(sample.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = list(batches)
+        if found:
+            result = pickle.dumps(train(pa.Table.from_batches(found)))
+            yield pa.RecordBatch.from_arrays([pa.array([result], pa.binary())], names=["result"])
+
+    rows = sample.repartition(1).sortWithinPartitions(*order).mapInArrow(run, "result binary").collect()
+    return pickle.loads(rows[0]["result"]) if rows else train(sample.limit(0).toArrow())

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from demandloom.llm.common import text_slices, worker_path
+from demandloom.llm.common import fit_in_task, text_slices, worker_path
 
 #: Bounds of the two samples that the classifier is fitted on: labelled rows and rows without a label.
 LABELLED_ROWS, UNLABELLED_ROWS = 4000, 4000
@@ -150,8 +150,8 @@ def _featured(docs: DataFrame, extra: list[str]) -> DataFrame:
     return docs.select(*extra, "text", "lang", "source").mapInArrow(compute, schema)
 
 
-def _samples(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Features and labels (-1: none) of the bounded samples, in a random but fixed order."""
+def _samples(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, y, x): labels (-1: none) and features of the bounded samples."""
     usable = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
     agreed = usable.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("most"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
@@ -160,21 +160,24 @@ def _samples(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray
     unlabelled = unnamed.distinct().orderBy(*order).limit(UNLABELLED_ROWS).select("doc_id", F.lit(-1).alias("y"))
     # LABELLED_ROWS + UNLABELLED_ROWS rows at most; of rows with equal doc_ids the first by features counts
     chosen = docs.select("doc_id", "text", "lang", "source").join(F.broadcast(labelled.union(unlabelled)), "doc_id")
-    found = _featured(chosen, ["doc_id", "y"]).groupBy("doc_id", "y").agg(F.min("x").alias("x"))
-    table = found.orderBy(*order).toArrow()
-    width = _CONTENT + 9 + 4 + LANGUAGES + SOURCES
-    x = np.frombuffer(b"".join(table.column("x").to_pylist()), np.float32).reshape(-1, width)
-    return x, table.column("y").to_numpy()
+    return _featured(chosen, ["doc_id", "y"]).groupBy("doc_id", "y").agg(F.min("x").alias("x"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> Model:
-    """Co-train on the bounded samples.
+    """Co-train on the bounded samples, in one task.
 
     Every fifth labelled document trains neither view but calibrates and combines
     them. If the labels lack one of the two classes, the model gives every document
     the class it has seen (1 without any label).
     """
-    x, y = _samples(docs, labels)
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    return fit_in_task(_samples(docs, labels), order, lambda sample: _train(sample, rounds))
+
+
+def _train(sample: pa.Table, rounds: int) -> Model:
+    width = _CONTENT + 9 + 4 + LANGUAGES + SOURCES
+    x = np.frombuffer(b"".join(sample.column("x").to_pylist()), np.float32).reshape(-1, width)
+    y = sample.column("y").to_numpy()
     named = np.flatnonzero(y >= 0)
     if not len(named) or y[named].min() == y[named].max():
         return Model([], np.zeros(3), float(y[named].min(initial=1)) if len(named) else 1.0)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demandloom.llm import gru
-from demandloom.llm.common import text_slices, worker_path
+from demandloom.llm.common import fit_in_task, text_slices, worker_path
 
 #: Words of a window, and words from one window's start to the next one's.
 WIDTH, STRIDE = 64, 48
@@ -63,7 +63,7 @@ def _document_logits(network: gru.Network, texts: pa.Array) -> np.ndarray:
     return highest
 
 
-def _sample(docs: DataFrame, labels: DataFrame) -> pa.Table:
+def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, text, toxic) of the training sample, at most TOXIC_ROWS + OTHER_ROWS rows."""
     usable = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     # a document labelled both ways teaches nothing
@@ -74,19 +74,22 @@ def _sample(docs: DataFrame, labels: DataFrame) -> pa.Table:
     chosen = toxic.union(other).select("doc_id", "toxic")
     short = docs.select("doc_id", "text").where(F.octet_length("text") <= TRAINING_BYTES)
     # the sample's size is bounded above; equal doc_ids give one text, the smallest
-    found = short.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
-    return found.orderBy(F.xxhash64("doc_id"), "doc_id").toArrow()
+    return short.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, seed: int = 7) -> Model:
-    """Train on a bounded sample of the labelled documents that are not held out.
+    """Train on a bounded sample of the labelled documents that are not held out, in one task.
 
     Four fifths of the sample train the network, on the windows with the most
     evidence of toxic documents, and of the others on random ones and on those that look most toxic; the last
     fifth fits the probabilities. If the labels lack one of the two classes, the
     model gives every document the class it has seen (0 without any label).
     """
-    sample = _sample(docs, labels)
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    return fit_in_task(_sample(docs, labels), order, lambda sample: _train(sample, seed))
+
+
+def _train(sample: pa.Table, seed: int) -> Model:
     y = sample.column("toxic").to_numpy().astype(np.float32)
     if not len(y) or y.min() == y.max():
         return Model(None, 0.0, 0.0, float(y.max(initial=0)))
