@@ -20,7 +20,7 @@ import zlib
 
 import numpy as np
 
-MAGIC = b"TIDB0001"
+MAGIC = b"TIDB0002"
 #: Lanes of a large block; a small one has a lane for every LEAST ids.
 LANES, LEAST = 8192, 48
 #: Slots of the order-2 table, shares of the mix, largest sum of the order-0 frequencies.
@@ -30,13 +30,17 @@ _U16, _U48 = np.uint64(16), np.uint64(48)
 _HEADER = np.dtype([("ids", "<u4"), ("vocabulary", "<u4"), ("lanes", "<u4"), ("words", "<u4")])
 
 
+# What a wrong guess of each confidence loses.
+_LOSS = np.array([s - (s >> 1) for s in range(8)], np.int32)
+
+
 class _Model:
     """What both sides know before a step; a guess and its confidence of 0 to 7 share a number."""
 
     def __init__(self, vocabulary: int) -> None:
         self.vocabulary = vocabulary
-        self.after2 = np.zeros(SLOTS, np.int64)
-        self.after1 = np.zeros(vocabulary + 1, np.int64)
+        self.after2 = np.zeros(SLOTS, np.int32)
+        self.after1 = np.zeros(vocabulary + 1, np.int32)
         self.frequency = np.ones(vocabulary, np.int64)
         self.outcomes = np.tile(np.array([1.0, 1.0, 2.0]), (128, 1))
         self.pending: list[np.ndarray] = []
@@ -52,7 +56,8 @@ class _Model:
         while total > MOST and total > 2 * self.vocabulary:
             self.frequency = (self.frequency + 1) >> 1
             total = int(self.frequency.sum())
-        self.below = np.concatenate([[0], np.cumsum(self.frequency)]).astype(np.uint64)
+        self.ends = np.concatenate([[0], np.cumsum(self.frequency)]).astype(np.int32)
+        self.below = self.ends.astype(np.uint64)
         self.weight = self.frequency.astype(np.uint64)
         self.total = total
 
@@ -80,22 +85,22 @@ class _Model:
         self.part0 = self.unit0.take(self.state)
 
     def learn(self, ids: np.ndarray, by2: np.ndarray, by1: np.ndarray) -> None:
-        outcome = 2 - by1 - 2 * by2.view(np.int8)
+        outcome = 2 - by1.view(np.int8) - 2 * by2.view(np.int8)
         self.outcomes += np.bincount(self.state * 3 + outcome, minlength=384).reshape(128, 3)
-        self._adjust(self.after2, self.slot, self.p2, self.s2, by2, ids)
-        self._adjust(self.after1, self.one, self.p1, self.s1, ids == self.g1, ids)
+        fresh = (ids << 3) + 1
+        self._adjust(self.after2, self.slot, self.p2, self.s2, by2, fresh)
+        self._adjust(self.after1, self.one, self.p1, self.s1, ids == self.g1, fresh)
         self.pending.append(ids[outcome == 2])
         self.step += 1
-        if self.step < 8 or self.step % 8 == 0:
+        if self.step < 8 or self.step % 16 == 0:
             self._sum()
             self._mix()
 
     @staticmethod
-    def _adjust(table: np.ndarray, at: np.ndarray, packed: np.ndarray, sure: np.ndarray, right: np.ndarray, ids: np.ndarray) -> None:
+    def _adjust(table: np.ndarray, at: np.ndarray, packed: np.ndarray, sure: np.ndarray, right: np.ndarray, fresh: np.ndarray) -> None:
         """A right guess gains confidence; a wrong one loses half of it, and at the last is replaced."""
-        gained = packed + (sure < 7)
-        lost = np.where(sure > 1, packed - sure + (sure >> 1), (ids << 3) + 1)
-        table[at] = np.where(right, gained, lost)
+        lost = np.where(sure > 1, packed - _LOSS.take(sure), fresh)
+        table[at] = np.where(right, packed + (sure < 7), lost)
 
 
 def _shape(count: int) -> tuple[int, int]:
@@ -124,19 +129,19 @@ def _settled(low: np.ndarray, span: np.ndarray, at: np.ndarray | None) -> np.nda
 
 
 def encode_block(ids: np.ndarray) -> bytes:
-    """A block of ids below 2**31 as bytes, readable without any other block."""
-    ids = np.ascontiguousarray(ids, np.int64)
+    """A block of ids below 2**28 as bytes, readable without any other block."""
+    ids = np.ascontiguousarray(ids, np.int32)
     count = len(ids)
     if not count:
         return _packed(count, 0, 0, np.zeros(0, np.uint32), np.zeros(0, np.uint16))
     vocabulary = int(ids.max()) + 1
     lanes, length = _shape(count)
-    table = np.full((lanes, length), 0, np.int64)
+    table = np.zeros((lanes, length), np.int32)
     table.reshape(-1)[:count] = ids
     steps = np.ascontiguousarray(table.T)
     model = _Model(vocabulary)
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
-    one, two = np.full(lanes, vocabulary, np.int64), np.full(lanes, vocabulary, np.int64)
+    one, two = np.full(lanes, vocabulary, np.int32), np.full(lanes, vocabulary, np.int32)
     out_lane: list[np.ndarray] = []
     out_word: list[np.ndarray] = []
     shares = np.uint64(SHARES)
@@ -185,7 +190,7 @@ def decode_block(block: bytes) -> np.ndarray:
         raise ValueError("damaged block of token ids")
     count, vocabulary, lanes, size = (int(x) for x in np.frombuffer(body, _HEADER, 1)[0])
     if not count:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int32)
     at_sizes = _HEADER.itemsize
     sizes = np.frombuffer(body, "<u4", lanes, at_sizes).astype(np.int64)
     # reading runs up to four words past a lane's end, where zeros stand
@@ -194,14 +199,14 @@ def decode_block(block: bytes) -> np.ndarray:
     words[np.arange(size) + 4 * lane] = np.frombuffer(body, "<u2", size, at_sizes + 4 * lanes)
     place = np.cumsum(sizes) - sizes + 4 * np.arange(lanes)
     _, length = _shape(count)
-    steps = np.zeros((length, lanes), np.int64)
+    steps = np.zeros((length, lanes), np.int32)
     model = _Model(vocabulary)
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
     code = np.zeros(lanes, np.uint64)
     for _ in range(4):
         code = (code << _U16) | words.take(place)
         place += 1
-    one, two = np.full(lanes, vocabulary, np.int64), np.full(lanes, vocabulary, np.int64)
+    one, two = np.full(lanes, vocabulary, np.int32), np.full(lanes, vocabulary, np.int32)
     shares = np.uint64(SHARES)
     for step in range(length):
         n = _active(count, length, step)
@@ -217,8 +222,8 @@ def decode_block(block: bytes) -> np.ndarray:
         rest = np.flatnonzero(found >= end12)
         bases, units = end12.take(rest), part0.take(rest)
         # whole numbers below 2**32, whose quotient a double rounds down right
-        inside = ((found.take(rest) - bases).astype(np.float64) / units.astype(np.float64)).astype(np.uint64)
-        symbols = np.searchsorted(model.below, inside, side="right") - 1
+        inside = ((found.take(rest) - bases).astype(np.float64) / units.astype(np.float64)).astype(np.int32)
+        symbols = np.searchsorted(model.ends, inside, side="right") - 1
         y[rest] = symbols
         start, width = np.where(by2, np.uint64(0), end2), np.where(by2, end2, end12 - end2)
         start[rest] = bases + units * model.below.take(symbols)

@@ -29,9 +29,15 @@ from demandloom.llm.bpe import tokenizer  # noqa: E402
 from demandloom.llm.common import running_total, text_slices, worker_path  # noqa: E402
 
 END = 2
-BLOCK_IDS = 1 << 21
+BLOCK_IDS = 1 << 20
 #: Distinct pieces of text whose ids a Python worker remembers.
-REMEMBERED = 2_000_000
+REMEMBERED = 1_500_000
+
+
+_LETTERS = b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+_MARKS = b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
+#: For each byte 1 if it is a letter or digit, 2 if it is a mark, else 0.
+_CLASS = bytes(1 if b in _LETTERS else 2 if b in _MARKS else 0 for b in range(256))
 
 
 def _pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -39,8 +45,9 @@ def _pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
     These are the places before a single space, and around a single line feed,
     between two characters that are surely no white space: printable ASCII, or
-    characters whose first byte in UTF-8 starts no white space. A full stop or
-    comma that ends a word after an ASCII letter or digit is cut off as well.
+    characters whose first byte in UTF-8 starts no white space. It also cuts between
+    an ASCII letter or digit and a punctuation mark (not an apostrophe, which may
+    begin an ending, nor a bar, which stands inside special tokens).
     """
     texts = pa.concat_arrays([pc.fill_null(texts, ""), pa.array([], pa.string())])
     if not pc.any(pc.greater(pc.binary_length(texts), 0)).as_py():
@@ -65,14 +72,11 @@ def _pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     cut[offsets] = True
     cut[single] = True
     cut[single[raw[single] == 10] + 1] = True
-    # a full stop or comma between a letter or digit and the end of a word is a piece of its own
-    marks = single - 1
-    before = byte[marks + 2]
-    letter = (before >= 48) & (before < 58) | ((before | 32) >= 97) & ((before | 32) < 123)
-    cut[marks[((raw[marks] == 44) | (raw[marks] == 46)) & letter & ~edge[marks]]] = True
+    classes = np.frombuffer(raw.tobytes().translate(_CLASS), np.uint8)
+    cut[np.flatnonzero((classes[1:] == 2) & (classes[:-1] == 1)) + 1] = True
     cuts = np.flatnonzero(cut)
     pieces = pa.StringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(raw))
-    return pieces, (np.cumsum(cut) - 1)[offsets]
+    return pieces, np.searchsorted(cuts, offsets)
 
 
 class _Remembering:
@@ -86,12 +90,9 @@ class _Remembering:
 
     def clear(self) -> None:
         self.known = pa.array([], pa.string())
-        self.lengths = np.zeros(1 << 16, np.int64)
-        self.starts = np.zeros(1 << 16, np.int64)
-        self.ids = np.zeros(1 << 18, np.int32)
-        self.used = 0
+        self.ids = pa.array([], pa.list_(pa.int32()))
 
-    def _ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _together(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the pieces, and how many each has.
 
         Pieces without white space but a space in front are encoded together, as
@@ -110,27 +111,24 @@ class _Remembering:
         lengths = np.fromiter(map(len, found), np.int64, len(found))
         return np.fromiter((i for ids in found for i in ids), np.int32, int(lengths.sum())), lengths
 
-    def _add(self, pieces: pa.Array) -> None:
-        """Remember pieces that are not known yet."""
+    def _add(self, pieces: pa.Array) -> np.ndarray:
+        """Remember pieces that are not known yet; gives their numbers."""
+        numbers = np.zeros(len(pieces), np.int64)
         whole = pc.and_(
             pc.match_substring_regex(pieces, r"^ ?[!-~À-\x{7FF}](.*[!-~À-\x{7FF}])?$"), pc.invert(pc.match_substring(pieces, "<|"))
         )
         if self.line is None:
             whole = pc.and_(whole, False)
-        for chosen, encode in ((pieces.filter(whole), self._ids), (pieces.filter(pc.invert(whole)), self._singly)):
-            known = len(self.known)
-            self.known = pa.concat_arrays([self.known, chosen])
-            while len(self.known) > len(self.lengths):
-                self.lengths, self.starts = (np.concatenate([x, np.zeros_like(x)]) for x in (self.lengths, self.starts))
+        for mask, encode in ((whole, self._together), (pc.invert(whole), self._singly)):
+            chosen = pieces.filter(mask)
+            numbers[mask.to_numpy(zero_copy_only=False)] = len(self.known) + np.arange(len(chosen))
+            lists = [self.ids]
             for first in range(0, len(chosen), 512):
                 flat, lengths = encode(chosen.slice(first, 512).to_pylist())
-                while self.used + len(flat) > len(self.ids):
-                    self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-                here = slice(known + first, known + first + len(lengths))
-                self.lengths[here] = lengths
-                self.starts[here] = self.used + np.cumsum(lengths) - lengths
-                self.ids[self.used : self.used + len(flat)] = flat
-                self.used += len(flat)
+                offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+                lists.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)))
+            self.known, self.ids = pa.concat_arrays([self.known, chosen]), pa.concat_arrays(lists)
+        return numbers
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and how many each text has."""
@@ -140,17 +138,14 @@ class _Remembering:
         coded = pieces.dictionary_encode()
         if len(self.known) + len(coded.dictionary) > REMEMBERED:
             self.clear()
-        numbers = pc.index_in(coded.dictionary, value_set=self.known)
-        if numbers.null_count:
-            self._add(coded.dictionary.filter(numbers.is_null()))
-            numbers = pc.index_in(coded.dictionary, value_set=self.known)
-        which = numbers.to_numpy(zero_copy_only=False).take(coded.indices.to_numpy(zero_copy_only=False)).astype(np.int64)
-        lengths = self.lengths.take(which)
-        stops = np.cumsum(lengths)
-        places = np.repeat(self.starts.take(which) - (stops - lengths), lengths)
-        places += np.arange(int(stops[-1]))
-        ids = self.ids.take(places)
-        return ids, np.diff(np.concatenate([[0], stops])[begins])
+        found = pc.index_in(coded.dictionary, value_set=self.known)
+        numbers = pc.fill_null(found, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        fresh = np.flatnonzero(numbers < 0)
+        if len(fresh):
+            numbers[fresh] = self._add(coded.dictionary.take(pa.array(fresh)))
+        lists = self.ids.take(pa.array(numbers.take(coded.indices.to_numpy(zero_copy_only=False))))
+        stops = lists.offsets.to_numpy().astype(np.int64)
+        return lists.flatten().to_numpy(), np.diff(stops[begins] - stops[0])
 
 
 @lru_cache(maxsize=2)
@@ -180,7 +175,7 @@ def _blocks(path: str, end: int, block_ids: int):
             )
 
         for batch in batches:
-            for part in text_slices(batch, "text", 8 << 20):
+            for part in text_slices(batch, "text"):
                 ids, sizes = coder.encode(part.column("text"))
                 gathered.append(np.insert(ids, np.cumsum(sizes), end))
                 names.append(part.column("doc_id"))
