@@ -1,8 +1,8 @@
 """Licence scan: known sentences become identifiers, ordered identifiers become licences.
 
 A text is cut into sentences, each is normalised (ASCII letters and digits, lower
-case, single spaces) and looked up among known licence sentences. The sequence of
-identifiers, in which up to two unknown sentences may stand between known ones,
+case, single spaces) and looked up among known licence sentences, whatever comment
+marks, list numbers or line ends it is written with. The sequence of identifiers, in which up to two unknown sentences may stand between known ones,
 is then matched against the ordered rules of the licences, longest rule first.
 """
 
@@ -91,6 +91,13 @@ RULES = {
 
 #: A sentence ends at one of .!? before white space, or at an empty line.
 SENTENCE_END = r"[.!?]+[\x20\x09-\x0D]+|\n[\x20\x09\x0B-\x0D]*\n"
+#: Comment marks and white space where a line begins. A line of nothing else is an empty one.
+LINE_MARKS = r"\n[\x20\x09\x0B-\x0D!-/:-@\[-`{-~]*(?:(?:REM|Rem|rem|dnl)(?![^\x20\x09\x0D\n])[\x20\x09\x0B-\x0D!-/:-@\[-`{-~]*)?"
+#: The full stop of "v. 2.0" ends no sentence; the colon of a licence's conditions ends a line.
+VERSION_STOP = r"([vV])(?<![A-Za-z0-9][vV])\.(?=[\x20\x09-\x0D]+[0-9])"
+CONDITIONS = r"(?i)(following\s+conditions(?:\s+are\s+met)?:)[\x20\x09]+(?=[^\x20\x09-\x0D])"
+#: A list number before a sentence, as it is left by ``plain``.
+NUMBER = "(?:[0-9]{1,2}|[a-z]|[ivx]{1,4}) "
 UNKNOWN = "~"
 #: So many unknown sentences in a row break a sequence.
 BREAK = 3
@@ -129,8 +136,20 @@ def _pattern() -> str:
     return "(" + "|".join(sequence.replace("|", r"\|") for sequence, _ in rules()) + ")"
 
 
-def _plain(sentence: Column) -> Column:
-    return F.trim(F.regexp_replace(ascii_lower(sentence), "[^a-z0-9]+", " "))
+@lru_cache(maxsize=1)
+def _pieces() -> str:
+    """Matches adjacent lines that make one known sentence, the longest first, or else a single line."""
+    listed = sorted(known(), key=lambda text: (-len(text), text))
+    sentences = "|".join(text.replace(" ", r"[\x20\n]") for text in listed)
+    return f"(?m)^(?:{NUMBER})?(?:{sentences})$|^.+$"
+
+
+def _normalised(text: Column) -> Column:
+    """The text's lines as ``plain`` leaves them, with an empty line between sentences."""
+    bare = F.regexp_replace(F.concat(F.lit("\n"), text), LINE_MARKS, "\n")
+    bare = F.regexp_replace(F.regexp_replace(bare, VERSION_STOP, "$1"), CONDITIONS, "$1\n")
+    small = ascii_lower(F.regexp_replace(bare, SENTENCE_END, "\n\n"))
+    return F.trim(F.regexp_replace(F.regexp_replace(small, r"[^a-z0-9\n]+", " "), r"\x20?\n\x20?", "\n"))
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -138,8 +157,9 @@ def scan(docs: DataFrame) -> DataFrame:
 
     ``sentences`` lists the identifiers of the known sentences in order,
     ``licences`` the licences whose rules match, in the order of the text and with
-    repeats; both are joined by a space. A sentence may run over several lines;
-    one that is unknown as a whole is looked up line by line.
+    repeats; both are joined by a space. A sentence may run over several lines,
+    with or without comment marks, after a list number, and next to lines that
+    belong to no known sentence; each of these counts as an unknown sentence.
 
     Null and empty texts have no sentences and empty lists. Repeated rows are
     scanned each. Columns with one of the four names are overwritten. Empty
@@ -149,17 +169,14 @@ def scan(docs: DataFrame) -> DataFrame:
     names = F.create_map(*[F.lit(x) for name, code in codes().items() for x in (code, name)])
     licences = F.create_map(*[F.lit(x) for rule in rules() for x in rule])
 
-    def lines(unit: Column) -> Column:
-        filled = F.filter(F.transform(F.split(unit, "\n"), _plain), lambda s: s != "")
-        return F.transform(filled, lambda s: F.coalesce(F.try_element_at(sentence_codes, s), F.lit(UNKNOWN)))
-
-    def unit_codes(unit: Column) -> Column:
-        whole = F.try_element_at(sentence_codes, _plain(unit))
-        return F.coalesce(F.when(whole.isNotNull(), F.array(whole)), lines(unit))
+    def code(piece: Column) -> Column:
+        line = F.translate(piece, "\n", " ")
+        bare = F.when(line.rlike("^" + NUMBER), F.regexp_replace(line, "^" + NUMBER, ""))
+        return F.coalesce(F.try_element_at(sentence_codes, line), F.try_element_at(sentence_codes, bare), F.lit(UNKNOWN))
 
-    units = F.split(F.coalesce(F.col("text"), F.lit("")), SENTENCE_END, -1)
+    pieces = F.regexp_extract_all(_normalised(F.coalesce(F.col("text"), F.lit(""))), F.lit(_pieces()), F.lit(0))
     rest = docs.drop("n_sentences", "n_known", "sentences", "licences")
-    cut = rest.withColumn("_codes", F.flatten(F.transform(units, unit_codes)))
+    cut = rest.withColumn("_codes", F.transform(pieces, code))
     sequence = F.array_join("_codes", "")
     broken = F.regexp_replace(F.regexp_replace(sequence, UNKNOWN + "{%d,}" % BREAK, "#"), UNKNOWN, "")
     listed = F.filter("_codes", lambda c: c != UNKNOWN)
@@ -183,7 +200,7 @@ def _sql_map(pairs) -> str:
 
 
 def oracle() -> str:
-    """The same rows in DuckDB's SQL."""
+    """The same rows in DuckDB's SQL, but for sentences of which it knows only those that are a whole unit or a single line."""
     norm = "trim(regexp_replace(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^a-z0-9]+', ' ', 'g'))"
     return f"""
 WITH maps AS (

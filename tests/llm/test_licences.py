@@ -1,3 +1,5 @@
+import textwrap
+
 from demandloom.llm import licences, registry
 from tests.checking import compare, duck
 from tests.llm.helpers import SF_DIR, no_documents, odd_documents, odd_rows
@@ -75,6 +77,56 @@ def test_rules_and_order_against_brute_force(spark):
     assert [by_text[i] for i in range(len(TEXTS))] == ["MIT", "Apache-2.0 MIT", "Apache-2.0", "BSD-3-Clause", "", "", "BSD-2-Clause", "GPL-3.0", ""]
 
 
+def wrapped(names, mark="", between="", numbers=()):
+    """The sentences as paragraphs of short lines, each line after a comment mark, some paragraphs after a list number."""
+    lines = []
+    for name in names:
+        text = licences.SENTENCES.get(name) or f"SPDX-License-Identifier: {name[4:]}"
+        number = f"{len(lines)}. "[-3:] if name in numbers else ""
+        lines += [mark + line for line in textwrap.wrap(number + text, 60)] + [between]
+    return "\n".join(lines)
+
+
+MARKS = [("", ""), (" * ", " *"), ("# ", "#"), ("// ", "//"), ("! ", "!"), ("REM ", "REM"), ("-- ", "--"), ("; ", ";")]
+
+
+def test_every_sentence_wrapped_and_in_comments(spark):
+    cases = [(name, mark, between) for name in licences.known().values() for mark, between in MARKS]
+    texts = [(i, f"{between}\n{mark}Some heading\n{between}\n" + wrapped([n], mark, between)) for i, (n, mark, between) in enumerate(cases)]
+    found = {r.doc_id: r for r in licences.scan(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    wrong = [case for i, case in enumerate(cases) if found[i].sentences != case[0] or found[i].n_sentences != 2]
+    assert not wrong
+
+
+def test_every_rule_wrapped_and_in_comments(spark):
+    rules = [(licence, names) for licence, listed in licences.RULES.items() for names in listed]
+    cases = [(licence, names, mark, between) for licence, names in rules for mark, between in MARKS]
+    texts = [(i, f"/*\n{mark}Copyright (c) 2020 Somebody\n{between}\n" + wrapped(names, mark, between) + "\nint x;") for i, (_, names, mark, between) in enumerate(cases)]
+    found = {r.doc_id: r for r in licences.scan(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    wrong = [case for i, case in enumerate(cases) if (found[i].licences, found[i].sentences) != (case[0], " ".join(case[1]))]
+    assert not wrong
+
+
+def test_lists_and_conditions(spark):
+    names = ["bsd-grant", "bsd-source", "bsd-binary", "bsd-name", "bsd-as-is"]
+    mit = [licences.SENTENCES[n] for n in ("mit-grant", "mit-notice", "mit-as-is", "mit-liability")]
+    texts = [
+        # a list right after the colon, without empty lines, in three ways to number it
+        "\n".join(x for x in wrapped(names, numbers=names[1:4]).split("\n") if x),
+        "\n".join("# " + x for x in wrapped(names, numbers=names[1:4]).split("\n") if x),
+        "\n".join(f"({n}) " * (0 < n < 4) + textwrap.fill(licences.SENTENCES[name], 50) for n, name in enumerate(names)),
+        " ".join(mit),
+        textwrap.fill(" ".join(mit), 70),
+        "This Source Code Form is subject to the terms of the Mozilla Public\n * License, v.\n * 2.0. If a copy of the MPL was not distributed",
+        "It is not\nReleased under the MIT License, or\nLicensed under the MIT\n\nLicense.",
+        "Smith v. Jones, see p. 3",
+    ]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r for r in licences.scan(table).collect()}
+    assert [found[i].licences for i in range(len(texts))] == ["BSD-3-Clause"] * 3 + ["MIT", "MIT", "MPL-2.0", "", ""]
+    assert found[7].n_sentences == 3
+
+
 def test_no_rows_and_clashing_columns(spark):
     assert licences.scan(no_documents(spark)).count() == 0
     docs = odd_documents(spark).withColumnRenamed("lang", "licences")
