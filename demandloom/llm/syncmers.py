@@ -23,10 +23,10 @@ STEP = 32
 def with_anchors(df: DataFrame, text: str, name: str, k: int = K, s: int = S) -> DataFrame:
     """Add ``name``: the 32-bit hashes of the text's closed syncmers, in the order of the text.
 
-    A text of fewer than ``k`` words has one anchor, the hash of all of them; one
-    without words, or null, has none.
+    A text whose words hold no closed syncmer, as of fewer than ``k`` words, has one
+    anchor, the hash of all of them; one without words, or null, has none.
     """
-    words, inner = f"_{name}_words", f"_{name}_inner"
+    words, inner, found = f"_{name}_words", f"_{name}_inner", f"_{name}_found"
     count, runs = F.size(words), k - s + 1
     # named columns that are used several times are computed once and not folded into what uses them
     hashed = df.withColumn(
@@ -49,10 +49,10 @@ def with_anchors(df: DataFrame, text: str, name: str, k: int = K, s: int = S) ->
     def anchor(run: Column) -> Column:
         return F.shiftrightunsigned(F.xxhash64(*[run[f"r{i}"] for i in range(runs)]), 32)
 
-    chosen = F.transform(F.filter(shifted, closed), anchor)
+    chosen = summed.withColumn(found, F.when(count >= k, F.transform(F.filter(shifted, closed), anchor)))
     whole = F.array(F.shiftrightunsigned(F.xxhash64(F.col(words)), 32))
     few = F.when(count > 0, whole).otherwise(F.array().cast("array<long>"))
-    return summed.withColumn(name, F.when(count >= k, chosen).otherwise(few)).drop(words, inner)
+    return chosen.withColumn(name, F.when(F.size(found) > 0, F.col(found)).otherwise(few)).drop(words, inner, found)
 
 
 def as_text(anchors: str) -> Column:

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import xxhash
@@ -78,6 +79,32 @@ def test_empty_table(spark):
     assert syncmers.fingerprint(no_documents(spark)).count() == 0
 
 
+def test_short_texts_without_syncmers_differ(spark):
+    draw = random.Random(3)
+    texts = [" ".join(f"w{draw.randrange(10**6)}" for _ in range(draw.choice([5, 6]))) for _ in range(300)]
+    bare = [t for t in texts if not anchors(t)]
+    assert len(bare) > 20
+    rows = [(2 * i, t, "en", "s", 1) for i, t in enumerate(bare)] + [(2 * len(bare), "", "en", "s", 0), (2 * len(bare) + 2, " ", "en", "s", 0)]
+    found = {r.doc_id: r for r in syncmers.fingerprint(spark.createDataFrame(rows, SCHEMA)).collect()}
+    prints = [found[2 * i].fingerprint for i in range(len(bare))]
+    assert all(len(p) == 8 for p in prints) and len(set(prints)) == len(bare)
+    assert all(found[2 * i].near_next == 0.0 for i in range(len(bare)))
+    assert [found[2 * i].fingerprint for i in (len(bare), len(bare) + 1)] == ["", ""] and found[2 * len(bare)].near_next == 1.0
+
+
+def test_whole_table_with_an_anchor_for_every_text_with_words(spark, monkeypatch):
+    chosen = anchors
+
+    def anchors_or_whole(text):
+        hashes = [xxhash.xxh64_intdigest(w.encode(), 42) for w in re.findall(r"[^\x20\x09-\x0D]+", text or "")]
+        return chosen(text) or [(of_words(hashes) & (1 << 64) - 1) >> 32] * bool(hashes)
+
+    monkeypatch.setitem(globals(), "anchors", anchors_or_whole)
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()]
+    found = registry.syncmer_fingerprints(spark, SF_DIR).collect()
+    assert sorted((tuple(r) for r in found), key=repr) == expected(rows)
+
+
 def test_anchor_positions(spark):
     rows = {r.position: r.anchor for r in syncmers.anchor_positions(spark.createDataFrame([(1, "a b c d e f g h i j k l")], "doc_id long, text string")).collect()}
     assert [rows[i] for i in range(len(rows))] == anchors("a b c d e f g h i j k l")
