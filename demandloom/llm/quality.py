@@ -2,9 +2,10 @@
 
 The content view sees a text's byte trigrams and how its words repeat; the
 metadata view sees language, source, length and layout, but no words. Each view's
-logistic model labels the documents it is most sure of, among a sample without
-labels, for the *other* view's next round. At the end both views are calibrated on
-labelled documents that trained neither, combined, and applied to all documents.
+logistic model scores all documents without a label and labels those it is most
+sure of for the *other* view, whose next round trains on a sample of them. At the
+end both views are calibrated on labelled documents that trained neither, combined,
+and applied to all documents.
 """
 
 from __future__ import annotations
@@ -21,12 +22,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demandloom.llm.common import fit_in_task, text_slices, worker_path
+from demandloom.session import materialize
 
-#: Bounds of the two samples that the classifier is fitted on: labelled rows and rows without a label.
-LABELLED_ROWS, UNLABELLED_ROWS = 4000, 4000
+#: Bounds of the samples that a round is fitted on: labelled rows, and rows that a view gives the other one, of each class.
+LABELLED_ROWS, GIVEN_ROWS = 4000, 1000
 ROUNDS = 3
-#: Share of the unlabelled sample that a view labels in a round, and how sure it has to be.
+#: Share of all unlabelled documents by which the labels of a view grow in a round, and how sure it has to be.
 PER_ROUND, SURE = 0.15, 0.95
+#: Logits are counted in steps of 1 / STEPS to find the surest documents.
+STEPS = 64
 #: From this score on a document is kept.
 THRESHOLD = 0.3
 TRIGRAMS, LANGUAGES, SOURCES = 1 << 9, 8, 32
@@ -40,6 +44,7 @@ class Model:
     views: list[tuple[np.ndarray, np.ndarray, np.ndarray]]
     combine: np.ndarray
     constant: float | None = None
+    bad_share: float = 0.0
 
 
 def _trigrams(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -150,35 +155,125 @@ def _featured(docs: DataFrame, extra: list[str]) -> DataFrame:
     return docs.select(*extra, "text", "lang", "source").mapInArrow(compute, schema)
 
 
-def _samples(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, y, x): labels (-1: none) and features of the bounded samples."""
-    usable = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
-    agreed = usable.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("most"))
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    labelled = agreed.where("quality = most").orderBy(*order).limit(LABELLED_ROWS).select("doc_id", F.col("quality").cast("int").alias("y"))
-    unnamed = docs.select("doc_id").where("doc_id IS NOT NULL").join(labels.select("doc_id"), "doc_id", "left_anti")
-    unlabelled = unnamed.distinct().orderBy(*order).limit(UNLABELLED_ROWS).select("doc_id", F.lit(-1).alias("y"))
-    # LABELLED_ROWS + UNLABELLED_ROWS rows at most; of rows with equal doc_ids the first by features counts
-    chosen = docs.select("doc_id", "text", "lang", "source").join(F.broadcast(labelled.union(unlabelled)), "doc_id")
-    return _featured(chosen, ["doc_id", "y"]).groupBy("doc_id", "y").agg(F.min("x").alias("x"))
+def _order() -> list:
+    return [F.xxhash64("doc_id"), F.col("doc_id")]
+
+
+def _usable(labels: DataFrame) -> DataFrame:
+    return labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
+
+
+def _with_features(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Adds x to a bounded number of rows (doc_id, y, view, stands); of rows with equal doc_ids the first by features counts."""
+    columns = ["doc_id", "y", "view", "stands"]
+    rows = docs.select("doc_id", "text", "lang", "source").join(F.broadcast(chosen), "doc_id")
+    return _featured(rows, columns).groupBy(*columns).agg(F.min("x").alias("x"))
+
+
+def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, y, view, stands, x): at most LABELLED_ROWS documents with a label, half of each class as far as there are.
+
+    view is -1, as they train both; stands says how many labelled documents of its class a row stands for.
+    """
+    agreed = _usable(labels).groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("most")).where("quality = most")
+    present = agreed.join(docs.select("doc_id"), "doc_id", "left_semi").select("doc_id", F.col("quality").cast("int").alias("y"))
+    present = materialize(present, "quality-labels")
+    counts = {0: 0, 1: 0} | {r["y"]: r["count"] for r in present.groupBy("y").count().collect()}
+    bad = min(counts[0], max(LABELLED_ROWS // 2, LABELLED_ROWS - counts[1]))
+    sizes = {0: bad, 1: min(counts[1], LABELLED_ROWS - bad)}
+    parts = [
+        present.where(F.col("y") == y).orderBy(*_order()).limit(size)
+        .select("doc_id", "y", F.lit(-1).alias("view"), F.lit(counts[y] / max(1, size)).alias("stands"))
+        for y, size in sizes.items()
+    ]
+    return materialize(_with_features(docs, parts[0].union(parts[1])), "quality-sample")
+
+
+def _view_logits(part: pa.RecordBatch, model: Model) -> list[np.ndarray]:
+    x = features(part.column("text"), part.column("lang").to_pylist(), part.column("source").to_pylist())
+    return [_logits(_view(x, n), model.views[n]).astype(np.float64) for n in range(2)]
+
+
+def _unlabelled(docs: DataFrame, labels: DataFrame, model: Model) -> DataFrame:
+    """(doc_id, logit_0, logit_1): both views' logits of every document without a label; of equal doc_ids the lowest."""
+    worker_path(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    named = ["doc_id", "logit_0", "logit_1"]
+
+    def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_slices(batch, "text", 1 << 20):
+                logits = [pa.array(v) for v in _view_logits(part, shared.value)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *logits], names=named)
+
+    schema = T.StructType([docs.schema["doc_id"], *[T.StructField(n, T.DoubleType()) for n in named[1:]]])
+    rated = docs.where("doc_id IS NOT NULL").select("doc_id", "text", "lang", "source").mapInArrow(rate, schema)
+    free = rated.join(_usable(labels).select("doc_id"), "doc_id", "left_anti")
+    return free.groupBy("doc_id").agg(*[F.min(n).alias(n) for n in named[1:]])
+
+
+def _surest(counted: dict[int, int], allowed: float, sign: int) -> int | None:
+    """The last of the surest steps that hold the allowed number of documents; the first step counts whole. None: nobody is sure."""
+    least = np.log(SURE / (1 - SURE)) * STEPS
+    steps = sorted((s for s in counted if (s >= least if sign > 0 else s + 1 <= -least)), reverse=sign > 0)
+    taken, last = 0, None
+    for step in steps:
+        if taken and taken + counted[step] > allowed:
+            break
+        taken, last = taken + counted[step], step
+    return last
+
+
+def _given(docs: DataFrame, labels: DataFrame, model: Model, share: float) -> DataFrame | None:
+    """(doc_id, y, view, stands, x): what each view labels for the other one (view), at most GIVEN_ROWS of each class.
+
+    Chosen over all documents without a label: up to ``share`` of them, the surest, from which the rows are drawn.
+    """
+    free = materialize(_unlabelled(docs, labels, model), "quality-logits")
+    steps = [F.floor(F.col(f"logit_{n}") * STEPS) for n in range(2)]
+    # at most 60 * STEPS + 1 steps for each view
+    both = free.select(F.explode(F.array(*[F.struct(F.lit(n).alias("view"), steps[n].alias("step")) for n in range(2)])).alias("s"))
+    counts = both.groupBy("s.view", "s.step").count().collect()
+    parts = []
+    for number in range(2):
+        counted = {r["step"]: r["count"] for r in counts if r["view"] == number}
+        most = share * sum(counted.values())
+        low, high = _surest(counted, most * model.bad_share, -1), _surest(counted, most * (1 - model.bad_share), 1)
+        for y, last in ((0, low), (1, high)):
+            if last is not None:
+                rows = free.where(steps[number] >= last if y else steps[number] <= last).orderBy(*_order()).limit(GIVEN_ROWS)
+                parts.append(rows.select("doc_id", F.lit(y).alias("y"), F.lit(1 - number).alias("view"), F.lit(1.0).alias("stands")))
+    if not parts:
+        return None
+    chosen = parts[0]
+    for part in parts[1:]:
+        chosen = chosen.union(part)
+    return _with_features(docs, chosen)
 
 
 def fit(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> Model:
-    """Co-train on the bounded samples, in one task.
+    """Co-train in rounds: all documents without a label are scored in Spark, bounded samples are fitted in one task.
 
-    Every fifth labelled document trains neither view but calibrates and combines
-    them. If the labels lack one of the two classes, the model gives every document
-    the class it has seen (1 without any label).
+    Every fifth labelled document of the sample trains neither view but calibrates
+    and combines them. If the labels of ``docs`` lack one of the two classes, the
+    model gives every document the class it has seen (1 without any label).
+    Documents with a null doc_id are scored but train nothing.
     """
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    return fit_in_task(_samples(docs, labels), order, lambda sample: _train(sample, rounds))
+    labelled = _labelled(docs, labels)
+    model = fit_in_task(labelled, _order(), _train)
+    for turn in range(1, rounds + 1):
+        given = None if model.constant is not None else _given(docs, labels, model, turn * PER_ROUND)
+        if given is None:
+            break
+        model = fit_in_task(labelled.unionByName(given), _order(), _train)
+    return model
 
 
-def _train(sample: pa.Table, rounds: int) -> Model:
+def _train(sample: pa.Table) -> Model:
     width = _CONTENT + 9 + 4 + LANGUAGES + SOURCES
     x = np.frombuffer(b"".join(sample.column("x").to_pylist()), np.float32).reshape(-1, width)
-    y = sample.column("y").to_numpy()
-    named = np.flatnonzero(y >= 0)
+    y, trains, stands = (sample.column(c).to_numpy() for c in ("y", "view", "stands"))
+    named = np.flatnonzero(trains < 0)
     if not len(named) or y[named].min() == y[named].max():
         return Model([], np.zeros(3), float(y[named].min(initial=1)) if len(named) else 1.0)
     fold = np.arange(len(named)) % 5 == 4
@@ -188,37 +283,15 @@ def _train(sample: pa.Table, rounds: int) -> Model:
     else:
         train = named[~fold]
     held = named[fold]
-    free = np.flatnonzero(y < 0)
-    known = [dict(zip(train.tolist(), y[train].tolist())) for _ in range(2)]
     views = []
-    bad_share = float((y[train] == 0).mean())
-    for turn in range(rounds + 1):
-        views = []
-        for number in range(2):
-            rows = np.fromiter(known[number], np.int64)
-            target = np.fromiter(known[number].values(), np.float32)
-            weight = np.where(y[rows] >= 0, 1.0, 0.3).astype(np.float32)  # what another view says counts less
-            views.append(_fit_view(_view(x[rows], number), target, weight))
-        if turn == rounds:
-            break
-        given = []
-        for number in range(2):
-            open_rows = np.array([r for r in free.tolist() if r not in known[1 - number]], np.int64)
-            if not len(open_rows):
-                given.append({})
-                continue
-            p = 1 / (1 + np.exp(-_logits(_view(x[open_rows], number), views[number])))
-            order = np.argsort(p)
-            most = int(PER_ROUND * len(free))
-            bad = [r for r in order[: max(1, int(most * bad_share))] if p[r] < 1 - SURE]
-            good = [r for r in order[::-1][: max(1, int(most * (1 - bad_share)))] if p[r] > SURE]
-            given.append({int(open_rows[r]): 0 for r in bad} | {int(open_rows[r]): 1 for r in good})
-        for number in range(2):
-            known[1 - number] |= given[number]
+    for number in range(2):
+        rows = np.concatenate([train, np.flatnonzero(trains == number)])
+        weight = np.where(trains[rows] < 0, 1.0, 0.3).astype(np.float32)  # what another view says counts less
+        views.append(_fit_view(_view(x[rows], number), y[rows].astype(np.float32), weight))
     both = np.stack([_logits(_view(x[held], n), views[n]) for n in range(2)], axis=1)
-    # one logistic fit on the held documents calibrates and combines the two logits
-    combine = _logistic((both / 4).astype(np.float32), y[held].astype(np.float32), np.ones(len(held), np.float32), 1e-3, 400)
-    return Model(views, combine)
+    # one logistic fit on the held documents, each for those it stands for, calibrates and combines the two logits
+    combine = _logistic((both / 4).astype(np.float32), y[held].astype(np.float32), stands[held], 1e-3, 400)
+    return Model(views, combine, bad_share=float(stands[train][y[train] == 0].sum() / stands[train].sum()))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -240,8 +313,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         fitted = shared.value
         for batch in batches:
             for part in text_slices(batch, "text", 1 << 20):
-                x = features(part.column("text"), part.column("lang").to_pylist(), part.column("source").to_pylist())
-                found = [_logits(_view(x, n), fitted.views[n]).astype(np.float64) for n in range(2)]
+                found = _view_logits(part, fitted)
                 joint = np.clip(np.stack(found, axis=1) / 4 @ fitted.combine[:2] + fitted.combine[2], -40, 40)
                 scores = [pa.array(1 / (1 + np.exp(-v))) for v in (*found, joint)]
                 yield pa.RecordBatch.from_arrays([*part.columns, *scores], names=[*part.schema.names, *added])

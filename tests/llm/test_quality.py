@@ -64,3 +64,24 @@ def test_missing_labels(spark, corpus):
     odd = spark.createDataFrame([(None, 1, 0), (1, None, 0), (0, 0, 0), (0, 1, 1)], labels.schema)
     assert quality.drop_poor(docs, odd).count() == 900
     assert quality.drop_poor(no_documents(spark), labels).count() == 0
+
+
+def test_labels_without_documents_and_rare_classes_do_not_shrink_the_sample(spark, corpus, monkeypatch):
+    docs, labels = corpus
+    monkeypatch.setattr(quality, "LABELLED_ROWS", 100)
+    absent = spark.range(1000, 60_000).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    rare = labels.where("quality = 1 OR doc_id < 600").union(absent)
+    rows = quality.classify(docs, rare).collect()
+    wrong = [r.doc_id for r in rows if r.keep != int(r.doc_id % 6 != 0)]
+    assert len(wrong) <= 0.05 * len(rows)
+
+
+def test_all_unlabelled_documents_take_part(corpus, monkeypatch):
+    docs, labels = corpus
+    model = quality.fit(docs, labels, rounds=0)
+    assert sorted(r.doc_id for r in quality._unlabelled(docs, labels, model).collect()) == [i for i in range(900) if i % 5 >= 2]
+    monkeypatch.setattr(quality, "GIVEN_ROWS", 20)
+    rows = quality._given(docs, labels, model, 0.45).collect()
+    by_view = {(v, y): [r.doc_id for r in rows if (r.view, r.y) == (v, y)] for v in (0, 1) for y in (0, 1)}
+    assert all(0 < len(ids) <= 20 for ids in by_view.values()) and all(i % 5 >= 2 for ids in by_view.values() for i in ids)
+    assert np.mean([r.y == int(r.doc_id % 6 != 0) for r in rows]) > 0.95
