@@ -14,11 +14,14 @@ from pyspark.sql import types as T
 
 from demandloom.llm import gru
 from demandloom.llm.common import fit_in_task, text_slices, worker_path
+from demandloom.session import materialize
 
 #: Words of a window, and words from one window's start to the next one's.
 WIDTH, STRIDE = 64, 48
-#: Bounds of the training sample: toxic and other documents, and bytes of a text that trains (any text is scored).
+#: Bounds of the training sample: toxic and other documents, and bytes of a text that trains whole (any text is scored).
 TOXIC_ROWS, OTHER_ROWS, TRAINING_BYTES = 1800, 2600, 16_384
+#: A longer text trains with so many evenly spaced passages of so many characters.
+PASSAGES, PASSAGE = 16, 1024
 #: Passes over the training windows, and more for a small sample, until there were UPDATES steps.
 EPOCHS, UPDATES, BATCH, RATE, DECAY = 3, 100, 192, 0.006, 0.1
 #: From this score on a document is predicted toxic.
@@ -63,18 +66,34 @@ def _document_logits(network: gru.Network, texts: pa.Array) -> np.ndarray:
     return highest
 
 
+def _bounded(text: Column) -> Column:
+    """A text that trains: the whole text, or passages of a long one without the words that their ends cut."""
+    step = (F.length(text) - PASSAGE) / (PASSAGES - 1)
+    cut = r"^[^\x20\x09-\x0D]*[\x20\x09-\x0D]|[\x20\x09-\x0D][^\x20\x09-\x0D]*$"
+    passages = F.transform(
+        F.sequence(F.lit(0), F.lit(PASSAGES - 1)),
+        lambda i: F.regexp_replace(text.substr(F.floor(i * F.greatest(step, F.lit(0))).cast("int") + 1, F.lit(PASSAGE)), cut, ""),
+    )
+    return F.when(F.octet_length(text) <= TRAINING_BYTES, text).otherwise(F.array_join(passages, " "))
+
+
 def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, text, toxic) of the training sample, at most TOXIC_ROWS + OTHER_ROWS rows."""
+    """(doc_id, text, toxic) of the training sample, at most TOXIC_ROWS + OTHER_ROWS rows; short texts go first."""
     usable = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     # a document labelled both ways teaches nothing
     agreed = usable.groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most")).where("toxic = most")
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    toxic = agreed.where("toxic = 1").orderBy(*order).limit(TOXIC_ROWS)
-    other = agreed.where("toxic = 0").orderBy(*order).limit(OTHER_ROWS)
+    texts = docs.select("doc_id", "text").where("text IS NOT NULL")
+    sizes = texts.select("doc_id", (F.octet_length("text") > TRAINING_BYTES).alias("long"))
+    # limited are only labels whose document is there
+    present = sizes.join(agreed.drop("most"), "doc_id").groupBy("doc_id", "toxic").agg(F.min("long").alias("long"))
+    present = materialize(present, "toxicity-labels")
+    order = [F.col("long"), F.xxhash64("doc_id"), F.col("doc_id")]
+    toxic = present.where("toxic = 1").orderBy(*order).limit(TOXIC_ROWS)
+    other = present.where("toxic = 0").orderBy(*order).limit(OTHER_ROWS)
     chosen = toxic.union(other).select("doc_id", "toxic")
-    short = docs.select("doc_id", "text").where(F.octet_length("text") <= TRAINING_BYTES)
     # the sample's size is bounded above; equal doc_ids give one text, the smallest
-    return short.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    bounded = texts.join(F.broadcast(chosen), "doc_id").withColumn("text", _bounded(F.col("text")))
+    return bounded.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, seed: int = 7) -> Model:

@@ -121,3 +121,26 @@ def test_missing_labels(spark, corpus):
     odd = spark.createDataFrame([(None, 1, 1), (1, 1, None), (0, 0, 0), (0, 1, 1)], labels.schema)
     assert toxicity.drop_toxic(docs, odd).count() == 900
     assert toxicity.classify(no_documents(spark), labels).count() == 0
+
+
+def test_labels_without_documents_do_not_shrink_the_sample(spark, corpus, monkeypatch):
+    docs, labels = corpus
+    monkeypatch.setattr(toxicity, "TOXIC_ROWS", 30)
+    monkeypatch.setattr(toxicity, "OTHER_ROWS", 40)
+    absent = spark.range(1000, 20_000).selectExpr("id AS doc_id", "1 AS quality", "CAST(id % 2 AS INT) AS toxic")
+    rows = toxicity._sample(docs, labels.union(absent)).collect()
+    assert sum(r.toxic == 1 for r in rows) == 30 and sum(r.toxic == 0 for r in rows) == 40
+
+
+def test_long_labelled_texts_train(spark):
+    texts = [" ".join(f"w{i}x{n}" for n in range(4000)) for i in range(8)] + ["short one", "x" * 20_000, None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(len(texts))], "doc_id long, toxic int")
+    rows = {r.doc_id: r.text for r in toxicity._sample(docs, labels).collect()}
+    assert set(rows) == {i for i, t in enumerate(texts) if t is not None and zlib.crc32(str(i).encode()) % 4 != 2}
+    for i, text in rows.items():
+        assert len(text) <= max(toxicity.PASSAGES * (toxicity.PASSAGE + 1), 16_384)
+        assert texts[i] == "x" * 20_000 or set(text.split()) <= set(texts[i].split())
+        if i < 8:  # from the beginning to the end
+            places = [int(w.split("x")[1]) for w in text.split()]
+            assert places[0] < 10 and places[-1] > 3990 and len(places) > 1000
