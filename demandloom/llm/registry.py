@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandloom.llm import bpe, licences, mixing, quality, sharding, simhash, syncmers, token_files, topk, toxicity
+from demandloom.llm import bpe, licences, mixing, periodic, quality, sharding, simhash, syncmers, token_files, topk, toxicity
 from demandloom.llm.common import load
 from demandloom.session import scratch_path
 
@@ -60,6 +60,10 @@ def shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(load(spark, sf_dir, "documents"))
 
 
+def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digest(load(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": bpe_round_trip,
     "op2_simhash": simhash_components,
@@ -71,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": quality_scores,
     "op9_sharding": shard_documents,
     "op10_toxicity": toxicity_scores,
+    "op11_periodic_runs": periodic_runs,
 }
 
 ORACLES: dict[str, str] = {
