@@ -8,12 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandloom.llm import bpe, licences, mixing, periodic, quality, sharding, simhash, syncmers, token_files, topk, toxicity
+from demandloom.llm import (
+    alignment, bpe, licences, mixing, periodic, quality, secrets, sharding, simhash, syncmers, token_files, topk, toxicity,
+)
 from demandloom.llm.common import load
 from demandloom.session import scratch_path
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,6 +67,14 @@ def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.digest(load(spark, sf_dir, "documents"))
 
 
+def token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.digest(load(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE)
+
+
+def secret_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(load(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": bpe_round_trip,
     "op2_simhash": simhash_components,
@@ -76,6 +87,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sharding": shard_documents,
     "op10_toxicity": toxicity_scores,
     "op11_periodic_runs": periodic_runs,
+    "op12_alignment": token_alignment,
+    "op13_secrets": secret_spans,
 }
 
 ORACLES: dict[str, str] = {
