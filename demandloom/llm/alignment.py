@@ -15,6 +15,7 @@ import pickle
 import re
 from collections.abc import Iterator
 from functools import lru_cache, reduce
+from itertools import chain
 from typing import NamedTuple
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -32,10 +33,16 @@ from demandloom.functions.tables import join_by_key  # noqa: E402
 from demandloom.llm.common import text_slices, worker_path  # noqa: E402
 from demandloom.session import materialize  # noqa: E402
 
-#: A text of more bytes is cut into pieces of about so many characters.
-PIECE = 32_768
-#: Neither tokenizer joins what stands before a single space between two word characters to what stands after it.
-CUT = re.compile(r"(?<=\w) (?=\w)")
+#: A text of more bytes is cut into ranges of about so many characters.
+RANGE = 32_768
+#: Neither tokenizer joins what stands before a single space between two other characters to what stands after it.
+CUT = re.compile(r"(?<=[^\s▁]) (?=[^\s▁])")
+#: Pieces that can stand in a row, with a cut between them.
+PLAIN = re.compile(r" (?=[^\s▁])[^▁]*(?<!\s)")
+#: What a cut is marked with in a text that does not hold it.
+MARK = "\0 "
+#: Letters of distinct pieces that a worker remembers, and pieces that it aligns at once.
+REMEMBERED, LEARNED_AT_ONCE = 24_000_000, 20_000
 #: Fragments that one step of the tree composes.
 FAN_IN = 8
 #: Distinct links of documents that are counted and looked up together.
@@ -104,24 +111,30 @@ def _labels(size: int) -> dict[str, np.ndarray]:
     return {mark: np.array([f"{i}{mark}" for i in range(size)], object) for mark in ",|;"}
 
 
-def close(tokens: Tokens) -> Closed:
-    """The groups of tokens that begin and end at a common cut."""
+def _met(tokens: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of tokens that begin and end at a common cut: the cuts, the groups as texts token by token, all ends, and the pair linked before each."""
     a, a_ends, b, b_ends = tokens
-    if not len(a):
-        return EMPTY
     cuts = np.intersect1d(a_ends, b_ends, assume_unique=True)
     group_a, group_b = np.searchsorted(cuts, a_ends), np.searchsorted(cuts, b_ends)
-    label = _labels(1 << 16 if max(a.max(), b.max()) < 1 << 16 else 1 << int(max(a.max(), b.max())).bit_length())
+    most = int(max(a.max(initial=0), b.max(initial=0)))
+    label = _labels(max(1 << 16, 1 << most.bit_length()))
     parts = np.empty(len(a) + len(b), object)
-    last_a, last_b = a_ends == cuts[group_a], b_ends == cuts[group_b]
+    last_a, last_b = (a_ends == cuts[group_a], b_ends == cuts[group_b]) if len(a) else (a > 0, b > 0)
     parts[np.arange(len(a)) + np.searchsorted(group_b, group_a)] = np.where(last_a, label["|"][a], label[","][a])
     after = np.arange(len(b)) + np.searchsorted(group_a, group_b, side="right")
     parts[after] = np.where(last_b, label[";"][b], label[","][b])
     # every stretch between two neighbouring ends lies in one token of each
     ends = np.union1d(a_ends, b_ends)
     linked = (a[np.searchsorted(a_ends, ends)] << 32) | b[np.searchsorted(b_ends, ends)]
-    pairs, times = np.unique(linked, return_counts=True)
-    return Closed(len(cuts), "".join(parts.tolist()), pairs, times)
+    return cuts, parts, ends, linked
+
+
+def close(tokens: Tokens) -> Closed:
+    """The groups of tokens that begin and end at a common cut."""
+    if not len(tokens.a):
+        return EMPTY
+    cuts, parts, _, linked = _met(tokens)
+    return Closed(len(cuts), "".join(parts.tolist()), *_counted(linked))
 
 
 def fragment(tokens: Tokens) -> Fragment:
@@ -147,55 +160,145 @@ def compose(x: Fragment | None, y: Fragment | None) -> Fragment | None:
     return Fragment(*sizes, True, x.prefix, x.closed.then(middle).then(y.closed), y.suffix)
 
 
-class Tokenizers:
-    """Byte-level BPE (A) and a sentencepiece model (B), with the bytes of every entry."""
+class Aligner:
+    """Byte-level BPE (A), a sentencepiece model (B), and the pieces of text that a worker has aligned so far.
+
+    A text is cut into pieces where neither tokenizer ever joins what is left and right, words mostly. Each
+    distinct piece is tokenized and closed once; a fragment is put together from its pieces.
+    """
 
     def __init__(self, byte_path: str, piece_path: str) -> None:
         self.a = Tokenizer.from_file(byte_path)
         self.a.no_truncation()
         self.a.no_padding()
         self.a.encode_special_tokens = True
-        self.b = sentencepiece.SentencePieceProcessor(model_file=piece_path)
+        self.b = b = sentencepiece.SentencePieceProcessor(model_file=piece_path)
         shown = [i for i in range(256) if 33 <= i <= 126 or 161 <= i <= 172 or i >= 174]
         hidden = [i for i in range(256) if i not in shown]
         byte = {chr(i): i for i in shown} | {chr(256 + n): i for n, i in enumerate(hidden)}
         entries = {i: bytes(byte[c] for c in text) for text, i in self.a.get_vocab().items()}
         self.a_bytes = [entries.get(i, b"") for i in range(max(entries) + 1)]
-        b = self.b
         self.b_bytes = [
             bytes([int(b.id_to_piece(i)[3:-1], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("▁", " ").encode()
             for i in range(b.get_piece_size())
         ]
         self.a_sizes = np.array([len(t) for t in self.a_bytes])
         self.b_sizes = np.array([len(t) for t in self.b_bytes])
-
-    def fragments(self, pieces: list[str], offsets: list[int]) -> Iterator[Fragment | None]:
-        """A fragment for each piece that begins with a space; None where a tokenizer's bytes are not those of the piece."""
-        of_a = self.a.encode_batch(pieces, add_special_tokens=False)
-        of_b = self.b.encode([p[1:] for p in pieces], num_threads=1)
-        for piece, offset, a, b in zip(pieces, offsets, of_a, of_b, strict=True):
-            a, whole = a.ids, piece.encode()
-            if b"".join([self.a_bytes[i] for i in a]) != whole or b"".join([self.b_bytes[i] for i in b]) != whole:
-                yield None
-                continue
-            a, b = np.array(a, np.int64), np.array(b, np.int64)
-            yield fragment(Tokens(a, offset + np.cumsum(self.a_sizes[a]), b, offset + np.cumsum(self.b_sizes[b])))
+        self.clear()
+
+    def clear(self) -> None:
+        self.numbers: dict[str, int] = {}
+        self.letters = 0
+        self.groups: list[str] = []
+        self.sizes = np.empty((0, 3), np.int64)  # tokens of A and of B, groups; -1 where the bytes are others
+        self.pairs = np.empty(0, np.int64)
+        self.cuts = np.zeros(1, np.int64)  # the pairs of piece i lie between cuts[i] and cuts[i + 1]
+
+    def _tokens(self, texts: list[str]) -> list[tuple[list[int], list[int]] | None]:
+        """Ids of A and B for each text; None where the bytes of a tokenizer's ids are not those of the text."""
+        of_a = self.a.encode_batch(texts, add_special_tokens=False)
+        of_b = self.b.encode([t[1:] for t in texts], num_threads=1)
+        found: list[tuple[list[int], list[int]] | None] = []
+        for text, a, b in zip(texts, of_a, of_b, strict=True):
+            a, whole = a.ids, text.encode()
+            kept = b"".join([self.a_bytes[i] for i in a]) == whole == b"".join([self.b_bytes[i] for i in b])
+            found.append((a, b) if kept else None)
+        return found
+
+    def _learn(self, fresh: list[str]) -> None:
+        """Align pieces that are not known yet, as if they stood in one text; most of them are also tokenized in a row."""
+        for first in range(0, len(fresh), LEARNED_AT_ONCE):
+            some = fresh[first : first + LEARNED_AT_ONCE]
+            rows = [p for p in some if PLAIN.fullmatch(p)]
+            single = [p for p in some if not PLAIN.fullmatch(p)]
+            units = [rows[i : i + 256] for i in range(0, len(rows), 256)]
+            found = self._tokens(["".join(u) for u in units])
+            single += [p for u, t in zip(units, found, strict=True) if t is None for p in u]
+            units = [u for u, t in zip(units, found, strict=True) if t is not None]
+            found = [t for t in found if t is not None]
+            alone = self._tokens(single)
+            units += [[p] for p, t in zip(single, alone, strict=True) if t is not None]
+            found += [t for t in alone if t is not None]
+            self._close(list(chain.from_iterable(units)), found)
+            self._add([p for p, t in zip(single, alone, strict=True) if t is None])
+
+    def _close(self, some: list[str], found: list[tuple[list[int], list[int]]]) -> None:
+        a, b = (np.fromiter(chain.from_iterable(t[i] for t in found), np.int64) for i in (0, 1))
+        one = Tokens(a, np.cumsum(self.a_sizes[a]), b, np.cumsum(self.b_sizes[b]))
+        cuts, parts, ends, linked = _met(one)
+        stops = np.cumsum(np.fromiter((len(p.encode()) for p in some), np.int64, len(some)))
+        a_to, b_to, groups, links = (np.searchsorted(e, stops, side="right") for e in (one.a_ends, one.b_ends, cuts, ends))
+        strings, total = parts.tolist(), [0, *(a_to + b_to).tolist()]
+        sizes = np.diff(np.column_stack([a_to, b_to, groups]), axis=0, prepend=np.zeros((1, 3), np.int64))
+        texts = ["".join(strings[i:j]) for i, j in zip(total, total[1:], strict=False)]
+        self._add(some, texts, sizes, links, linked)
+
+    def _add(self, some: list[str], groups=None, sizes=None, links=None, linked=None) -> None:
+        """Remember pieces; those without groups have bytes that are not kept."""
+        if groups is None:
+            groups, sizes = [""] * len(some), np.full((len(some), 3), -1)
+            links, linked = np.zeros(len(some), np.int64), np.empty(0, np.int64)
+        self.groups += groups
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.cuts = np.concatenate([self.cuts, self.cuts[-1] + links])
+        self.pairs = np.concatenate([self.pairs, linked])
+        self.numbers.update(zip(some, range(len(self.numbers), len(self.numbers) + len(some)), strict=True))
+        self.letters += sum(map(len, some))
+
+    def fragments(self, texts: list[str]) -> list[Fragment | None]:
+        """A fragment for each text that begins with a space at a common cut; None where bytes are not kept."""
+        if self.letters > REMEMBERED:
+            self.clear()
+        cut = [CUT.sub(MARK, t).split("\0") if "\0" not in t else _cut(t) for t in texts]
+        self._learn([p for p in dict.fromkeys(chain.from_iterable(cut)) if p not in self.numbers])
+        sizes = np.fromiter(map(len, cut), np.int64, len(cut))
+        numbers = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(cut)), np.int64, int(sizes.sum()))
+        stops = np.cumsum(sizes)
+        lengths = np.diff(self.cuts)[numbers]
+        ends = np.cumsum(lengths)
+        linked = self.pairs[np.repeat(self.cuts[numbers] - ends + lengths, lengths) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        link_stops = np.concatenate([[0], ends])[stops]
+        counted = np.concatenate([np.zeros((1, 3), np.int64), np.cumsum(self.sizes[numbers], axis=0)])[np.concatenate([[0], stops])]
+        held = np.diff(counted, axis=0).tolist()
+        broken = np.concatenate([[0], np.cumsum(self.sizes[numbers, 0] < 0)])[np.concatenate([[0], stops])]
+        listed, found = numbers.tolist(), []
+        start = link_start = 0
+        for i, (stop, link_stop) in enumerate(zip(stops.tolist(), link_stops.tolist(), strict=True)):
+            if broken[i + 1] > broken[i]:
+                found.append(None)
+            else:
+                n_a, n_b, n_groups = held[i]
+                groups = "".join([self.groups[k] for k in listed[start:stop]])
+                found.append(Fragment(n_a, n_b, True, NOTHING, Closed(n_groups, groups, *_counted(linked[link_start:link_stop])), NOTHING))
+            start, link_start = stop, link_stop
+        return found
+
+
+def _counted(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values and how often each occurs."""
+    ordered = np.sort(linked)
+    first = np.flatnonzero(np.diff(ordered, prepend=-1))
+    return ordered[first], np.diff(first, append=len(ordered))
+
+
+def _cut(text: str) -> list[str]:
+    bounds = [0, *(m.start() for m in CUT.finditer(text)), len(text)]
+    return [text[i:j] for i, j in zip(bounds, bounds[1:], strict=False)]
 
 
 @lru_cache(maxsize=2)
-def tokenizers(byte_path: str, piece_path: str) -> Tokenizers:
-    return Tokenizers(byte_path, piece_path)
+def aligner(byte_path: str, piece_path: str) -> Aligner:
+    return Aligner(byte_path, piece_path)
 
 
-def pieces(text: str) -> Iterator[tuple[int, str]]:
-    """(byte, piece) of a text with a space before it, cut before single spaces; each piece begins with a space."""
-    start, offset, text = 0, 0, " " + text
+def ranges(text: str) -> Iterator[str]:
+    """A text with a space before it in ranges that begin at a cut, so that each begins with a space."""
+    start, text = 0, " " + text
     while start < len(text):
-        found = CUT.search(text, start + PIECE)
+        found = CUT.search(text, start + RANGE)
         stop = found.start() if found else len(text)
-        piece = text[start:stop]
-        yield offset, piece
-        start, offset = stop, offset + len(piece.encode())
+        yield text[start:stop]
+        start = stop
 
 
 def align(docs: DataFrame, byte_path: str, piece_path: str) -> DataFrame:
@@ -209,7 +312,7 @@ def align(docs: DataFrame, byte_path: str, piece_path: str) -> DataFrame:
     doc_id may be null or repeated. Columns other than doc_id and text are left
     out, whatever their names.
 
-    Texts of over ``PIECE`` bytes are cut into pieces that are dealt to all tasks;
+    Texts of over ``RANGE`` bytes are cut into ranges that are dealt to all tasks;
     their fragments are composed ``FAN_IN`` at a time. Only the last step of a tree holds one whole document.
     """
     spark = docs.sparkSession
@@ -222,32 +325,29 @@ def align(docs: DataFrame, byte_path: str, piece_path: str) -> DataFrame:
     )
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = tokenizers(byte_path, piece_path)
-        block = _Blocks()
+        both, block = aligner(byte_path, piece_path), _Blocks()
         for batch in batches:
-            for part in text_slices(batch, "text", 1 << 20):
+            for part in text_slices(batch, "text", 1 << 21):
                 texts = part.column("text").to_pylist()
                 held = [i for i, t in enumerate(texts) if t]
                 found: list[Fragment | None] = [None] * len(texts)
-                for i, frag in zip(held, both.fragments([" " + texts[i] for i in held], [0] * len(held)), strict=True):
+                for i, frag in zip(held, both.fragments([" " + texts[i] for i in held]), strict=True):
                     found[i] = frag
                 yield _aligned(part.column("doc_id"), [compose(START, f) for f in found], block)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                cuts = list(pieces(batch.column("text")[i].as_py()))
-                columns = [pa.array([c[0] for c in cuts], pa.int64()), pa.array([c[1] for c in cuts], pa.string())]
+                cuts = list(ranges(batch.column("text")[i].as_py()))
                 number = pa.array(range(len(cuts)), pa.int64())
                 same = [pa.repeat(batch.column(c)[i], len(cuts)) for c in ("key", "doc_id")]
-                yield pa.RecordBatch.from_arrays([*same, number, *columns], ["key", "doc_id", "part", "offset", "piece"])
+                yield pa.RecordBatch.from_arrays([*same, number, pa.array(cuts, pa.string())], ["key", "doc_id", "part", "range"])
 
     def tokenized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = tokenizers(byte_path, piece_path)
+        both = aligner(byte_path, piece_path)
         for batch in batches:
-            for part in text_slices(batch, "piece", 1 << 20):
-                found = both.fragments(part.column("piece").to_pylist(), part.column("offset").to_pylist())
-                packed = pa.array([pickle.dumps(f) for f in found], pa.binary())
+            for part in text_slices(batch, "range", 1 << 21):
+                packed = pa.array([pickle.dumps(f) for f in both.fragments(part.column("range").to_pylist())], pa.binary())
                 names = ["key", "doc_id", "part"]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), packed], [*names, "fragment"])
 
@@ -264,10 +364,10 @@ def align(docs: DataFrame, byte_path: str, piece_path: str) -> DataFrame:
                 yield _aligned(batch.column("doc_id").slice(i, 1), [compose(START, one)], block)
 
     size = F.coalesce(F.octet_length("text"), F.lit(0))
-    short = rows.where(size <= PIECE).mapInArrow(whole, schema)
-    numbered = rows.where(size > PIECE).select(F.monotonically_increasing_id().alias("key"), "doc_id", "text")
+    short = rows.where(size <= RANGE).mapInArrow(whole, schema)
+    numbered = rows.where(size > RANGE).select(F.monotonically_increasing_id().alias("key"), "doc_id", "text")
     # the keys have to stay the same if a task is run again
-    cuts = materialize(numbered.mapInArrow(cut, f"key long, doc_id {kind}, part long, offset long, piece string"), "pieces")
+    cuts = materialize(numbered.mapInArrow(cut, f"key long, doc_id {kind}, part long, range string"), "ranges")
     parts = (cuts.agg(F.max("part")).first()[0] or 0) + 1
     state = f"key long, doc_id {kind}, part long, fragment binary"
     found = cuts.repartition("key", "part").mapInArrow(tokenized, state)

@@ -152,18 +152,62 @@ def test_fragments_compose_associatively(a_ends, b_ends, high, cuts):
     assert compose(None, whole) is None and compose(whole, None) is None
 
 
-def test_pieces_tokenize_as_the_whole(both, monkeypatch):
-    """Cutting before single spaces between word characters changes no token of either tokenizer."""
-    monkeypatch.setattr(alignment, "PIECE", 5)
-    text = "It's déjà vu, 12 345 a  b\n\nc d's x_y z - 日本 語 один два  три.  Don't stop 'here now' _ 7 up " * 3
+PARTS = st.sampled_from([
+    " ", "  ", "\n", "\t", "a", "It's", "don't", "'s", "déjà", "12", "3,4", ".", "-", "_", "日本", "один", "\u00a0", "\u3000", "\u200b", "\u0301",
+    "\x1c", "\x85", "\U0001f600", "▁", "<s>", "<0x41>", "<|endoftext|>", "\x00", "\u2028", "ﬁ", "\u00ad", "x" * 30,
+])
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(PARTS, max_size=30).map("".join))
+def test_cuts_change_no_token(both, text):
+    """Each tokenizer gives the pieces between cuts the tokens that they have in the whole."""
+    a, b = both
+    cut = alignment._cut(" " + text)
+    assert "".join(cut) == " " + text
+    assert [i for p in cut for i in a.encode(p, add_special_tokens=False).ids] == a.encode(" " + text, add_special_tokens=False).ids
+    if len(cut) > 1:
+        assert all(p.startswith(" ") for p in cut)
+    if "▁" not in text and text and text[0] != " ":
+        assert [i for p in cut for i in b.encode(p[1:])] == b.encode(text)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(PARTS, min_size=1, max_size=12).map("".join), min_size=1, max_size=6))
+def test_fragments_of_texts(both, texts):
+    """Fragments from remembered pieces, also in ranges of a few letters, are those of the tokens of the whole."""
+    made = alignment.aligner(registry.BYTE_BPE, registry.PIECE_BPE)
     a, b = both
-    found = list(alignment.pieces(text))
-    assert "".join(p for _, p in found) == " " + text
-    assert [o for o, _ in found] == np.cumsum([0, *(len(p.encode()) for _, p in found[:-1])]).tolist()
-    assert len(found) > 20 and all(p.startswith(" ") for _, p in found)
-    joined = [i for _, p in found for i in a.encode(p, add_special_tokens=False).ids]
-    assert joined == a.encode(" " + text, add_special_tokens=False).ids
-    assert [i for _, p in found for i in b.encode(p[1:])] == b.encode(text)
+    for text, found in zip(texts, made.fragments([" " + t for t in texts]), strict=True):
+        tokens = token_bytes(a, b, text)
+        assert (found is None) == (tokens is None)
+        if tokens is None:
+            continue
+        ids, sizes = [[i for i, _ in t] for t in tokens], [[len(x) for _, x in t] for t in tokens]
+        whole = Tokens(np.array(ids[0]), np.cumsum(sizes[0]), np.array(ids[1]), np.cumsum(sizes[1]))
+        same(compose(START, found), compose(START, fragment(whole)))
+
+
+def test_ranges_of_a_long_text(both, monkeypatch):
+    monkeypatch.setattr(alignment, "RANGE", 50)
+    text = "It's déjà vu, 12 345 a  b\n\nc d's x_y z - 日本 語 один два  три.  Don't stop 'here now' _ 7 up " * 9
+    cut = list(alignment.ranges(text))
+    assert "".join(cut) == " " + text and len(cut) > 10 and all(p.startswith(" ") for p in cut)
+    made = alignment.aligner(registry.BYTE_BPE, registry.PIECE_BPE)
+    one = IDENTITY
+    for found in made.fragments(cut):
+        one = compose(one, found)
+    same(compose(START, one), compose(START, made.fragments([" " + text])[0]))
+
+
+def test_the_memory_of_pieces_is_bounded(monkeypatch):
+    made = alignment.Aligner(registry.BYTE_BPE, registry.PIECE_BPE)
+    monkeypatch.setattr(alignment, "REMEMBERED", 100)
+    wanted = alignment.aligner(registry.BYTE_BPE, registry.PIECE_BPE).fragments([f" word{i} here" for i in range(50)])
+    found = [made.fragments([f" word{i} here"])[0] for i in range(50)]
+    assert len(made.numbers) < 20
+    for x, y in zip(found, wanted, strict=True):
+        same(x, y)
 
 
 def test_no_piece_of_b_crosses_a_word_start(both):
