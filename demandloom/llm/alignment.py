@@ -16,7 +16,7 @@ import pickle
 import re
 from collections.abc import Iterator
 from functools import lru_cache, reduce
-from itertools import chain, repeat
+from itertools import chain, islice, repeat
 from typing import NamedTuple
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -46,7 +46,7 @@ PLAIN = re.compile(r"(?=[^\s▁])[^▁]*(?<!\s)")
 #: How byte-level BPE cuts a text before it merges: a fixed pattern.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Letters of distinct pieces that a worker remembers, and pieces that it aligns at once.
-REMEMBERED, LEARNED_AT_ONCE = 8_000_000, 20_000
+REMEMBERED, LEARNED_AT_ONCE = 4_000_000, 10_000
 #: Fragments that one step of the tree composes.
 FAN_IN = 8
 #: Distinct links of documents that are counted and looked up together.
@@ -172,26 +172,25 @@ class Aligner:
     """
 
     def __init__(self, byte_path: str, piece_path: str) -> None:
-        self.a = Tokenizer.from_file(byte_path)
-        self.a.no_truncation()
-        self.a.no_padding()
-        self.a.encode_special_tokens = True
-        self.b = b = sentencepiece.SentencePieceProcessor(model_file=piece_path)
         letters = byte_letters()
-        entries = {i: bytes(letters[c] for c in text) for text, i in self.a.get_vocab().items()}
-        ranks = _ranks(byte_path)
-        # the same tokens as A's, several times as fast
-        self.ranked = tiktoken.Encoding("ranked", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}) if ranks else None
+        whole = Tokenizer.from_file(byte_path)
+        entries = {i: bytes(letters[c] for c in text) for text, i in whole.get_vocab().items()}
         self.a_bytes = [entries.get(i, b"") for i in range(max(entries) + 1)]
+        ranks = _ranks(byte_path)
+        if ranks:  # the same tokens, several times as fast
+            self.encode = tiktoken.Encoding("ranked", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        else:
+            whole.no_truncation()
+            whole.no_padding()
+            whole.encode_special_tokens = True
+            self.encode = lambda text: whole.encode(text, add_special_tokens=False).ids
+        self.b = b = sentencepiece.SentencePieceProcessor(model_file=piece_path)
         self.b_bytes = [
             bytes([int(b.id_to_piece(i)[3:-1], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace("▁", " ").encode()
             for i in range(b.get_piece_size())
         ]
         self.a_sizes = np.array([len(t) for t in self.a_bytes])
         self.b_sizes = np.array([len(t) for t in self.b_bytes])
-        self.clear()
-
-    def clear(self) -> None:
         self.numbers: dict[str, int] = {}
         self.letters = 0
         self.groups: list[str] = []
@@ -199,13 +198,19 @@ class Aligner:
         self.pairs = np.empty(0, np.int64)
         self.cuts = np.zeros(1, np.int64)  # the pairs of piece i lie between cuts[i] and cuts[i + 1]
 
+    def _forget(self) -> None:
+        """Keep the first pieces, up to half the letters: what comes first in a corpus comes often."""
+        kept = int(np.searchsorted(np.cumsum(np.fromiter(map(len, self.numbers), np.int64)), REMEMBERED // 2))
+        self.numbers = dict(islice(self.numbers.items(), kept))
+        self.letters = sum(map(len, self.numbers))
+        del self.groups[kept:]
+        self.sizes, self.cuts = self.sizes[:kept].copy(), self.cuts[: kept + 1].copy()
+        self.pairs = self.pairs[: self.cuts[-1]].copy()
+
     def _tokens(self, texts: list[str]) -> list[tuple[list[int], list[int]] | None]:
         """Ids of A and B for each text after a space; None where the bytes of a tokenizer's ids are not those of the text."""
         spaced = [" " + t for t in texts]
-        if self.ranked:
-            of_a = [self.ranked.encode_ordinary(t) for t in spaced]
-        else:
-            of_a = [e.ids for e in self.a.encode_batch(spaced, add_special_tokens=False)]
+        of_a = map(self.encode, spaced)
         found: list[tuple[list[int], list[int]] | None] = []
         for text, a, b in zip(spaced, of_a, self.b.encode(texts, num_threads=1), strict=True):
             whole = text.encode()
@@ -256,7 +261,7 @@ class Aligner:
     def fragments(self, texts: list[str]) -> list[Fragment | None]:
         """A fragment for each text that stands after a space at a common cut; None where bytes are not kept."""
         if self.letters > REMEMBERED:
-            self.clear()
+            self._forget()
         cut = [_cut(t) for t in texts]
         every = list(chain.from_iterable(cut))
         numbers = np.fromiter(map(self.numbers.get, every, repeat(-1)), np.int64, len(every))
@@ -367,7 +372,7 @@ def align(docs: DataFrame, byte_path: str, piece_path: str) -> DataFrame:
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both, block = aligner(byte_path, piece_path), _Blocks()
         for batch in batches:
-            for part in text_slices(batch, "text", 1 << 21):
+            for part in text_slices(batch, "text", 1 << 20):
                 texts = part.column("text").to_pylist()
                 held = [i for i, t in enumerate(texts) if t]
                 found: list[Fragment | None] = [None] * len(texts)
@@ -386,7 +391,7 @@ def align(docs: DataFrame, byte_path: str, piece_path: str) -> DataFrame:
     def tokenized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = aligner(byte_path, piece_path)
         for batch in batches:
-            for part in text_slices(batch, "range", 1 << 21):
+            for part in text_slices(batch, "range", 1 << 20):
                 packed = pa.array([pickle.dumps(f) for f in both.fragments(part.column("range").to_pylist())], pa.binary())
                 names = ["key", "doc_id", "part"]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), packed], [*names, "fragment"])
