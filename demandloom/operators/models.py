@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from demandloom.config import CATEGORY, DEFAULT_CONFIG, KEYS, NON_FEATURES, TARGET, FeatureConfig
 from demandloom.functions.scalar import numeric_columns
 from demandloom.functions.tables import zero_unusable
+from demandloom.operators import boosting
 from demandloom.operators.metrics import best_model, model_metrics, stack_predictions
 from demandloom.operators.naive import NAIVE_MODELS, predict_all
 from demandloom.operators.split import positional_split, test_part, train_part
@@ -38,14 +39,22 @@ def regressors(cfg: FeatureConfig = DEFAULT_CONFIG) -> dict:
     }
 
 
-def fit(train: DataFrame, name: str, cfg: FeatureConfig = DEFAULT_CONFIG) -> PipelineModel:
+#: Boosting with an L2 term, which Spark ML's regressor does not have.
+BOOSTED = "gradient_boosting_l2"
+
+
+def fit(train: DataFrame, name: str, cfg: FeatureConfig = DEFAULT_CONFIG) -> PipelineModel | boosting.BoostedTrees:
     """Fit one model. Rows are dealt by category and sorted first, so that a forest's samples follow from the rows alone."""
+    if name == BOOSTED:
+        return boosting.fit(train, feature_names(train))
     train = train.repartition(CATEGORY).sortWithinPartitions(*KEYS)
     assembler = VectorAssembler(inputCols=feature_names(train), outputCol="features")
     return Pipeline(stages=[assembler, regressors(cfg)[name]]).fit(train)
 
 
-def predict(model: PipelineModel, df: DataFrame, name: str) -> DataFrame:
+def predict(model: PipelineModel | boosting.BoostedTrees, df: DataFrame, name: str) -> DataFrame:
+    if isinstance(model, boosting.BoostedTrees):
+        return boosting.predict(model, df, name)
     return model.transform(df).drop("features").withColumnRenamed("prediction", name)
 
 
@@ -53,7 +62,7 @@ def predict(model: PipelineModel, df: DataFrame, name: str) -> DataFrame:
 class Training:
     """Fitted models, their metrics on the held-out rows, and the stacked predictions."""
 
-    models: dict[str, PipelineModel]
+    models: dict[str, PipelineModel | boosting.BoostedTrees]
     metrics: DataFrame
     predictions: DataFrame
     failures: dict[str, str] = field(default_factory=dict)
@@ -80,7 +89,7 @@ def train_from_table(
     train, test = train_part(split), test_part(split)
     predicted = predict_all(test, train, NAIVE_MODELS, order_by)
     scored = list(NAIVE_MODELS)
-    models: dict[str, PipelineModel] = {}
+    models: dict[str, PipelineModel | boosting.BoostedTrees] = {}
     failures: dict[str, str] = {}
     for name in names:
         try:

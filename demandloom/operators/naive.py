@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from demandloom.config import CATEGORY, KEYS, TARGET
+from demandloom.config import CATEGORY, DATE, KEYS, TARGET
 
 
 def _latest(order_by: Sequence[str] = KEYS) -> Column:
@@ -75,6 +76,27 @@ def forecast_seasonal_last(
     return forecast_last(test, train, name, order_by)
 
 
+def forecast_seasonal(
+    test: DataFrame, train: DataFrame, name: str = "seasonal", order_by: Sequence[str] = KEYS
+) -> DataFrame:
+    """Target of the same calendar month in the latest earlier year that the training rows of the category hold.
+
+    Without such a row it is the last training target of the category, then of the whole table.
+    Asked and known rows meet in one window per category and calendar month, sorted by
+    date, so each row sees the latest one before it without a range join.
+    """
+    month = F.month(DATE).alias("_month")
+    day = F.unix_date(DATE).alias("_day")
+    asked = test.select(CATEGORY, month, day, F.struct(*test.columns).alias("_row"), F.lit(None).cast("double").alias("_known"))
+    none = F.lit(None).cast(asked.schema["_row"].dataType).alias("_row")
+    known = train.select(CATEGORY, month, day, none, F.col(TARGET).cast("double").alias("_known"))
+    earlier = Window.partitionBy(CATEGORY, "_month").orderBy("_day").rangeBetween(Window.unboundedPreceding, -1)
+    met = asked.unionByName(known).withColumn("_season", F.last("_known", ignorenulls=True).over(earlier))
+    found = met.where(F.col("_row").isNotNull()).select("_row.*", "_season")
+    predicted = forecast_last(found, train, name, order_by)
+    return predicted.withColumn(name, F.coalesce("_season", name)).drop("_season")
+
+
 # Order of the columns of the stacked prediction tables.
 NAIVE_MODELS = {
     "naive_last_value": naive_last_value,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -44,6 +45,37 @@ def payment_type_pivot(payments: DataFrame) -> DataFrame:
     return typed.groupBy("order_id").agg(*payment_type_shares())
 
 
+def column_suffixes(values: Sequence[str]) -> dict[str, str]:
+    """A safe and distinct column suffix for each value: lower case, underscores, and a number where two would be equal."""
+    names: dict[str, str] = {}
+    for value in sorted(values):
+        plain = re.sub(r"[^0-9a-z]+", "_", value.lower()).strip("_") or "blank"
+        name, n = plain, 1
+        while name in names.values():
+            n += 1
+            name = f"{plain}_{n}"
+        names[value] = name
+    return names
+
+
+def payment_type_pivot_all(payments: DataFrame, most: int = 200) -> DataFrame:
+    """Shares of every payment type that the data hold, per order with a known type.
+
+    A first, narrow aggregation finds the types, whose names become columns; a
+    second one counts them. More than ``most`` types are an error, so that
+    a free text in the type column cannot make a table of unlimited width.
+    """
+    typed = payments.filter(F.col("order_id").isNotNull() & F.col("payment_type").isNotNull())
+    found = [r[0] for r in typed.select("payment_type").distinct().limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"more than {most} payment types")
+    known = F.count(F.lit(1))
+    shares = [
+        (F.count_if(F.col("payment_type") == value) / known).alias(f"pct_{name}") for value, name in column_suffixes(found).items()
+    ]
+    return typed.groupBy("order_id").agg(*shares) if shares else typed.select("order_id").distinct()
+
+
 def payment_features(payments: DataFrame) -> DataFrame:
     """Value, instalments and type shares per order, in one aggregation."""
     value, parts = "payment_value", "payment_installments"

@@ -13,6 +13,7 @@ from demandloom.operators.final import drop_constant_columns, final_clean
 from demandloom.operators.orders import build_item_grain
 from demandloom.operators.ratios import business_ratios
 from demandloom.operators.series import series_features, statistical_features, yearly_features
+from demandloom.session import materialize
 
 
 def monthly_table(
@@ -37,8 +38,12 @@ def features_from_monthly(monthly: DataFrame, cfg: FeatureConfig = DEFAULT_CONFI
 def build_features(
     sources: dict[str, DataFrame], cfg: FeatureConfig = DEFAULT_CONFIG, drop_constants: bool = True
 ) -> DataFrame:
-    """The labelled feature table; ``drop_constants`` costs one extra aggregation. Without any order there is none."""
+    """The labelled feature table; without any order there is none.
+
+    ``drop_constants`` stores the table, a few rows per category, since its minima and
+    maxima have to be known before its columns are.
+    """
     if sources["orders"].isEmpty():
         raise ValueError("no orders to build features from")
     table = final_clean(features_from_monthly(monthly_table(sources, cfg), cfg))
-    return drop_constant_columns(table) if drop_constants else table
+    return drop_constant_columns(materialize(table, "features")) if drop_constants else table

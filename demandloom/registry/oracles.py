@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from demandloom.registry.ctes import define, sql
+from demandloom.schemas import SCHEMAS
+from demandloom.sources.quarantine import LATTICE
 
 W = "PARTITION BY product_category_name ORDER BY date"
 KEYS = "order_month, product_category_name"
@@ -214,6 +216,22 @@ SELECT order_month, m.product_category_name AS product_category_name,
 FROM monthly m JOIN cat USING (product_category_name)
 """)
 
+_SO_FAR = f"OVER ({W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+define("cat_as_of", "m", f"""
+SELECT *, avg(demand) {_SO_FAR} AS category_avg_demand, stddev_samp(demand) {_SO_FAR} AS category_std_demand,
+  median(demand) {_SO_FAR} AS category_median_demand, max(demand) {_SO_FAR} AS category_max_demand,
+  avg(avg_price) {_SO_FAR} AS category_avg_price, stddev_samp(avg_price) {_SO_FAR} AS category_std_price,
+  avg(avg_review_score) {_SO_FAR} AS category_avg_review
+FROM m
+""")
+ORACLES["category_features_as_of"] = sql("cat_as_of", f"""
+SELECT {KEYS}, category_median_demand, category_max_demand, {rnd('category_avg_demand', 4)} AS category_avg_demand,
+  {rnd('category_std_demand', 4)} AS category_std_demand, {rnd('category_avg_price', 4)} AS category_avg_price,
+  {rnd('category_std_price', 4)} AS category_std_price, {rnd('category_avg_review', 4)} AS category_avg_review,
+  {plain(RELATIVE, 6)}
+FROM cat_as_of
+""")
+
 # ---- sources and sinks ---------------------------------------------------
 
 ORACLES["scan_sources"] = sql("f_orders f_items f_products f_payments f_reviews", """
@@ -232,6 +250,43 @@ ORACLES["scan_orders_typed"] = sql("f_orders", "SELECT * FROM f_orders")
 ORACLES["scan_tolerant"] = """
 SELECT 'found' AS source, count(*) AS n_rows FROM lineitem UNION ALL SELECT 'absent', 0
 """
+_product_fields = "product_weight_g, ',', product_length_cm, ',', product_height_cm, ',', product_width_cm"
+ORACLES["scan_rejects"] = sql("f_products f_reviews", f"""
+SELECT 'products' AS table_name, 'product_weight_g' AS column_name, product_weight_g AS raw, 'no double' AS reason, true AS in_folder
+FROM f_products WHERE product_id % 59 <> 0 AND product_weight_g = 'n/a'
+UNION ALL
+SELECT 'products', NULL, concat(product_id, ',"', coalesce(product_category_name, ''), ',', {_product_fields}),
+  'fields do not match the header', true
+FROM f_products WHERE product_id % 59 = 0
+UNION ALL
+SELECT 'products', NULL, CAST(count(*) AS VARCHAR), 'rows kept', true FROM f_products WHERE product_id % 59 <> 0
+UNION ALL
+SELECT 'reviews', 'review_answer_timestamp', review_answer_timestamp, 'no timestamp_ntz', true
+FROM f_reviews WHERE review_answer_timestamp = 'bad'
+UNION ALL
+SELECT 'reviews', NULL, CAST(count(*) AS VARCHAR), 'rows kept', true FROM f_reviews
+""")
+_text_tables = {
+    **{t: f"f_{t}" for t in ("orders", "items", "products", "payments", "reviews")},
+    "customers": "(SELECT c_custkey AS customer_id FROM customer)", "sellers": "(SELECT s_suppkey AS seller_id FROM supplier)",
+}
+
+
+def _inferred(table: str, source: str) -> str:
+    parts = []
+    for f in SCHEMAS[table]:
+        cases = " ".join(f"WHEN count(*) FILTER (regexp_full_match(v, '{pattern}')) = count(v) THEN '{kind}'" for kind, pattern in LATTICE.items())
+        parts.append(f"""
+SELECT '{table}' AS table_name, '{f.name}' AS column_name, '{f.dataType.simpleString()}' AS declared,
+  CASE WHEN count(v) = 0 THEN 'string' {cases} ELSE 'string' END AS inferred, count(v) AS n_values
+FROM (SELECT nullif(trim(CAST({f.name} AS VARCHAR)), '') AS v FROM {source})""")
+    return "\nUNION ALL".join(parts)
+
+
+ORACLES["infer_types"] = sql("f_orders f_items f_products f_payments f_reviews", """
+SELECT *, declared = 'string' OR (inferred = 'bigint' AND declared IN ('bigint', 'int', 'double'))
+  OR (inferred = 'double' AND declared = 'double') OR (inferred = 'timestamp' AND declared = 'timestamp_ntz') AS fits
+FROM (""" + "\nUNION ALL".join(_inferred(t, s) for t, s in _text_tables.items()) + "\n)")
 ORACLES["sink_roundtrip"] = sql("monthly", f"SELECT {KEYS}, demand, total_sales, avg_price FROM monthly")
 ORACLES["snapshot_write"] = sql("monthly", """
 SELECT 'backup' AS snapshot, count(*) AS n_rows, CAST(sum(demand) AS BIGINT) AS demand FROM monthly
@@ -284,6 +339,7 @@ SELECT 'payments', count(*), count(DISTINCT order_id) FROM (
 UNION ALL
 SELECT 'reviews', count(*), count(order_id) FROM (SELECT DISTINCT order_id FROM star)
 """)
+ORACLES["decompose_wide_table"] = ORACLES["decompose_wide"]
 ORACLES["clean_combined"] = sql("star_clean", """
 SELECT order_id, order_item_id, product_id, seller_id, price, freight_value, review_id, payment_sequential, payment_value
 FROM star_clean
@@ -332,11 +388,22 @@ ORACLES["payment_features"] = sql("p_features", "SELECT * FROM p_features")
 ORACLES["payment_type_pivot"] = sql("p_features", """
 SELECT order_id, pct_credit_card, pct_boleto, pct_voucher, pct_debit_card FROM p_features
 """)
+ORACLES["payment_type_pivot_all"] = sql("f_payments", "SELECT order_id,\n" + ",\n".join(
+    f"  avg(CASE WHEN kind = '{t}' THEN 1.0::DOUBLE ELSE 0 END) AS pct_{t.lower().replace(' ', '_')}"
+    for t in ("credit_card", "boleto", "voucher", "debit_card", "Gift Card")
+) + """
+FROM (
+  SELECT DISTINCT order_id, payment_sequential, payment_installments, payment_value,
+    CASE WHEN order_id % 7 = 0 AND payment_sequential = 1 THEN 'Gift Card' ELSE payment_type END AS kind
+  FROM f_payments WHERE payment_value >= 0
+) GROUP BY order_id
+""")
 ORACLES["review_features"] = sql("r_features", "SELECT * FROM r_features")
 ORACLES["monthly_category_agg"] = sql("monthly", f"""
 SELECT * REPLACE ({rnd('price_std', 4)} AS price_std, {rnd('delivery_time_days_std', 4)} AS delivery_time_days_std)
 FROM monthly
 """)
+ORACLES["monthly_state_merge"] = ORACLES["monthly_category_agg"]
 ORACLES["monthly_demand"] = sql("star", """
 SELECT *, lead(monthly_demand_units) OVER (PARTITION BY product_category_name ORDER BY order_month) AS demand_next_month
 FROM (
@@ -536,6 +603,17 @@ for _n in ("naive_last_value", "naive_historical_mean", "naive_by_category", "fo
     ORACLES[_n] = sql(_n, f"SELECT * FROM {_n}")
 ORACLES["forecast_seasonal_last"] = ORACLES["forecast_naive_last"]
 
+define("forecast_seasonal", "date_train date_test", f"""
+SELECT {KEYS}, demand_next_month, CAST(coalesce(season, last_of_category, {last_of('date_train')}) AS DOUBLE) AS prediction
+FROM (
+  SELECT t.*, (SELECT arg_max(s.demand_next_month, s.date) FROM date_train s
+      WHERE s.product_category_name = t.product_category_name AND month(s.date) = month(t.date) AND s.date < t.date) AS season,
+    (SELECT {LAST.replace('demand_next_month', 's.demand_next_month').replace('order_month', 's.order_month')} FROM date_train s
+      WHERE s.product_category_name = t.product_category_name) AS last_of_category
+  FROM date_test t
+)
+""")
+ORACLES["forecast_seasonal"] = sql("forecast_seasonal", "SELECT * FROM forecast_seasonal")
 define("naive_stack", "naive_last_value naive_historical_mean naive_by_category", """
 SELECT 'naive_last_value' AS model, * FROM naive_last_value
 UNION ALL SELECT 'naive_historical_mean', * FROM naive_historical_mean
@@ -647,6 +725,9 @@ FROM (
 ) WHERE demand_next_month IS NOT NULL
 """)
 
+ORACLES["update_incremental"] = ORACLES["update_recompute"]
+ORACLES["feature_table_incremental"] = ORACLES["feature_table"]
+
 # ---- fitted models: facts about the fits ----------------------------------
 
 # Keys and dates, which are no features.
@@ -657,7 +738,14 @@ SELECT column_name, min(value) AS value FROM (
   ON COLUMNS(*) INTO NAME column_name VALUE value
 ) GROUP BY column_name HAVING min(value) = max(value)
 """
-for _n in ("rf_predictions", "lr_predictions", "gbt_predictions"):
+ORACLES["feature_table_default"] = f"""
+WITH feature_rows AS ({ORACLES['feature_table']})
+SELECT (SELECT count(*) FROM feature_rows) AS n_rows, column_name, min(value) + 0.0 AS lo, max(value) + 0.0 AS hi FROM (
+  UNPIVOT (SELECT CAST(COLUMNS(* EXCLUDE (order_month, product_category_name, date)) AS DOUBLE) FROM feature_rows)
+  ON COLUMNS(*) INTO NAME column_name VALUE value
+) GROUP BY column_name HAVING min(value) <> max(value)
+"""
+for _n in ("rf_predictions", "lr_predictions", "gbt_predictions", "gbt_l2_predictions"):
     ORACLES[_n] = sql("pos_test", f"SELECT {KEYS}, demand_next_month, true AS is_finite, true AS fit_holds FROM pos_test")
 _models = ("naive_last_value", "naive_historical_mean", "naive_by_category", "linear_regression")
 

@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from demandloom.config import CATEGORY, DATE, KEYS, MONTH, TARGET
 from demandloom.functions import series as fs
@@ -17,12 +18,14 @@ from demandloom.functions.scalar import clamp_non_negative, finite_or_zero, norm
 from demandloom.functions.tables import fill_numeric_nulls, with_defaults, zero_unusable
 from demandloom.operators import (
     aggregates,
+    boosting,
     calendar,
     category,
     cleaning,
     final,
     metrics,
     models,
+    monthly_state,
     naive,
     orders,
     profile,
@@ -32,10 +35,10 @@ from demandloom.operators import (
     star,
     update,
 )
-from demandloom.plans import features, training
-from demandloom.schemas import SCHEMAS, with_id_type
+from demandloom.plans import features, incremental, training
+from demandloom.schemas import SCHEMAS, struct_of, with_id_type
 from demandloom.session import materialize, scratch_path
-from demandloom.sources import files, views
+from demandloom.sources import files, quarantine, views
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -167,6 +170,51 @@ def scan_tolerant(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def scan_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the scans of products and reviews cannot read, also lines cut off inside quotes, and how many rows they keep."""
+    products, reviews = views.products_view(spark, sf_dir), views.reviews_view(spark, sf_dir)
+    cut = F.when(F.col("product_id") % 59 == 0, F.concat(F.lit('"'), F.coalesce(CATEGORY, F.lit("")))).otherwise(F.col(CATEGORY))
+    typed = {
+        "products": (products.withColumn(CATEGORY, cut), "product_weight_g double, product_length_cm integer, product_height_cm double"),
+        "reviews": (reviews, "review_score long, review_creation_date timestamp_ntz, review_answer_timestamp timestamp_ntz"),
+    }
+    parts = []
+    for name, (table, schema) in typed.items():
+        path = f"{scratch_path(spark, 'rejects-csv')}/{name}.csv"
+        table.write.options(header=True, quote="").csv(path)  # as the texts are, without quoting
+        rows, rejects = quarantine.scan_with_rejects(spark, path, struct_of(schema))
+        in_folder = F.contains("file", F.lit(f"/{name}.csv/"))
+        parts.append(rejects.select(F.lit(name).alias("table_name"), "column_name", "raw", "reason", in_folder.alias("in_folder")))
+        kept = rows.agg(F.count(F.lit(1)).cast("string").alias("raw"))
+        parts.append(kept.select(
+            F.lit(name).alias("table_name"), F.lit(None).cast("string").alias("column_name"), "raw",
+            F.lit("rows kept").alias("reason"), F.lit(True).alias("in_folder"),
+        ))
+    result = parts[0]
+    for other in parts[1:]:
+        result = result.unionByName(other)
+    return result
+
+
+@query
+def infer_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The types that the values of the seven CSV tables have, beside the declared ones."""
+    base = scratch_path(spark, "typed-csv")
+    parts = []
+    for name, df in {**views.source_views(spark, sf_dir), **views.party_views(spark, sf_dir)}.items():
+        _as_csv(spark, df, name, base)
+        texts = spark.read.options(**files.CSV_OPTIONS).csv(f"{base}/{name}.csv")
+        declared = F.create_map(*[F.lit(v) for f in SCHEMAS[name] for v in (f.name, f.dataType.simpleString())])
+        parts.append(quarantine.infer_types(texts).select(
+            F.lit(name).alias("table_name"), "column_name", "inferred", "n_values", declared[F.col("column_name")].alias("declared")
+        ))
+    result = parts[0]
+    for other in parts[1:]:
+        result = result.unionByName(other)
+    return result.withColumn("fits", quarantine.fits("inferred", "declared"))
+
+
 def _sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _monthly(spark, sf_dir).select(*KEYS, "demand", "total_sales", "avg_price")
 
@@ -264,7 +312,10 @@ def default_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def decompose_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entities = star.star_entities(views.source_views(spark, sf_dir))
+    return _entity_counts(star.star_entities(views.source_views(spark, sf_dir)))
+
+
+def _entity_counts(entities: dict[str, DataFrame]) -> DataFrame:
     keys = {"products": "product_id"}
     counts = [
         df.agg(
@@ -280,6 +331,13 @@ def decompose_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result
 
 
+@query
+def decompose_wide_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored wide table split into its entities."""
+    wide = materialize(star.star_left_join(views.source_views(spark, sf_dir)), "wide")
+    return _entity_counts(cleaning.decompose_wide(wide))
+
+
 @query
 def clean_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = views.source_views(spark, sf_dir)
@@ -376,6 +434,16 @@ def payment_type_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.payment_type_pivot(cleaning.clean_payments(views.payments_view(spark, sf_dir)))
 
 
+@query
+def payment_type_pivot_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shares of all types in the data, here with a fifth one."""
+    payments = views.payments_view(spark, sf_dir)
+    fifth = F.when((F.col("order_id") % 7 == 0) & (F.col("payment_sequential") == 1), "Gift Card")
+    return orders.payment_type_pivot_all(
+        cleaning.clean_payments(payments.withColumn("payment_type", F.coalesce(fifth, F.col("payment_type"))))
+    )
+
+
 @query
 def review_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.review_features(cleaning.clean_reviews(views.reviews_view(spark, sf_dir)))
@@ -386,6 +454,25 @@ def monthly_category_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_monthly(spark, sf_dir, with_counts=True), 4, ["price_std", "delivery_time_days_std"])
 
 
+def _order_batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """States of two batches of orders: every third order comes later."""
+    sources = views.source_views(spark, sf_dir)
+    later = F.col("order_id") % 3 == 0
+    batches = [{**sources, "orders": sources["orders"].where(which)} for which in (~later, later)]
+    return [monthly_state.state_of(orders.build_item_grain(cleaning.clean_all(batch))) for batch in batches]
+
+
+@query
+def monthly_state_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monthly table from a stored state that a second batch of orders was merged into."""
+    first, second = _order_batches(spark, sf_dir)
+    path = scratch_path(spark, "state")
+    monthly_state.write_state(first, path)
+    monthly_state.update_state(spark, path, second)
+    table = monthly_state.finish(monthly_state.read_state(spark, path))
+    return rounded(table, 4, ["price_std", "delivery_time_days_std"])
+
+
 @query
 def monthly_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delivered demand of the star join per month and category, with next month's units."""
@@ -626,6 +713,16 @@ def category_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(table.select(*KEYS, *names), 6, names)
 
 
+@query
+def category_features_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Category statistics and relative values from the months up to each row's own."""
+    table = category.category_features_as_of(_series_input(spark, sf_dir))
+    relative = ["demand_vs_category_avg", "price_vs_category_avg", "review_vs_category_avg", "demand_z_score", "price_z_score"]
+    stats = ["category_avg_demand", "category_std_demand", "category_avg_price", "category_std_price", "category_avg_review"]
+    exact = ["category_median_demand", "category_max_demand"]
+    return rounded(rounded(table.select(*KEYS, *exact, *stats, *relative), 6, relative), 4, stats)
+
+
 @query
 def sanitize_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stacked naive predictions, spoilt by target modulus with NaN, infinity, NULL and negative values."""
@@ -670,6 +767,7 @@ QUERIES["naive_historical_mean"] = _naive(_positional, naive.naive_historical_me
 QUERIES["naive_by_category"] = _naive(_positional, naive.naive_by_category)
 QUERIES["forecast_naive_last"] = _naive(_by_date, naive.forecast_last)
 QUERIES["forecast_naive_mean"] = _naive(_by_date, naive.forecast_mean)
+QUERIES["forecast_seasonal"] = _naive(_by_date, naive.forecast_seasonal)
 QUERIES["forecast_seasonal_last"] = _naive(_by_date, naive.forecast_seasonal_last)
 
 
@@ -734,6 +832,32 @@ def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_features(features.build_features(views.source_views(spark, sf_dir), drop_constants=False))
 
 
+@query
+def feature_table_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns that the feature table keeps when constant ones are dropped, with their ranges."""
+    table = round_features(_stored(features.build_features(views.source_views(spark, sf_dir))))
+    names = [f.name for f in table.schema if isinstance(f.dataType, T.NumericType)]
+    bounds = table.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        *[f(F.col(c).cast("double")).alias(f"{side}_{i}") for i, c in enumerate(names) for side, f in (("lo", F.min), ("hi", F.max))],
+    )
+    entries = [
+        F.struct(F.lit(c).alias("column_name"), (F.col(f"lo_{i}") + 0.0).alias("lo"), (F.col(f"hi_{i}") + 0.0).alias("hi"))
+        for i, c in enumerate(names)
+    ]
+    return bounds.select("n_rows", F.inline(F.array(*entries)))
+
+
+@query
+def feature_table_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole feature table after a second batch of orders was merged into the stored tables."""
+    first, second = _order_batches(spark, sf_dir)
+    root = scratch_path(spark, "incremental")
+    incremental.start(first, root)
+    incremental.update_orders(spark, root, second)
+    return round_features(incremental.read_by_category(spark, f"{root}/features"))
+
+
 UPDATE_COLUMNS = (MONTH, CATEGORY, DATE, "demand", "total_sales", TARGET)
 
 
@@ -751,6 +875,20 @@ def update_recompute(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(table.select(*KEYS, *columns), 4, ["ma_3"])
 
 
+@query
+def update_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``update_recompute``: the next month comes for one half of the categories, then for the other."""
+    monthly = _stored(_monthly(spark, sf_dir, with_counts=True))
+    root = scratch_path(spark, "incremental")
+    incremental.start_monthly(monthly, root)
+    new = _stored(update.next_month_rows(monthly))
+    half = F.pmod(F.xxhash64(CATEGORY), F.lit(2)) == 0
+    for rows in (new.where(half), new.where(~half)):
+        incremental.update_months(spark, root, rows)
+    columns = ["demand", TARGET, "demand_lag_1", "demand_lag_12", "ma_3", "demand_growth_1m", "cumulative_demand_year"]
+    return rounded(incremental.read_by_category(spark, f"{root}/features").select(*KEYS, *columns), 4, ["ma_3"])
+
+
 # ---- fitted models (no SQL equivalent) -----------------------------------
 
 
@@ -806,6 +944,20 @@ QUERIES["lr_predictions"] = _checked("linear_regression", _residuals_cancel)
 QUERIES["gbt_predictions"] = _checked("gradient_boosting", _beats_the_mean)
 
 
+@query
+def gbt_l2_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boosting with an L2 term on all feature columns, ten trees of depth 4: every test row, and whether the fit explains the training rows."""
+    table = _stored(features.build_features(views.source_views(spark, sf_dir), drop_constants=False))
+    parts = materialize(split.positional_split(zero_unusable(table)), "split")
+    train = split.train_part(parts)
+    model = boosting.fit(train, models.feature_names(table), boosting.BoostConfig(rounds=10, depth=4, rate=0.3))
+    left, whole = boosting.predict(model, train, "prediction").agg(
+        F.avg(F.pow(F.col(TARGET) - F.col("prediction"), 2)), F.var_pop(TARGET)
+    ).first()
+    found = boosting.predict(model, split.test_part(parts), "prediction")
+    return found.select(*KEYS, TARGET, _finite("prediction").alias("is_finite"), F.lit(left < 0.2 * whole).alias("fit_holds"))
+
+
 def _scored(table: DataFrame) -> DataFrame:
     """Each model with its status and whether its errors are usable numbers."""
     return table.select("model", "status", (_finite("mae") & _finite("rmse") & (F.col("mae") <= F.col("rmse") + 1e-9)).alias("is_scored"))
@@ -824,7 +976,7 @@ def _latest_is(spark: SparkSession, root: str, trained: models.Training) -> bool
     """Whether the log of the newest training names the trained model with the smallest error."""
     fitted = trained.metrics.filter(F.col("model").isin(list(trained.models)))
     best = fitted.orderBy("mae", "model").first()["model"]
-    newest = spark.read.parquet(f"{root}/model_latest").orderBy(F.desc("version")).first()["path"]
+    newest = files.log_entries(spark, f"{root}/model_latest").orderBy(F.desc("number")).first()["path"]
     return f"/model_{best}_" in newest
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demandloom.config import MONTH
+from demandloom.operators import boosting
 from demandloom.schemas import SCHEMAS, TIMESTAMP_FORMAT, struct_of
 
 
@@ -109,25 +113,61 @@ def read_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame]
         return build()
 
 
-# Snapshots: each version is written to its own folder and then listed in a small
-# log table. A reader takes the newest listed version, so it never sees a half
-# written one, and earlier versions stay as backups.
+# Snapshots: each version is written to its own folder and then listed in a log. The
+# log has one small file for each entry, numbered from 0; an entry is written by
+# creating the file of the next number, which fails if another writer was first and
+# is then tried with the number after it. A reader takes the entry with the highest
+# number, so it never sees a half written version, no writer hides another one, and
+# clocks do not matter. Earlier versions stay as backups.
 
-LOG_SCHEMA = struct_of("version string, path string")
+LOG_SCHEMA = struct_of("number long, version string, path string")
 
 
 def new_version() -> str:
-    return datetime.now(timezone.utc).strftime("%Y%m%d_%H%M%S_%f")
+    """A readable name; the order of versions is that of the log."""
+    return f"{datetime.now(timezone.utc).strftime('%Y%m%d_%H%M%S_%f')}_{uuid.uuid4().hex[:8]}"
 
 
-def _log(spark: SparkSession, log: str, version: str, path: str) -> None:
-    spark.createDataFrame([(version, path)], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(log)
+def log_entries(spark: SparkSession, log: str) -> DataFrame:
+    """(number, version, path) of the complete entries; none if nothing has been written yet."""
+    try:
+        stored = spark.read.schema(LOG_SCHEMA).json(log)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LOG_SCHEMA)
+    return stored.where(F.col("path").isNotNull())
+
+
+def _next_number(spark: SparkSession, log: str) -> int:
+    return log_entries(spark, log).agg(F.coalesce(F.max("number") + 1, F.lit(0))).first()[0]
+
+
+def _log(spark: SparkSession, log: str, version: str, path: str) -> int:
+    """List a version under the next free number, which is returned. The file system must create files exclusively, as HDFS does."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    system = hadoop.Path(log).getFileSystem(spark._jsc.hadoopConfiguration())
+    number = _next_number(spark, log)
+    while True:
+        target = hadoop.Path(f"{log}/{number:020d}.json")
+        try:
+            out = system.create(target, False)
+        except Py4JJavaError:
+            if not system.exists(target):
+                raise
+            number += 1
+            continue
+        try:
+            out.write(bytearray(json.dumps({"number": number, "version": version, "path": path}).encode()))
+        finally:
+            out.close()
+        return number
 
 
 def _newest(spark: SparkSession, log: str, version: str | None = None) -> str:
-    entries = read_or_build(spark, log, lambda: spark.createDataFrame([], LOG_SCHEMA))
-    wanted = entries.filter(F.col("version") == version) if version else entries.orderBy(F.desc("version"))
-    entry = wanted.first()
+    entries = log_entries(spark, log)
+    wanted = entries.filter(F.col("version") == version) if version else entries
+    entry = wanted.orderBy(F.desc("number")).first()
     if entry is None:
         raise FileNotFoundError(f"nothing listed in {log}")
     return entry["path"]
@@ -142,7 +182,7 @@ def write_snapshot(df: DataFrame, root: str, version: str | None = None) -> str:
 
 
 def snapshot_log(spark: SparkSession, root: str) -> DataFrame:
-    return read_or_build(spark, f"{root}/log", lambda: spark.createDataFrame([], LOG_SCHEMA))
+    return log_entries(spark, f"{root}/log")
 
 
 def read_snapshot(spark: SparkSession, root: str, version: str | None = None) -> DataFrame:
@@ -150,7 +190,7 @@ def read_snapshot(spark: SparkSession, root: str, version: str | None = None) ->
 
 
 def save_models(
-    spark: SparkSession, models: dict[str, PipelineModel], best: str | None, root: str, version: str | None = None
+    spark: SparkSession, models: dict[str, PipelineModel | boosting.BoostedTrees], best: str | None, root: str, version: str | None = None
 ) -> list[str]:
     """Each trained model under a versioned name; the log ``model_latest`` then names the best one.
 
@@ -159,16 +199,22 @@ def save_models(
     version = version or new_version()
     paths = {name: f"{root}/model_{name}_{version}" for name in models}
     for name, model in models.items():
-        model.write().overwrite().save(paths[name])
+        if isinstance(model, boosting.BoostedTrees):
+            boosting.save(spark, model, paths[name])
+        else:
+            model.write().overwrite().save(paths[name])
     if best in models:
         _log(spark, f"{root}/model_latest", version, paths[best])
     return list(paths.values())
 
 
-def load_model(path: str) -> PipelineModel:
+def load_model(spark: SparkSession, path: str) -> PipelineModel | boosting.BoostedTrees:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/trees")
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return boosting.load(spark, path)
     return PipelineModel.load(path)
 
 
-def latest_model(spark: SparkSession, root: str) -> PipelineModel:
+def latest_model(spark: SparkSession, root: str) -> PipelineModel | boosting.BoostedTrees:
     """The best model of the newest training."""
-    return load_model(_newest(spark, f"{root}/model_latest"))
+    return load_model(spark, _newest(spark, f"{root}/model_latest"))

@@ -143,3 +143,28 @@ def test_read_or_build(spark, tmp_path):
     assert files.read_or_build(spark, path, lambda: spark.range(4)).count() == 4
     spark.range(2).write.parquet(path)
     assert files.read_or_build(spark, path, lambda: spark.range(4)).count() == 2
+
+
+def test_two_writers_and_a_clock_that_runs_backwards(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "snapshots")
+    names = iter(["20300101_c", "20200101_b", "20100101_a"])
+    monkeypatch.setattr(files, "new_version", lambda: next(names))
+    files.write_snapshot(spark.range(1), root)
+    files.write_snapshot(spark.range(2), root)
+    assert files.read_snapshot(spark, root).count() == 2  # the later entry, not the larger name
+    # a writer that saw the log before the second entry was made must not hide or lose it
+    monkeypatch.setattr(files, "_next_number", lambda spark, log: 1)
+    files.write_snapshot(spark.range(3), root)
+    entries = [(r.number, r.version) for r in files.snapshot_log(spark, root).orderBy("number").collect()]
+    assert entries == [(0, "20300101_c"), (1, "20200101_b"), (2, "20100101_a")]
+    assert files.read_snapshot(spark, root).count() == 3 and files.read_snapshot(spark, root, "20200101_b").count() == 2
+
+
+def test_an_entry_that_is_not_complete_is_not_read(spark, tmp_path):
+    root = str(tmp_path / "snapshots")
+    files.write_snapshot(spark.range(3), root)
+    (tmp_path / "snapshots" / "log" / f"{1:020d}.json").write_text('{"number": 1, "vers')
+    assert files.read_snapshot(spark, root).count() == 3
+    files.write_snapshot(spark.range(4), root)
+    assert files.read_snapshot(spark, root).count() == 4
+    assert [r.number for r in files.snapshot_log(spark, root).orderBy("number").collect()] == [0, 2]

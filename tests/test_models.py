@@ -118,3 +118,17 @@ def test_recompute_labels_the_former_last_month(spark):
     after = training.updated_features(monthly, next_month_rows(monthly))
     categories = monthly.select("product_category_name").distinct().count()
     assert after.count() == before.count() + categories
+
+
+def test_boosting_with_an_l2_term_trains_and_loads_as_the_others(spark, table, tmp_path, monkeypatch):
+    from demandloom.operators import boosting
+
+    real = boosting.fit
+    small = boosting.BoostConfig(rounds=3, depth=3)
+    monkeypatch.setattr(boosting, "fit", lambda train, names, cfg=small, target="demand_next_month": real(train, names, small, target))
+    root = str(tmp_path / "models")
+    trained = training.train_and_save(table, root, names=(models.BOOSTED,))
+    assert trained.best(trained_only=True).first()["model"] == models.BOOSTED
+    loaded = files.latest_model(spark, root)
+    want = models.predict(trained.models[models.BOOSTED], table, "p").agg(F.sum("p")).first()[0]
+    assert models.predict(loaded, table, "p").agg(F.sum("p")).first()[0] == want
