@@ -20,11 +20,14 @@ import zlib
 
 import numpy as np
 
-MAGIC = b"TIDB0002"
+MAGIC = b"TIDB0003"
 #: Lanes of a large block; a small one has a lane for every LEAST ids.
 LANES, LEAST = 8192, 48
-#: Slots of the order-2 table, shares of the mix, largest sum of the order-0 frequencies.
-SLOTS, SHARES, MOST = 1 << 19, 1 << 12, 1 << 19
+#: Slots of the order-2 table, shares of the mix (two to the power), largest sum of the order-0 counts.
+SLOTS, SHARE_BITS, MOST = 1 << 19, 12, 1 << 19
+SHARES = 1 << SHARE_BITS
+#: Ids have to be below this, so that each gets a part of the smallest range.
+MOST_IDS = 1 << 19
 _TOP, _BOTTOM = np.uint64(1 << 48), np.uint64(1 << 32)
 _U16, _U48 = np.uint64(16), np.uint64(48)
 _HEADER = np.dtype([("ids", "<u4"), ("vocabulary", "<u4"), ("lanes", "<u4"), ("words", "<u4")])
@@ -39,6 +42,9 @@ class _Model:
 
     def __init__(self, vocabulary: int) -> None:
         self.vocabulary = vocabulary
+        # the order-0 frequencies add up to a power of two, so that a range is divided by a shift
+        self.bits = 19 if vocabulary <= 1 << 18 else 20
+        self.shift = np.uint64(SHARE_BITS + self.bits)
         self.after2 = np.zeros(SLOTS, np.int32)
         self.after1 = np.zeros(vocabulary + 1, np.int32)
         self.frequency = np.ones(vocabulary, np.int64)
@@ -56,10 +62,12 @@ class _Model:
         while total > MOST and total > 2 * self.vocabulary:
             self.frequency = (self.frequency + 1) >> 1
             total = int(self.frequency.sum())
-        self.ends = np.concatenate([[0], np.cumsum(self.frequency)]).astype(np.int32)
-        self.below = self.ends.astype(np.uint64)
-        self.weight = self.frequency.astype(np.uint64)
-        self.total = total
+        counted = np.concatenate([[0], np.cumsum(self.frequency)])
+        # one part for every id, the others by count
+        ends = counted * ((1 << self.bits) - self.vocabulary) // total + np.arange(self.vocabulary + 1)
+        self.ends = ends.astype(np.int32)
+        self.below = ends.astype(np.uint64)
+        self.weight = np.diff(ends).astype(np.uint64)
 
     def _mix(self) -> None:
         """The ends of the shares of order 2 and order 1, and the unit of order 0, for each state of the confidences."""
@@ -68,10 +76,7 @@ class _Model:
         second[1::2] = 0  # both guesses are the same id
         self.unit0 = (SHARES - first - second).astype(np.uint64)
         self.first, self.both = first.astype(np.uint64), (first + second).astype(np.uint64)
-        self._scale()
-
-    def _scale(self) -> None:
-        self.ends2, self.ends12 = self.first * np.uint64(self.total), self.both * np.uint64(self.total)
+        self.ends2, self.ends12 = self.first << np.uint64(self.bits), self.both << np.uint64(self.bits)
 
     def look(self, one: np.ndarray, two: np.ndarray) -> None:
         """The guesses and shares after the ids ``one`` and, before it, ``two``."""
@@ -129,9 +134,11 @@ def _settled(low: np.ndarray, span: np.ndarray, at: np.ndarray | None) -> np.nda
 
 
 def encode_block(ids: np.ndarray) -> bytes:
-    """A block of ids below 2**28 as bytes, readable without any other block."""
+    """A block of ids below ``MOST_IDS`` as bytes, readable without any other block."""
     ids = np.ascontiguousarray(ids, np.int32)
     count = len(ids)
+    if count and not 0 <= int(ids.min()) <= int(ids.max()) < MOST_IDS:
+        raise ValueError(f"ids have to be 0 to {MOST_IDS - 1}")
     if not count:
         return _packed(count, 0, 0, np.zeros(0, np.uint32), np.zeros(0, np.uint16))
     vocabulary = int(ids.max()) + 1
@@ -144,7 +151,6 @@ def encode_block(ids: np.ndarray) -> bytes:
     one, two = np.full(lanes, vocabulary, np.int32), np.full(lanes, vocabulary, np.int32)
     out_lane: list[np.ndarray] = []
     out_word: list[np.ndarray] = []
-    shares = np.uint64(SHARES)
     for step in range(length):
         n = _active(count, length, step)
         y, a, s = steps[step, :n], low[:n], span[:n]
@@ -154,7 +160,7 @@ def encode_block(ids: np.ndarray) -> bytes:
         part0, end2, end12 = model.part0, model.end2, model.end12
         start = np.where(by2, np.uint64(0), np.where(by1, end2, end12 + part0 * model.below.take(y)))
         width = np.where(by2, end2, np.where(by1, end12 - end2, part0 * model.weight.take(y)))
-        s //= shares * np.uint64(model.total)
+        s >>= model.shift
         a += s * start
         s *= width
         at = _settled(a, s, None)
@@ -207,15 +213,14 @@ def decode_block(block: bytes) -> np.ndarray:
         code = (code << _U16) | words.take(place)
         place += 1
     one, two = np.full(lanes, vocabulary, np.int32), np.full(lanes, vocabulary, np.int32)
-    shares = np.uint64(SHARES)
+    whole = (np.uint64(1) << model.shift) - np.uint64(1)
     for step in range(length):
         n = _active(count, length, step)
         a, s, c = low[:n], span[:n], code[:n]
         model.look(one[:n], two[:n])
         part0, end2, end12 = model.part0, model.end2, model.end12
-        whole = shares * np.uint64(model.total)
-        s //= whole
-        found = np.minimum((c - a) // s, whole - np.uint64(1))
+        s >>= model.shift
+        found = np.minimum((c - a) // s, whole)
         by2 = found < end2
         by1 = (found < end12) & ~by2
         y = np.where(by2, model.g2, model.g1)

@@ -61,6 +61,14 @@ def test_coder_round_trips():
     assert len(idcoder.encode_block(skewed)) < 1.3 * len(skewed)
 
 
+def test_ids_out_of_bounds_are_refused():
+    largest = np.array([idcoder.MOST_IDS - 1, 0, 5] * 400)
+    assert (idcoder.decode_block(idcoder.encode_block(largest)) == largest).all()
+    for ids in ([idcoder.MOST_IDS], [-1, 3]):
+        with pytest.raises(ValueError):
+            idcoder.encode_block(np.array(ids))
+
+
 def test_damage_is_found():
     block = bytearray(idcoder.encode_block(np.arange(1000)))
     block[len(block) // 2] ^= 1
