@@ -2,7 +2,9 @@
 
 Of all runs of ``k`` words those are chosen whose smallest inner run of ``s``
 words, by hash, is the first or the last one. The choice depends on nothing
-outside the run, so equal passages get the same anchors wherever they stand.
+outside the run, so equal passages get the same anchors wherever they stand, and
+two documents are compared by matching anchors at the places that one common
+shift maps to each other.
 """
 
 from __future__ import annotations
@@ -14,6 +16,8 @@ from demandloom.llm.common import WORD
 
 #: Words of a run and of its inner runs: closed syncmers are about 2 of (k - s + 1) runs, here half.
 K, S = 5, 2
+#: How far a matched anchor may lie from the common shift: so many anchors, and this share of the mean number of both.
+DRIFT, DRIFT_SHARE = 4, 0.05
 #: Ranges of doc_ids per shuffle partition, for the sort by doc_id.
 RANGES_PER_PARTITION = 4
 #: Bounds of ranges that one group of the two-step search holds.
@@ -60,10 +64,55 @@ def as_text(anchors: str) -> Column:
     return F.array_join(F.transform(anchors, lambda a: F.lower(F.lpad(F.hex(a), 8, "0"))), "")
 
 
-def likeness(a: str, b: str) -> Column:
-    """Twice the shared anchors over all anchors of both, each distinct anchor once; 1 for two without any."""
-    total = F.size(F.array_distinct(a)) + F.size(F.array_distinct(b))
-    return F.when(total > 0, F.lit(2.0) * F.size(F.array_intersect(a, b)) / total).otherwise(F.lit(1.0))
+def _sorted_places(a: str, b: str) -> Column:
+    """All anchors of both, each as one number: anchor, place among its document's anchors, and document (0 or 1), sorted."""
+
+    def places(anchors: str, side: int) -> Column:
+        return F.transform(anchors, lambda x, i: F.shiftleft(x, 31) + F.shiftleft(i.cast("long"), 1) + F.lit(side))
+
+    return F.sort_array(F.concat(places(a, 0), places(b, 1)))
+
+
+def with_likeness(df: DataFrame, a: str, b: str, name: str) -> DataFrame:
+    """Add ``name``: twice the anchors of ``a`` and ``b`` that match by position over all anchors of both, 0 to 1.
+
+    Occurrences of an anchor in both documents that follow each other by place are
+    paired, each at most once. The middle one of all pairs' shifts (place in ``b`` less place in
+    ``a``) is the common shift, and the pairs that lie within the drift of it
+    match. So a passage put in front, or a few words more or less, cost little, while
+    moved or further repeated passages do not count. Equal lists of anchors give 1, also two without any.
+    """
+    sorted_, pairs, shifts = f"_{name}_sorted", f"_{name}_pairs", f"_{name}_shifts"
+    last = F.lit((1 << 30) - 1)
+
+    def place(x: Column) -> Column:
+        return F.shiftright(x, 1).bitwiseAND(last)
+
+    placed = df.withColumn(sorted_, _sorted_places(a, b))
+    rest = F.greatest(F.size(sorted_) - 1, F.lit(0))
+    neighbours = F.arrays_zip(F.slice(sorted_, F.lit(1), rest).alias("x"), F.slice(sorted_, F.lit(2), rest).alias("y"))
+    # the same anchor, in two documents
+    met = placed.withColumn(
+        pairs,
+        F.filter(neighbours, lambda n: (F.shiftright(n["x"], 31) == F.shiftright(n["y"], 31)) & (n["x"].bitwiseXOR(n["y"]).bitwiseAND(F.lit(1)) == 1)),
+    )
+
+    def from_side(side: int) -> Column:
+        forward = F.filter(pairs, lambda n: n["x"].bitwiseAND(F.lit(1)) == side)
+        sign = F.lit(1 - 2 * side)
+        return F.sort_array(F.transform(forward, lambda n: sign * (place(n["y"]) - place(n["x"]))))
+
+    # pairs that begin in the same document hold no occurrence twice
+    both = met.withColumn(shifts + "0", from_side(0)).withColumn(shifts + "1", from_side(1))
+    chosen = both.withColumn(
+        shifts, F.when(F.size(shifts + "0") >= F.size(shifts + "1"), F.col(shifts + "0")).otherwise(F.col(shifts + "1"))
+    )
+    total = F.size(a) + F.size(b)
+    middle = F.get(shifts, F.floor(F.size(shifts) / 2).cast("int"))
+    drift = DRIFT + F.lit(DRIFT_SHARE / 2) * total
+    matched = F.size(F.filter(shifts, lambda d: F.abs(d - middle) <= drift))
+    value = F.when(total > 0, F.lit(2.0) * matched / total).otherwise(F.lit(1.0))
+    return chosen.withColumn(name, value).drop(sorted_, pairs, shifts, shifts + "0", shifts + "1")
 
 
 def anchor_positions(docs: DataFrame) -> DataFrame:
@@ -133,12 +182,14 @@ def fingerprint(docs: DataFrame) -> DataFrame:
     kept = F.col("text").substr(F.lit(1), F.length("text") - half)
     edited = marked.withColumn("edited", F.concat(kept, F.col("next_text").substr(F.lit(1), half)))
     edited = with_anchors(edited, "edited", "edited_anchors")
+    edited = with_likeness(edited, "anchors", "edited_anchors", "near_edited")
+    edited = with_likeness(edited, "anchors", "next_anchors", "near_next")
     return edited.select(
         "doc_id",
         F.length("text").cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
         as_text("anchors").alias("fingerprint"),
         as_text("edited_anchors").alias("edited_fingerprint"),
-        likeness("anchors", "edited_anchors").alias("near_edited"),
-        likeness("anchors", "next_anchors").alias("near_next"),
+        "near_edited",
+        "near_next",
     )
