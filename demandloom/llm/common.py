@@ -29,6 +29,24 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def numbered(docs: DataFrame, columns: Sequence[str] | None = None) -> tuple[DataFrame, list[Column]]:
+    """The columns under the names c0, c1, ..., which no helper column has, and the expressions that give them back.
+
+    So no name of a user's column can meet one that an operator needs for itself.
+    """
+    columns = list(docs.columns if columns is None else columns)
+    inside = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)])
+    return inside, [F.col(f"c{i}").alias(c) for i, c in enumerate(columns)]
+
+
+def unused(name: str, columns: Sequence[str]) -> str:
+    """The name, with as many underscores in front as keep it from being one of the columns."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def running_total(
     df: DataFrame, by: Sequence[str], bucket: str, order: Sequence[Column], value: Column, name: str
 ) -> DataFrame:
@@ -41,16 +59,17 @@ def running_total(
     than one bucket holds.
     """
     keys = [*by, bucket]
-    valued = df.withColumn("_value", value)
-    sums = valued.groupBy(*keys).agg(F.sum("_value").alias("_sum"))
+    valued_, inside_, start_ = (unused(n, df.columns) for n in ("_value", "_inside", "_start"))
+    valued = df.withColumn(valued_, value)
+    sums = valued.groupBy(*keys).agg(F.sum(valued_).alias(start_))
     earlier = Window.partitionBy(*by).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select(*keys, F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_start"))
+    starts = sums.select(*keys, F.coalesce(F.sum(start_).over(earlier), F.lit(0)).alias(start_))
     inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        valued.withColumn("_inside", F.coalesce(F.sum("_value").over(inside), F.lit(0)))
+        valued.withColumn(inside_, F.coalesce(F.sum(valued_).over(inside), F.lit(0)))
         .join(starts, keys)
-        .withColumn(name, (F.col("_start") + F.col("_inside")).cast("long"))
-        .drop("_value", "_inside", "_start")
+        .withColumn(name, (F.col(start_) + F.col(inside_)).cast("long"))
+        .drop(valued_, inside_, start_)
     )
 
 

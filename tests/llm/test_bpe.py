@@ -1,4 +1,5 @@
 import hashlib
+import time
 
 import pytest
 from tokenizers import Tokenizer
@@ -42,6 +43,29 @@ def test_decode_of_odd_ids(spark):
     found = {r.k: r.decoded for r in bpe.decode(df, registry.WORD_BPE).collect()}
     piece = bpe.tokenizer(registry.WORD_BPE).id_to_token(320)
     assert found == {1: None, 2: "", 3: f"{piece} {piece}"}
+    plan = bpe.decode(df, registry.WORD_BPE)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in plan and "Python" not in plan and "Arrow" not in plan
+
+
+@pytest.mark.parametrize("head_words, length", [(1 << 20, 70), (0, 5)])
+def test_repeated_rows_take_linear_work(spark, model, head_words, length):
+    """Equal rows share one set of words from outside the head, however often they come."""
+    text = " ".join(f"{i:0{length}d}x" for i in range(60))
+    docs = spark.createDataFrame([(1, text)] * 4000, "doc_id long, text string").repartition(8)
+    start = time.monotonic()
+    rows = bpe.round_trip(docs, registry.WORD_BPE, head_words).groupBy("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").count().collect()
+    assert time.monotonic() - start < 60
+    ids = model.encode(text, add_special_tokens=False).ids
+    assert [tuple(r) for r in rows] == [(1, len(ids), digest(" ".join(map(str, ids))), digest(model.decode(ids, skip_special_tokens=False)), 4000)]
+
+
+def test_words_are_decoded_by_a_join(spark, model):
+    table = bpe.word_table(odd_documents(spark), registry.WORD_BPE)
+    rows = table.collect()
+    assert len(rows) == len({r.word for r in rows}) > 50
+    for r in rows:
+        assert list(r.ids) == model.encode(r.word, add_special_tokens=False).ids
+        assert r.text == model.decode(list(r.ids), skip_special_tokens=False)
 
 
 def test_empty_table(spark):
