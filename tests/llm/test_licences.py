@@ -2,7 +2,7 @@ import textwrap
 
 from demandloom.llm import licences, registry
 from tests.checking import compare, duck
-from tests.llm.helpers import SF_DIR, no_documents, odd_documents, odd_rows
+from tests.llm.helpers import SF_DIR, as_set, no_documents, odd_documents, odd_rows
 
 
 def brute(text):
@@ -23,13 +23,16 @@ def brute(text):
         if name is None:
             unknown += 1
             continue
+        if unknown and name == "bsd-as-is" and sequence and sequence[-1] == "bsd-binary":
+            sequence[-1], unknown = "break", 0
+            continue
         if unknown >= licences.BREAK:
             sequence.append("break")
         unknown = 0
         if name != "end":
             sequence.append(name)
     named = {code: name for name, code in licences.codes().items()}
-    rules = [([named[code[i : i + 4]] for i in range(0, len(code), 4)], licence) for code, licence in licences.rules()]
+    rules = [([named[code[i : i + 5]] for i in range(0, len(code), 5)], licence) for code, licence in licences.rules()]
     matched, at = [], 0
     while at < len(sequence):
         for rule, licence in rules:
@@ -129,10 +132,93 @@ def test_lists_and_conditions(spark):
 
 def test_no_rows_and_clashing_columns(spark):
     assert licences.scan(no_documents(spark)).count() == 0
-    docs = odd_documents(spark).withColumnRenamed("lang", "licences")
-    assert licences.scan(docs).columns == ["doc_id", "text", "source", "n_chars", "n_sentences", "n_known", "sentences", "licences"]
+    docs = odd_documents(spark).withColumnRenamed("lang", "licences").withColumnRenamed("source", "_codes")
+    assert licences.scan(docs).columns == ["doc_id", "text", "_codes", "n_chars", "n_sentences", "n_known", "sentences", "licences"]
+    assert as_set(licences.scan(docs).select("doc_id", "_codes").collect()) == as_set((r[0], r[3]) for r in odd_rows())
 
 
 def test_plan_is_native(spark):
     plan = registry.licence_scan(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def bsd(holder="the copyright holder", by="THE COPYRIGHT HOLDERS AND CONTRIBUTORS", third=None, advert=""):
+    text = licences.SENTENCES
+    name = third if third is not None else text["bsd-name"].replace("the copyright holder", holder)
+    as_is = text["bsd-as-is"].replace("THE COPYRIGHT HOLDERS AND CONTRIBUTORS", by)
+    return "\n\n".join(x for x in (text["bsd-grant"], "1. " + text["bsd-source"], "2. " + text["bsd-binary"], advert, name, as_is) if x)
+
+
+def noticed(noun, free, see="GNU General Public License"):
+    text = licences.SENTENCES
+    return "\n\n".join([
+        text[free].replace("This program", noun), text["gpl-hope"].replace("This program", noun) + " See the " + see + " for more details.",
+    ])
+
+
+TAG = "SPDX-License-Identifier: "
+REAL = [
+    (bsd("Example Corp."), "BSD-3-Clause"),
+    (bsd("Example, Inc. nor of its parent"), "BSD-3-Clause"),
+    (bsd("the University of California, Berkeley", "THE REGENTS AND CONTRIBUTORS"), "BSD-3-Clause"),
+    (bsd("Smith v. Jones\n * and Sons Ltd."), "BSD-3-Clause"),
+    (bsd(by="JOHN DOE"), "BSD-3-Clause"),
+    (bsd(third=""), "BSD-2-Clause"),
+    (bsd(third="", by="Jane Doe"), "BSD-2-Clause"),
+    (bsd(third="3. You have to send the author a postcard."), ""),
+    (bsd(advert="3. All advertising materials mentioning features or use of this software must display the following acknowledgement: "
+         "This product includes software developed by the Example Org."), "BSD-4-Clause"),
+    (MIT.replace("this permission notice", "this permission notice (including the next paragraph)"), "MIT"),
+    (MIT.replace('"AS IS"', "\u201cAS IS\u201d").replace('"Software"', "\u201cSoftware\u201d"), "MIT"),
+    (noticed("This library", "lgpl2-free", "GNU Lesser General Public License"), "LGPL-2.1-or-later"),
+    (noticed("libfoo", "lgpl3-free", "GNU Lesser General Public License"), "LGPL-3.0-or-later"),
+    (noticed("This program", "agpl3-free", "GNU Affero General Public License"), "AGPL-3.0-or-later"),
+    (noticed("GNU Tool", "gpl-free"), "GPL-3.0-or-later"),
+    (noticed("This file", "gpl2-free"), "GPL-2.0-or-later"),
+    (noticed("This program", "gpl2-only"), "GPL-2.0-only"),
+    (noticed("This software", "gpl2-only-of"), "GPL-2.0-only"),
+    (noticed("This module", "gpl2-only-end"), "GPL-2.0-only"),
+    (noticed("This program", "gpl3-only"), "GPL-3.0-only"),
+    ("// " + TAG + "MIT OR Apache-2.0\nint x;", "MIT Apache-2.0"),
+    ("# " + TAG + "GPL-2.0-only\n", "GPL-2.0-only"),
+    ("/* " + TAG + "GPL-2.0-only WITH Classpath-exception-2.0 */", "GPL-2.0-only"),
+    ("-- " + TAG + "(MIT AND BSD-3-Clause) OR LGPL-2.1+ --", "MIT BSD-3-Clause LGPL-2.1-or-later"),
+    (TAG + "GPL-3.0+", "GPL-3.0-or-later"),
+    (TAG + "NoSuchLicence-1.0 OR ISC", "ISC"),
+    ('Apache License\nVersion 2.0, January 2004\n\n1. Definitions.\n\n"License" shall mean the terms and conditions for use, reproduction,\n'
+     'and distribution as defined by Sections 1 through 9 of this document.\n\n"Licensor" shall mean the copyright owner or entity authorized by\n'
+     "the copyright owner that is granting the License.\n", "Apache-2.0"),
+    ("GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007\n\nEveryone is permitted to copy and distribute verbatim copies\nof this license document, "
+     "but changing it is not allowed.\n\nPreamble\n\nThe GNU General Public License is a free, copyleft license for\nsoftware and other kinds of works.\n", "GPL-3.0"),
+    ("The licenses for most software are designed to take away your\nfreedom to share and change it.  By contrast, the GNU General Public\nLicense is "
+     "intended to guarantee your freedom to share and change free\nsoftware--to make sure the software is free for all its users.  This", "GPL-2.0"),
+    ("The licenses for most software are designed to take away your\nfreedom to share and change it.  By contrast, the GNU General Public\nLicenses are "
+     "intended to guarantee your freedom to share and change free\nsoftware--to make sure the software is free for all its users.", "LGPL-2.1"),
+    ('1.1. "Contributor"\n    means each individual or legal entity that creates, contributes to\n    the creation of, or owns Covered Software.\n\n1.2. "Contributor '
+     'Version"\n    means the combination of the Contributions of others (if any) used\n    by a Contributor and that particular Contributor\'s Contribution.', "MPL-2.0"),
+    ("The name of the rose, neither the names of its friends. This software is provided by my mother.", ""),
+    ("You can redistribute these flyers. The hall is free; software is provided as is.", ""),
+]
+
+
+def test_licences_as_they_are_found(spark):
+    marks = ["", " * ", "# "]
+    texts = [(3 * i + k, "\n".join(mark + line for line in text.split("\n"))) for i, (text, _) in enumerate(REAL) for k, mark in enumerate(marks)]
+    found = {r.doc_id: r for r in licences.scan(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    wrong = [(i, REAL[i // 3][1], found[i].licences, found[i].sentences) for i, _ in texts if found[i].licences != REAL[i // 3][1]]
+    assert not wrong
+
+
+def test_sql_knows_wrapped_and_commented_sentences(spark, tmp_path):
+    import duckdb
+
+    texts = [(i, text) for i, (text, _) in enumerate(REAL)]
+    texts += [(1000 + i, "/*\n" + wrapped(names, mark, between)) for i, (names, (mark, between)) in enumerate(
+        (names, pair) for listed in licences.RULES.values() for names in listed for pair in MARKS
+    )]
+    texts += [(5000 + i, r[1]) for i, r in enumerate(odd_rows())]
+    table = spark.createDataFrame(texts, "doc_id long, text string")
+    table.write.parquet(str(tmp_path / "d.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/d.parquet/*.parquet')")
+    assert compare(licences.scan(table).drop("text"), con, licences.oracle()) is None
