@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandloom.llm.common import running_total, word_count
+from demandloom.llm.common import numbered, running_total, unused, word_count
 
 #: Weights of the sources in code-point order, repeating; and how often a source may be read at most.
 WEIGHTS = (5, 2, 1)
@@ -83,22 +83,23 @@ def mix(
     row's values as a set. Empty texts take nothing. Empty table: no rows.
     """
     docs = docs.drop("size", "source_size", "target", "budget", "taken")
-    key = F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-    sized = docs.select(
+    inside, own_columns = numbered(docs)
+    doc_id, text, source = (F.col(inside.columns[docs.columns.index(c)]) for c in ("doc_id", "text", "source"))
+    key = F.md5(F.concat(F.lit(seed), F.coalesce(doc_id.cast("string"), F.lit("null"))))
+    sized = inside.select(
         "*",
-        word_count(F.col("text")).alias("size"),
-        F.coalesce(F.concat(F.lit("a"), "source"), F.lit("b")).alias("source_key"),
+        word_count(text).alias("size"),
+        F.coalesce(F.concat(F.lit("a"), source), F.lit("b")).alias("source_key"),
         key.alias("_key"),
         F.substring(key, 1, range_digits).alias("_range"),
     )
     targets = source_targets(sized.select("source_key", "size"), weights, max_epochs)
-    order = [F.col("_key"), F.col("doc_id"), F.col("size")]
+    order = [F.col("_key"), doc_id, F.col("size")]
     placed = running_total(sized, ["source_key"], "_range", order, F.col("size"), "_before").join(targets, "source_key")
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("budget") / F.col("source_size"))).otherwise(0)
     rest = F.greatest(F.lit(0), F.least(F.col("size"), F.col("budget") - epochs * F.col("source_size") - F.col("_before")))
-    return placed.withColumn("taken", (epochs * F.col("size") + rest).cast("long")).drop(
-        "_key", "_range", "_before", "source_key"
-    )
+    taken = (epochs * F.col("size") + rest).cast("long").alias("taken")
+    return placed.select(*own_columns, "size", "source_size", "target", "budget", taken)
 
 
 def repeat_taken(mixed: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -107,13 +108,14 @@ def repeat_taken(mixed: DataFrame, columns: Sequence[str]) -> DataFrame:
     Whole readings carry the whole text. Only the one document at a source's cut
     has a reading that stops early, after the words that the budget still holds.
     """
+    number = unused("_round", mixed.columns)
     rounds = F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size")).cast("int"))
-    left = F.col("taken") - (F.col("_round") - 1) * F.col("size")
+    left = F.col("taken") - (F.col(number) - 1) * F.col("size")
     words = F.regexp_extract_all(F.col("text"), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
     part = F.array_join(F.slice(words, 1, F.greatest(left, F.lit(0)).cast("int")), "")
     text = F.when(left < F.col("size"), part).otherwise(F.col("text"))
-    read = mixed.where((F.col("taken") > 0) & (F.col("size") > 0)).withColumn("_round", F.explode(rounds))
-    return read.select(*[text.alias("text") if c == "text" else F.col(c) for c in columns])
+    read = mixed.where((F.col("taken") > 0) & (F.col("size") > 0)).withColumn(number, F.explode(rounds))
+    return read.select(*[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in columns])
 
 
 #: The same rows in DuckDB's SQL.

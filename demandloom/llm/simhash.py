@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demandloom.functions.tables import join_by_key
-from demandloom.llm.common import text_slices, worker_path
+from demandloom.llm.common import numbered, text_slices, worker_path
 from demandloom.llm.components import components
 from demandloom.session import materialize
 
@@ -197,33 +197,42 @@ def cluster(
     that has another doc_id. Repeated rows each get their row. Empty table: no rows.
     """
     prints = materialize(fingerprints(docs, shingle), "fingerprints")
+    return _clustered(prints, radius, tree_size).select("doc_id", "fp", "root", "component_id")
+
+
+def _clustered(prints: DataFrame, radius: int, tree_size: int = TREE_SIZE) -> DataFrame:
+    """Add ``root`` and ``component_id`` to stored rows with ``doc_id`` and ``fp``."""
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("smallest"))
     linked = components(links(distinct.select("fp"), radius, tree_size)).withColumnRenamed("node", "fp")
     rooted = distinct.join(linked, "fp", "left").select(
         "fp", "smallest", F.coalesce("component", "fp").alias("root")
     )
     labels = rooted.groupBy("root").agg(F.min("smallest").alias("component_id"))
-    named = rooted.select("fp", "root").join(labels, "root")
-    return join_by_key(prints, named, "fp").select("doc_id", "fp", "root", "component_id")
+    named = join_by_key(rooted.select("fp", "root"), labels, "root")
+    return join_by_key(prints, named, "fp")
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """One row of ``docs`` from each component, all columns kept: that of the smallest doc_id.
 
     Where the smallest doc_id comes more than once, the row with the smallest
-    fingerprint stays, and of rows equal in both the smallest by all columns. A
-    component without any doc_id keeps one row in the same way.
+    fingerprint stays, of rows equal in both one by a hash of doc_id and text, and of
+    rows equal in these too the smallest by all columns. A component without any
+    doc_id keeps one row in the same way. Each text is fingerprinted once.
     """
-    columns = docs.columns
-    members = cluster(docs, shingle, radius)
-    member = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "fp")
-    chosen = members.groupBy("root").agg(F.min(member).alias("m")).select(_name("m.doc_id").alias("_name"), "m.fp")
-    named = _with_fingerprint(docs, shingle).withColumn("_name", _name("doc_id"))
-    kept = named.join(chosen.withColumnRenamed("fp", "_fp"), ["_name", "_fp"])
-    first = Window.partitionBy("_name", "_fp").orderBy(*columns)
-    return kept.withColumn("_row", F.row_number().over(first)).where("_row = 1").select(*columns)
-
-
-def _name(doc_id: str) -> Column:
+    inside, own_columns = numbered(docs)
+    doc_id, text = (F.col(inside.columns[docs.columns.index(c)]) for c in ("doc_id", "text"))
+    key = F.xxhash64(doc_id, text).alias("key")
+    entered = inside.select(doc_id.alias("doc_id"), text.alias("text"), key)
+    prints = materialize(_with_fingerprint(entered, shingle, ["doc_id", "key"]).withColumnRenamed("_fp", "fp"), "fingerprints")
+    member = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "fp", "key")
+    chosen = _clustered(prints, radius).groupBy("root").agg(F.min(member).alias("m"))
+    chosen = chosen.select(_name(F.col("m.doc_id")).alias("name"), "m.key")
+    kept = inside.select("*", _name(doc_id).alias("name"), key).join(chosen, ["name", "key"])
+    first = Window.partitionBy("name", "key").orderBy(*inside.columns)
+    return kept.withColumn("row", F.row_number().over(first)).where("row = 1").select(*own_columns)
+
+
+def _name(doc_id: Column) -> Column:
     """The doc_id as a text that is never null."""
-    return F.coalesce(F.concat(F.lit("d"), F.col(doc_id).cast("string")), F.lit("none"))
+    return F.coalesce(F.concat(F.lit("d"), doc_id.cast("string")), F.lit("none"))
