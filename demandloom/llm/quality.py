@@ -255,7 +255,8 @@ def fit(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> Model:
     """Co-train in rounds: all documents without a label are scored in Spark, bounded samples are fitted in one task.
 
     Every fifth labelled document of the sample trains neither view but calibrates
-    and combines them. If the labels of ``docs`` lack one of the two classes, the
+    and combines them. With fewer than five documents of a class in either part, as in a
+    small sample, all labelled documents do both, and the scores are too sure. If the labels of ``docs`` lack one of the two classes, the
     model gives every document the class it has seen (1 without any label).
     Documents with a null doc_id are scored but train nothing.
     """

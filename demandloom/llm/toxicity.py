@@ -16,12 +16,12 @@ from demandloom.llm import gru
 from demandloom.llm.common import fit_in_task, text_slices, worker_path
 from demandloom.session import materialize
 
-#: Words of a window, and words from one window's start to the next one's.
-WIDTH, STRIDE = 64, 48
-#: Bounds of the training sample: toxic and other documents, and bytes of a text that trains whole (any text is scored).
-TOXIC_ROWS, OTHER_ROWS, TRAINING_BYTES = 1800, 2600, 16_384
-#: A longer text trains with so many evenly spaced passages of so many characters.
-PASSAGES, PASSAGE = 16, 1024
+#: Words of a window, and words from one window's start to the next one's: a passage of up to half a window is whole in one.
+WIDTH, STRIDE = 64, 32
+#: Bounds of the training sample: toxic and other documents. Any text is scored.
+TOXIC_ROWS, OTHER_ROWS = 1800, 2600
+#: A text of over so many bytes trains with so many passages of so many characters, drawn by hash from all of it.
+TRAINING_BYTES, PASSAGES, PASSAGE = 1 << 20, 512, 1024
 #: Passes over the training windows, and more for a small sample, until there were UPDATES steps.
 EPOCHS, UPDATES, BATCH, RATE, DECAY = 3, 100, 192, 0.006, 0.1
 #: From this score on a document is predicted toxic.
@@ -66,33 +66,30 @@ def _document_logits(network: gru.Network, texts: pa.Array) -> np.ndarray:
     return highest
 
 
-def _bounded(text: Column) -> Column:
-    """A text that trains: the whole text, or passages of a long one without the words that their ends cut."""
-    step = (F.length(text) - PASSAGE) / (PASSAGES - 1)
+def _bounded(doc_id: Column, text: Column) -> Column:
+    """A text that trains: the whole text, or passages of a very long one without the words that their ends cut."""
+    count = F.ceil(F.length(text) / PASSAGE).cast("int")
+    ranked = F.array_sort(F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.struct(F.xxhash64(doc_id, i).alias("rank"), i.alias("i"))))
+    drawn = F.array_sort(F.transform(F.slice(ranked, 1, PASSAGES), lambda r: r["i"]))
     cut = r"^[^\x20\x09-\x0D]*[\x20\x09-\x0D]|[\x20\x09-\x0D][^\x20\x09-\x0D]*$"
-    passages = F.transform(
-        F.sequence(F.lit(0), F.lit(PASSAGES - 1)),
-        lambda i: F.regexp_replace(text.substr(F.floor(i * F.greatest(step, F.lit(0))).cast("int") + 1, F.lit(PASSAGE)), cut, ""),
-    )
+    passages = F.transform(drawn, lambda i: F.regexp_replace(text.substr(i * PASSAGE + 1, F.lit(PASSAGE)), cut, ""))
     return F.when(F.octet_length(text) <= TRAINING_BYTES, text).otherwise(F.array_join(passages, " "))
 
 
 def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, text, toxic) of the training sample, at most TOXIC_ROWS + OTHER_ROWS rows; short texts go first."""
+    """(doc_id, text, toxic) of the training sample, at most TOXIC_ROWS + OTHER_ROWS rows, drawn by a hash of the doc_id."""
     usable = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     # a document labelled both ways teaches nothing
     agreed = usable.groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most")).where("toxic = most")
     texts = docs.select("doc_id", "text").where("text IS NOT NULL")
-    sizes = texts.select("doc_id", (F.octet_length("text") > TRAINING_BYTES).alias("long"))
     # limited are only labels whose document is there
-    present = sizes.join(agreed.drop("most"), "doc_id").groupBy("doc_id", "toxic").agg(F.min("long").alias("long"))
-    present = materialize(present, "toxicity-labels")
-    order = [F.col("long"), F.xxhash64("doc_id"), F.col("doc_id")]
+    present = materialize(agreed.drop("most").join(texts.select("doc_id"), "doc_id", "left_semi"), "toxicity-labels")
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
     toxic = present.where("toxic = 1").orderBy(*order).limit(TOXIC_ROWS)
     other = present.where("toxic = 0").orderBy(*order).limit(OTHER_ROWS)
     chosen = toxic.union(other).select("doc_id", "toxic")
     # the sample's size is bounded above; equal doc_ids give one text, the smallest
-    bounded = texts.join(F.broadcast(chosen), "doc_id").withColumn("text", _bounded(F.col("text")))
+    bounded = texts.join(F.broadcast(chosen), "doc_id").withColumn("text", _bounded(F.col("doc_id"), F.col("text")))
     return bounded.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
 
 
@@ -101,7 +98,9 @@ def fit(docs: DataFrame, labels: DataFrame, seed: int = 7) -> Model:
 
     Four fifths of the sample train the network, on the windows with the most
     evidence of toxic documents, and of the others on random ones and on those that look most toxic; the last
-    fifth fits the probabilities. If the labels lack one of the two classes, the
+    fifth fits the probabilities. With fewer than five documents of a class in either
+    part there is no last fifth: all of the sample trains, and the probabilities are fitted on
+    it without each document's own evidence, so they are too sure. If the labels lack one of the two classes, the
     model gives every document the class it has seen (0 without any label).
     """
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
@@ -114,7 +113,7 @@ def _train(sample: pa.Table, seed: int) -> Model:
         return Model(None, 0.0, 0.0, float(y.max(initial=0)))
     texts = sample.column("text").combine_chunks()
     texts = pa.concat_arrays(texts.chunks) if isinstance(texts, pa.ChunkedArray) else texts
-    # doc_ids come in hash order, so every fifth is a random one; small samples calibrate on all
+    # doc_ids come in hash order, so every fifth is a random one; small samples calibrate on all (see fit)
     calibrating = np.arange(len(y)) % 5 == 4
     if min(y[calibrating].sum(), (1 - y[calibrating]).sum(), y[~calibrating].sum(), (1 - y[~calibrating]).sum()) < 5:
         calibrating = np.zeros(len(y), bool)

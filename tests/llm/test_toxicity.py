@@ -132,7 +132,9 @@ def test_labels_without_documents_do_not_shrink_the_sample(spark, corpus, monkey
     assert sum(r.toxic == 1 for r in rows) == 30 and sum(r.toxic == 0 for r in rows) == 40
 
 
-def test_long_labelled_texts_train(spark):
+def test_long_labelled_texts_train(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "TRAINING_BYTES", 16_384)
+    monkeypatch.setattr(toxicity, "PASSAGES", 16)
     texts = [" ".join(f"w{i}x{n}" for n in range(4000)) for i in range(8)] + ["short one", "x" * 20_000, None]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     labels = spark.createDataFrame([(i, i % 2) for i in range(len(texts))], "doc_id long, toxic int")
@@ -141,6 +143,45 @@ def test_long_labelled_texts_train(spark):
     for i, text in rows.items():
         assert len(text) <= max(toxicity.PASSAGES * (toxicity.PASSAGE + 1), 16_384)
         assert texts[i] == "x" * 20_000 or set(text.split()) <= set(texts[i].split())
-        if i < 8:  # from the beginning to the end
+        if i < 8:  # passages of all of it, in its order
             places = [int(w.split("x")[1]) for w in text.split()]
-            assert places[0] < 10 and places[-1] > 3990 and len(places) > 1000
+            assert places == sorted(places) and len(places) > 1000 and places[0] < 1000 and places[-1] > 3000
+
+
+def test_texts_train_whole(spark):
+    texts = [" ".join(f"w{i}x{n}" for n in range(4000)) for i in range(8)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(8)], "doc_id long, toxic int")
+    rows = {r.doc_id: r.text for r in toxicity._sample(docs, labels).collect()}
+    assert rows and all(texts[i] == text for i, text in rows.items())
+
+
+def plain_score(model, text):
+    """Every window on its own: its words one by one, the network on a single row, the highest logit of all."""
+    low = "".join(w.lower() for w in [text or ""])
+    words = [w.strip(gru._MARKS) for w in low.translate({i: " " for i in (9, 10, 11, 12, 13)}).split(" ")]
+    words = [w for w in words if w]
+    starts = [0]
+    while starts[-1] + toxicity.WIDTH < len(words):
+        starts.append(starts[-1] + toxicity.STRIDE)
+    logits = []
+    for start in starts:
+        window = words[start : start + toxicity.WIDTH]
+        x = np.concatenate([model.network.inputs(gru.Hashed(pa.array([w], pa.string()))) for w in window] or [np.zeros((1, gru.INPUT), np.float32)])
+        at, mask = np.arange(max(1, len(window)))[None, :], np.full((1, max(1, len(window))), float(bool(window)), np.float32)
+        logits.append(float(model.network.logits(x, at, mask)[0]))
+    return 1 / (1 + np.exp(-np.clip(model.slope * max(logits) + model.offset, -40, 40)))
+
+
+def test_scores_equal_a_plain_version(spark, model):
+    texts = [r[1] for r in odd_rows() if len(r[1] or "") < 6000] + ["Gromf! " * 70 + "baran " * 200, "¿Qué? «ZWORP»\u00a0x " * 40, "a " * 64, "a " * 65, "a " * 97]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in toxicity.score(table, model).collect():
+        assert abs(r.toxicity - plain_score(model, texts[r.doc_id])) < 1e-4, r.doc_id
+
+
+def test_short_passages_lie_whole_in_a_window():
+    begins = np.array([0, 1000])
+    first, length, _ = gru.windows(begins, toxicity.WIDTH, toxicity.STRIDE)
+    for start in range(1000 - 32):
+        assert any(f <= start and start + 32 <= f + n for f, n in zip(first, length))
