@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from demandloom.llm.common import fit_in_task, text_slices, worker_path
+from demandloom.llm.common import fit_in_task, numbered, text_slices, worker_path
 from demandloom.session import materialize
 
 #: Bounds of the samples that a round is fitted on: labelled rows, and rows that a view gives the other one, of each class.
@@ -309,17 +309,21 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     if model.constant is not None:
         return rest.withColumns({name: F.lit(float(model.constant)) for name in added})
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    inside, own_columns = numbered(rest)
+    named = ["text", "lang", "source"]
+    read = [inside.columns[rest.columns.index(c)] for c in named]
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = shared.value
         for batch in batches:
-            for part in text_slices(batch, "text", 1 << 20):
-                found = _view_logits(part, fitted)
+            for part in text_slices(batch, read[0], 1 << 20):
+                found = _view_logits(pa.RecordBatch.from_arrays([part.column(c) for c in read], names=named), fitted)
                 joint = np.clip(np.stack(found, axis=1) / 4 @ fitted.combine[:2] + fitted.combine[2], -40, 40)
                 scores = [pa.array(1 / (1 + np.exp(-v))) for v in (*found, joint)]
                 yield pa.RecordBatch.from_arrays([*part.columns, *scores], names=[*part.schema.names, *added])
 
-    return rest.mapInArrow(rate, T.StructType([*rest.schema, *[T.StructField(n, T.DoubleType()) for n in added]]))
+    scored = inside.mapInArrow(rate, T.StructType([*inside.schema, *[T.StructField(n, T.DoubleType()) for n in added]]))
+    return scored.select(*own_columns, *added)
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -333,4 +337,4 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_poor(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the classifier keeps, with their columns."""
-    return score(docs, fit(docs, labels)).where(F.col("quality_score") >= THRESHOLD).select(*docs.columns)
+    return score(docs, fit(docs, labels)).where(F.col("quality_score") >= THRESHOLD).select(*[F.col(f"`{c}`") for c in docs.columns])

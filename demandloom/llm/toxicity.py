@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demandloom.llm import gru
-from demandloom.llm.common import fit_in_task, text_slices, worker_path
+from demandloom.llm.common import fit_in_task, numbered, text_slices, worker_path
 from demandloom.session import materialize
 
 #: Words of a window, and words from one window's start to the next one's: a passage of up to half a window is whole in one.
@@ -212,16 +212,19 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     if model.network is None:
         return rest.withColumn("toxicity", F.lit(model.constant))
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    inside, own_columns = numbered(rest)
+    text = inside.columns[rest.columns.index("text")]
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = shared.value
         for batch in batches:
-            for part in text_slices(batch, "text"):
-                logits = _document_logits(fitted.network, part.column("text")).astype(np.float64)
+            for part in text_slices(batch, text):
+                logits = _document_logits(fitted.network, part.column(text)).astype(np.float64)
                 found = 1 / (1 + np.exp(-np.clip(fitted.slope * logits + fitted.offset, -40, 40)))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found)], names=[*part.schema.names, "toxicity"])
 
-    return rest.mapInArrow(rate, T.StructType([*rest.schema, T.StructField("toxicity", T.DoubleType())]))
+    scored = inside.mapInArrow(rate, T.StructType([*inside.schema, T.StructField("toxicity", T.DoubleType())]))
+    return scored.select(*own_columns, "toxicity")
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -238,4 +241,4 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def drop_toxic(docs: DataFrame, labels: DataFrame, training: DataFrame | None = None) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic; ``training`` (default: ``docs``) has the labelled texts."""
     model = fit(docs if training is None else training, labels)
-    return score(docs, model).where(F.col("toxicity") < THRESHOLD).select(*docs.columns)
+    return score(docs, model).where(F.col("toxicity") < THRESHOLD).select(*[F.col(f"`{c}`") for c in docs.columns])
