@@ -2,9 +2,9 @@
 
 A tokenizer that lower-cases, drops white space and cuts at punctuation gives a
 text the ids of its words, one after the other. So the corpus is split into words (runs of
-anything but ASCII white space), each distinct word is encoded once, its ids are
-decoded once by a join with the id-to-piece table, and both are joined back to
-every position.
+anything but ASCII white space), each distinct word is encoded once, and the ids
+are joined back to every position. Ids are decoded by a join with the id-to-piece
+table (``decode``), or where they are put together, by the same table in the task.
 
 Word counts follow Zipf's law, which decides how they are joined back. The most
 frequent words (at most ``head_words`` of at most ``HEAD_BYTES`` bytes, so the
@@ -50,6 +50,16 @@ def tokenizer(path: str) -> Tokenizer:
     return loaded
 
 
+@lru_cache(maxsize=4)
+def pieces(path: str) -> pa.Array:
+    """The id-to-piece table, one entry for each id of the vocabulary."""
+    vocabulary = tokenizer(path).get_vocab(with_added_tokens=True)
+    listed: list[str | None] = [None] * (max(vocabulary.values()) + 1)
+    for piece, number in vocabulary.items():
+        listed[number] = piece
+    return pa.array(listed, pa.string())
+
+
 def vocabulary(spark: SparkSession, path: str) -> DataFrame:
     """The id-to-piece table, one row for each id of the tokenizer."""
     listed = sorted((number, piece) for piece, number in tokenizer(path).get_vocab(with_added_tokens=True).items())
@@ -105,78 +115,24 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _encode_words(path: str):
-    """A row for each id of a word: its place, and in the first one the word, its count and its number of ids."""
-
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = tokenizer(path)
         for batch in batches:
             for start in range(0, batch.num_rows, 4096):
                 part = batch.slice(start, 4096)
                 ids = [e.ids for e in model.encode_batch(part.column(0).to_pylist(), add_special_tokens=False)]
-                sizes = np.fromiter(map(len, ids), np.int32, len(ids))
-                rows = np.repeat(np.arange(len(ids)), np.maximum(sizes, 1))  # a word without ids has a row without an id
-                place = np.arange(len(rows)) - np.searchsorted(rows, rows)
-                first = pa.array(np.where(place == 0, rows, -1), mask=place > 0)
-                found = pa.array((i for of_word in ids for i in (of_word or [None])), pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [*(c.take(first) for c in part.columns), pa.array(sizes[rows]), pa.array(place.astype(np.int32)), found],
-                    names=["word", "n", "size", "place", "id"],
+                    [*part.columns, pa.array(ids, pa.list_(pa.int32()))], names=["word", "n", "ids"]
                 )
 
     return encode
 
 
-def _gather_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words with their ids and their decoded text, from rows that come word by word in the order of the ids."""
-
-    def gathered(rows: pa.Table) -> pa.RecordBatch:
-        rows = rows.combine_chunks()
-        place, size = (rows.column(c).to_numpy() for c in ("place", "size"))
-        starts = np.flatnonzero(place == 0)
-        stops = np.append(starts[1:], len(place))
-        if (place != np.arange(len(place)) - np.repeat(starts, stops - starts)).any() or (stops - starts != np.maximum(size[starts], 1)).any():
-            raise ValueError("the ids of a word came apart")
-        known = rows.column("id").is_valid()
-        offsets = pa.array(np.concatenate([[0], np.cumsum(size[starts])]).astype(np.int32))
-        ids = pa.ListArray.from_arrays(offsets, _one(rows.column("id").filter(known), pa.int32()))
-        texts = pa.ListArray.from_arrays(offsets, _one(rows.column("piece").filter(known), pa.string()))
-        first = pa.array(starts)
-        words, counts = (_one(rows.column(c).take(first), t) for c, t in (("word", pa.string()), ("n", pa.int64())))
-        return pa.RecordBatch.from_arrays([words, counts, ids, pc.binary_join(texts, " ")], names=["word", "n", "ids", "text"])
-
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        begins = np.flatnonzero(batch.column("place").to_numpy() == 0)
-        if len(begins) and held:  # all that came before is whole
-            held.append(batch.slice(0, begins[0]))
-            yield gathered(pa.Table.from_batches(held))
-            held, batch = [], batch.slice(begins[0])
-            begins = begins - begins[0]
-        if len(begins) > 1:
-            yield gathered(pa.Table.from_batches([batch.slice(0, begins[-1])]))
-            batch = batch.slice(begins[-1])
-        held.append(batch)
-    if sum(b.num_rows for b in held):
-        yield gathered(pa.Table.from_batches(held))
-
-
-def _one(column: pa.ChunkedArray, kind: pa.DataType) -> pa.Array:
-    return pa.concat_arrays([*column.chunks, pa.array([], kind)])
-
-
 def word_table(docs: DataFrame, path: str) -> DataFrame:
-    """Every distinct word of ``docs.text`` with its count, its ids and the text that they decode to, stored.
-
-    The ids of each distinct word meet their pieces in a join with the id-to-piece
-    table, which is broadcast, as its size is that of the vocabulary; such a join leaves
-    the rows of a task in their order, which is checked when they are put together.
-    """
+    """Every distinct word of ``docs.text`` with its count and its ids, encoded once and stored."""
     worker_path(docs.sparkSession)
     counts = docs.select("text").mapInArrow(_count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    ids = counts.mapInArrow(_encode_words(path), "word string, n long, size int, place int, id int")
-    met = ids.join(F.broadcast(vocabulary(docs.sparkSession, path)), "id", "left")
-    rows = met.select("word", "n", "size", "place", "id", "piece")
-    return materialize(rows.mapInArrow(_gather_words, "word string, n long, ids array<int>, text string"), "words")
+    return materialize(counts.mapInArrow(_encode_words(path), "word string, n long, ids array<int>"), "words")
 
 
 def _level():
@@ -219,7 +175,6 @@ class Head:
             ids = pa.concat_arrays(ids.chunks)
         self.lengths, self.ids = _lists(ids)
         self.lengths, self.ids = self.lengths.astype(np.int32), self.ids.astype(np.int32)
-        self.texts = _one(table.column("text"), pa.string()) if "text" in table.column_names else None
 
     def numbers(self, words: pa.Array) -> np.ndarray:
         """The number of each word; -1 for a word that is not among them."""
@@ -289,8 +244,8 @@ def _bodies(shared, keep: Sequence[str]):
     return bodies
 
 
-def _assemble(shared, keep: Sequence[str], with_text: bool):
-    """Ids of each document, and the text they decode to, from its word numbers and from its rare words."""
+def _assemble(shared, path: str, keep: Sequence[str], with_text: bool):
+    """Ids of each document from its word numbers and the ids of its rare words."""
 
     def one(part: pa.RecordBatch, head: Head) -> pa.RecordBatch:
         sizes = part.column("_words").to_numpy(zero_copy_only=False).astype(np.int64)
@@ -325,11 +280,7 @@ def _assemble(shared, keep: Sequence[str], with_text: bool):
         offsets = np.concatenate([[0], np.concatenate([[0], stops])[ends]]).astype(np.int32)
         arrays = [*[part.column(c) for c in keep], pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))]
         if with_text:
-            texts = pa.concat_arrays([head.texts, found.field("text")])
-            spoken = word_ids > 0  # a word without ids leaves no text
-            counted = np.concatenate([[0], np.cumsum(spoken)])[np.concatenate([[0], ends])].astype(np.int32)
-            listed = pa.ListArray.from_arrays(pa.array(counted), texts.take(pa.array(which[spoken])))
-            arrays.append(pc.binary_join(listed, " "))
+            arrays.append(_joined(offsets, ids, path))
         return pa.RecordBatch.from_arrays(arrays, names=[*keep, "ids", *["decoded"] * with_text])
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -346,6 +297,12 @@ def _assemble(shared, keep: Sequence[str], with_text: bool):
     return assemble
 
 
+def _joined(offsets: np.ndarray, ids: np.ndarray, path: str) -> pa.Array:
+    """The pieces of each list of ids, joined as the tokenizer's decoder joins them."""
+    listed = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pieces(path).take(pa.array(ids)))
+    return pc.binary_join(listed, " ")
+
+
 def encode(
     docs: DataFrame, path: str, keep: Sequence[str] | None = None, with_text: bool = False, head_words: int = HEAD_WORDS
 ) -> DataFrame:
@@ -363,8 +320,7 @@ def encode(
     keep = [c for c in (keep if keep is not None else docs.columns) if c not in ("text", "ids", "decoded")]
     words = word_table(docs, path)
     level = head_level(words, head_words)
-    carried = ["ids", "text"] if with_text else ["ids"]
-    head = Head(words.where(_is_head(level)).select("word", "n", *carried).toArrow())
+    head = Head(words.where(_is_head(level)).toArrow())
     shared = docs.sparkSession.sparkContext.broadcast(head)
     name = "doc_id" if "doc_id" in docs.columns else "text"
     inside, own_columns = numbered(docs, [*keep, "text", name])
@@ -377,9 +333,9 @@ def encode(
     )
     # equal rows have one key, and their words are one set however often they come
     found = (
-        rare.join(words.where(~_is_head(level)).select("word", *carried), "word")
+        rare.join(words.where(~_is_head(level)).select("word", "ids"), "word")
         .groupBy("_k1", "_k2")
-        .agg(F.collect_set(F.struct("_place", *carried)).alias("_rare"))
+        .agg(F.collect_set(F.struct("_place", "ids")).alias("_rare"))
     )
     kept = T.StructType([T.StructField(n, docs.schema[c].dataType) for n, c in zip(kept_names, keep, strict=True)])
     body = T.StructType(
@@ -390,7 +346,7 @@ def encode(
     if with_text:
         out = T.StructType([*out, T.StructField("decoded", T.StringType())])
     bodies = entered.mapInArrow(_bodies(shared, kept_names), body)
-    coded = bodies.join(found, ["_k1", "_k2"], "left").mapInArrow(_assemble(shared, kept_names, with_text), out)
+    coded = bodies.join(found, ["_k1", "_k2"], "left").mapInArrow(_assemble(shared, path, kept_names, with_text), out)
     return coded.select(*own_columns[: len(keep)], "ids", *["decoded"] * with_text)
 
 
