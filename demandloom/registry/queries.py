@@ -920,10 +920,18 @@ def _train_rows(table: DataFrame) -> DataFrame:
     return split.train_part(split.positional_split(zero_unusable(table)))
 
 
+def _training_error(trained: models.Training, table: DataFrame, name: str) -> tuple[float, float]:
+    """Mean squared error of a model on its training rows, and that of their mean."""
+    rows = models.predict(trained.models[name], _train_rows(table), "prediction")
+    left, whole = rows.agg(F.avg(F.pow(F.col(TARGET) - F.col("prediction"), 2)), F.var_pop(TARGET)).first()
+    return left, whole
+
+
 def _within_targets(trained: models.Training, table: DataFrame) -> Column:
-    """A forest predicts means of training targets."""
+    """A forest predicts means of training targets, and is nearer to its training rows than their mean is."""
     low, high = _train_rows(table).agg(F.min(TARGET), F.max(TARGET)).first()
-    return F.col("prediction").between(low - 1e-6, high + 1e-6)
+    left, whole = _training_error(trained, table, "random_forest")
+    return F.col("prediction").between(low - 1e-6, high + 1e-6) & F.lit(left < whole)
 
 
 def _residuals_cancel(trained: models.Training, table: DataFrame) -> Column:
@@ -935,8 +943,7 @@ def _residuals_cancel(trained: models.Training, table: DataFrame) -> Column:
 
 def _beats_the_mean(trained: models.Training, table: DataFrame) -> Column:
     """Boosting explains most of the variance of its own training rows."""
-    rows = models.predict(trained.models["gradient_boosting"], _train_rows(table), "prediction")
-    left, whole = rows.agg(F.avg(F.pow(F.col(TARGET) - F.col("prediction"), 2)), F.var_pop(TARGET)).first()
+    left, whole = _training_error(trained, table, "gradient_boosting")
     return F.lit(left < 0.5 * whole)
 
 

@@ -76,6 +76,23 @@ def test_forest_does_not_depend_on_the_partitioning(table):
     assert predictions(2) == predictions(8)
 
 
+def test_trees_find_an_interaction_that_a_linear_model_cannot(spark):
+    rows = [
+        (f"2020-{1 + i % 12:02d}", f"c{i // 12:02d}", a, b, 10.0 * ((a > 4) != (b > 4)) + 0.1 * a)
+        for i, (a, b) in enumerate((a, b) for _ in range(4) for a in range(10) for b in range(10))
+    ]
+    table = materialize(
+        spark.createDataFrame(rows, "order_month string, product_category_name string, a int, b int, demand_next_month double"), "fixed"
+    )
+    held = (F.col("a") * 7 + F.col("b") * 3) % 10 == 2
+    errors = {}
+    for name in ("linear_regression", "random_forest", "gradient_boosting"):
+        found = models.predict(models.fit(table.where(~held), name), table.where(held), "p")
+        errors[name] = found.agg(F.avg(F.pow(F.col("demand_next_month") - F.col("p"), 2))).first()[0]
+    assert errors["random_forest"] < 0.5 * errors["linear_regression"], errors
+    assert errors["gradient_boosting"] < 0.5 * errors["linear_regression"], errors
+
+
 def test_latest_model_survives_until_the_next_is_complete(spark, table, tmp_path):
     root = str(tmp_path / "models")
     first = training.train_and_save(table, root, names=("linear_regression",))
