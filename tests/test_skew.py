@@ -90,3 +90,23 @@ def test_copies_combine_before_the_shuffle(spark):
     plan = final_plan(first)
     assert plan.index("partial_min") > plan.index("Exchange")  # below the exchange in the tree
     assert [tuple(r) for r in first.collect()] == [(7, "x", 0)]
+
+
+def test_left_join_shuffles_each_side_once(spark):
+    left = spark.range(0, 1_500).select(F.col("id").alias("k"), (F.col("id") * 2).alias("twice"))
+    joined = left_join_by_key(left, hot_rows(spark), "k")
+    with settings(spark, **{"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "10k"}):
+        plan = joined.select("*")._jdf.queryExecution().executedPlan().toString()
+    # the few hot keys are broadcast: the only exchanges of rows are those of the join itself
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_left_join_with_given_sizes_and_null_keys(spark):
+    left = spark.createDataFrame([(None, "a"), (1, "b"), (2, "c")], "k int, x string")
+    right = spark.range(0, 25_000).select(F.lit(1).alias("k"), F.col("id").alias("y")).unionByName(
+        spark.range(0, 25_000).select(F.lit(None).cast("int").alias("k"), F.col("id").alias("y"))
+    )
+    sizes = right.groupBy("k").agg(F.count(F.lit(1)).alias("_rows"))
+    for found in (left_join_by_key(left, right, "k"), left_join_by_key(left, right, "k", sizes)):
+        got = {r["x"]: (r["n"], r["met"]) for r in found.groupBy("x").agg(F.count("*").alias("n"), F.count("y").alias("met")).collect()}
+        assert got == {"a": (1, 0), "b": (25_000, 25_000), "c": (1, 0)}
