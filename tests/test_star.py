@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from demandloom.operators import aggregates, cleaning, profile, star
+from demandloom.session import materialize
 from demandloom.sources import views
 
 T = dt.datetime(2017, 5, 10, 12)
@@ -157,3 +158,10 @@ def test_decompose_gives_back_the_clean_tables(sources):
     )
     assert set(parts) == {"orders", "items", "products", "payments", "reviews"}
     assert set(cleaning.decompose_wide(sources["products"])) == {"products"}
+
+
+def test_decomposing_shuffles_each_entity_once(sources):
+    wide = materialize(star.star_left_join(sources), "wide")
+    for name, part in cleaning.decompose_wide(wide).items():
+        plan = part._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Aggregate ") == 1 and "_entity" not in plan, name
