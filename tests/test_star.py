@@ -160,6 +160,30 @@ def test_decompose_gives_back_the_clean_tables(sources):
     assert set(cleaning.decompose_wide(sources["products"])) == {"products"}
 
 
+def test_quality_with_repeated_products_and_null_keys(sources):
+    spark = sources["orders"].sparkSession
+    products = spark.createDataFrame(
+        [("p0", "Toys"), ("p0", "Toys"), ("p0", "Games"), ("p1", None), (None, "Odd"), (None, "Odd")], "product_id string, product_category_name string"
+    )
+    items = sources["items"].unionByName(
+        spark.createDataFrame([("two", 3, None, "s1", None, 1.0), (None, 3, "p0", "s1", 2.0, 1.0)], sources["items"].schema)
+    )
+    odd = {**sources, "products": products, "items": items}
+    whole = joined(odd).drop("order_month")
+    orders_clean, products_clean = clean(odd)
+    want = profile.compare_quality(whole, cleaning.clean_combined(whole, orders_clean, products_clean))
+    got = star.compare_star_quality(odd, orders_clean, products_clean)
+    assert rows(got, want.columns) == rows(want, want.columns)
+    alone = star.star_quality(odd, "original").unionByName(star.star_quality(odd, "clean", orders_clean, products_clean))
+    assert rows(alone, want.columns) == rows(want, want.columns)
+
+
+def test_quality_reads_the_items_once_without_product_columns(spark):
+    all_views = views.source_views(spark, "/root/testdata/sf0.001")
+    report = star.compare_star_quality(all_views, *clean(all_views))
+    assert scans(report, "l_orderkey") == 1
+
+
 def test_decomposing_shuffles_each_entity_once(sources):
     wide = materialize(star.star_left_join(sources), "wide")
     for name, part in cleaning.decompose_wide(wide).items():
