@@ -2,8 +2,8 @@
 
 A state holds, per month and category, what the measures can be merged from: counts,
 sums, smallest and largest values, and for deviations the mean and the sum of
-squared distances from it. Distinct ids are kept exactly as bitmaps over numbered ids,
-one row per block of numbers. New orders become a state of their own, and merging it needs
+squared distances from it. Distinct ids are kept exactly, as one narrow row per group and
+id: ids of a group lie far apart, so that bitmaps over blocks of ids would hold about one each. New orders become a state of their own, and merging it needs
 the old state of the months it touches, never the old orders.
 """
 
@@ -17,12 +17,12 @@ from pyspark.sql import types as T
 
 from demandloom.config import CATEGORY, KEYS, MONTH, PAYMENT_TYPES, REVIEW_SCORES
 from demandloom.functions.tables import join_by_key
-from demandloom.operators.aggregates import DISTINCT_COUNTS
+from demandloom.operators.aggregates import DISTINCT_COUNTS, kept_rows
 from demandloom.operators.split import with_position
 from demandloom.session import materialize
 
 MEASURES = "measures"
-STATE_KEYS = (*KEYS, "kind", "block")
+STATE_KEYS = (*KEYS, "kind", "id")
 # Output names of the measures by how they come out of the state.
 SUMS = {
     "total_sales": "price", "total_freight": "freight_value", "total_payments": "payment_total", "review_count_sum": "review_count",
@@ -57,39 +57,42 @@ def with_numbers(items: DataFrame, numbers: Mapping[str, DataFrame]) -> DataFram
     return items
 
 
+#: Shares that the ids of a month are dealt in, each of which one task holds and writes.
+SHARES = 8
+
+
+def _distinct_ids(rows: DataFrame) -> DataFrame:
+    """Distinct ids, shuffled by share of a month: else each task of a growing input would write a file of each month."""
+    dealt = rows.select(*STATE_KEYS, F.pmod(F.xxhash64("id"), F.lit(SHARES)).alias("_share"))
+    return dealt.repartition(MONTH, "_share").distinct().drop("_share")
+
+
 def state_of(items: DataFrame) -> DataFrame:
-    """The state of joined item rows (``orders.build_item_grain``), from one aggregation.
+    """The state of joined item rows (``orders.build_item_grain``): the measures, and the distinct ids.
 
-    Each row counts once for the measures and once for every id, as the row of
-    the block of numbers that the id is in. Ids have to be whole numbers (see ``number_ids``).
+    The item rows are stored once, since the measures and the ids are two aggregations
+    (in one, every wide row would be sorted once per id). Ids have to be whole numbers (see ``number_ids``).
     """
     wrong = [c for c in DISTINCT_COUNTS.values() if not isinstance(items.schema[c].dataType, T.IntegralType)]
     if wrong:
         raise TypeError(f"ids must be numbered first: {wrong}")
-    keyed = items.where(F.col(MONTH).isNotNull() & F.col(CATEGORY).isNotNull())
-    entries = [F.struct(F.lit(MEASURES).alias("kind"), F.lit(-1).cast("long").alias("block"), F.lit(None).cast("long").alias("bit"))]
-    for name, c in DISTINCT_COUNTS.items():
-        number = F.col(c).cast("long")
-        entries.append(F.struct(
-            F.lit(name).alias("kind"), F.bitmap_bucket_number(number).alias("block"), F.bitmap_bit_position(number).alias("bit"),
-        ))
-    read = dict.fromkeys(["product_id", *SUMS.values(), *MEANS.values()])
-    # rows of an id carry no measures
-    rows = keyed.select(*KEYS, *read, F.explode(F.array(*entries)).alias("_entry")).select(*KEYS, "_entry.*", *read)
-    rows = rows.where((F.col("kind") == MEASURES) | F.col("bit").isNotNull())
-    of_measures = F.col("kind") == MEASURES
-
-    def value(c: str) -> Column:
-        return F.when(of_measures, F.col(c))
-
-    parts = [F.count(value("product_id")).alias("demand")]
-    parts += [F.count(value(c)).alias(f"n_{c}") for c in dict.fromkeys(MEANS.values())]
-    parts += [F.sum(value(c)).alias(f"sum_{c}") for c in dict.fromkeys([*SUMS.values(), *MEANS.values()])]
+    read = dict.fromkeys([*KEYS, "product_id", *SUMS.values(), *MEANS.values(), *DISTINCT_COUNTS.values()])
+    keyed = kept_rows(items.where(F.col(MONTH).isNotNull() & F.col(CATEGORY).isNotNull()).select(*read))
+
+    parts = [F.count("product_id").alias("demand")]
+    parts += [F.count(c).alias(f"n_{c}") for c in dict.fromkeys(MEANS.values())]
+    parts += [F.sum(c).alias(f"sum_{c}") for c in dict.fromkeys([*SUMS.values(), *MEANS.values()])]
     for c in DEVIATIONS.values():
-        parts += [F.avg(value(c)).alias(f"mean_{c}"), (F.var_pop(value(c)) * F.count(value(c))).alias(f"m2_{c}")]
+        parts += [F.avg(c).alias(f"mean_{c}"), (F.var_pop(c) * F.count(c)).alias(f"m2_{c}")]
     for c in RANGES:
-        parts += [F.min(value(c)).alias(f"min_{c}"), F.max(value(c)).alias(f"max_{c}")]
-    return rows.groupBy(*STATE_KEYS).agg(*parts, F.bitmap_construct_agg("bit").alias("bitmap"))
+        parts += [F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}")]
+    measures = keyed.groupBy(*KEYS).agg(*parts).withColumns({"kind": F.lit(MEASURES), "id": F.lit(None).cast("long")})
+
+    entries = [F.struct(F.lit(name).alias("kind"), F.col(c).cast("long").alias("id")) for name, c in DISTINCT_COUNTS.items()]
+    ids = keyed.select(*KEYS, F.explode(F.array(*entries)).alias("_entry")).select(*KEYS, "_entry.*")
+    ids = _distinct_ids(ids.where(F.col("id").isNotNull()))
+    values = [c for c in measures.columns if c not in STATE_KEYS]
+    return measures.select(*STATE_KEYS, *values).unionByName(ids, allowMissingColumns=True)
 
 
 def _pooled(c: str) -> Column:
@@ -109,31 +112,33 @@ def _pooled(c: str) -> Column:
     return F.aggregate(F.array_sort(states), none, add)
 
 
+def _is_measure() -> Column:
+    return F.col("kind") == MEASURES
+
+
 def merge(states: Sequence[DataFrame]) -> DataFrame:
-    """One state for several; a group has as many rows as there are states."""
+    """One state for several; a group has as many rows of measures as there are states."""
     rows = states[0]
     for other in states[1:]:
         rows = rows.unionByName(other)
     pooled = {f"_{c}": _pooled(c) for c in DEVIATIONS.values()}
-    merged = rows.groupBy(*STATE_KEYS).agg(
+    merged = rows.where(_is_measure()).groupBy(*STATE_KEYS).agg(
         *[F.sum(c).alias(c) for c in rows.columns if c == "demand" or c.startswith(("n_", "sum_"))],
         *[F.min(f"min_{c}").alias(f"min_{c}") for c in RANGES],
         *[F.max(f"max_{c}").alias(f"max_{c}") for c in RANGES],
         *[value.alias(name) for name, value in pooled.items()],
-        F.bitmap_or_agg("bitmap").alias("bitmap"),
     )
     spread = {f"{part}_{c}": F.col(f"_{c}")[part] for c in DEVIATIONS.values() for part in ("mean", "m2")}
-    return merged.withColumns(spread).select(*rows.columns)
+    ids = _distinct_ids(rows.where(~_is_measure()))
+    return merged.withColumns(spread).select(*rows.columns).unionByName(ids, allowMissingColumns=True)
 
 
 def finish(state: DataFrame) -> DataFrame:
-    """The table of ``aggregates.monthly_category_aggregate``, by one narrow aggregation of the state."""
-    measures = [c for c in state.columns if c not in (*STATE_KEYS, "bitmap")]
-    whole = F.max(F.when(F.col("kind") == MEASURES, F.struct(*measures)))
-    counts = [
-        F.coalesce(F.sum(F.when(F.col("kind") == name, F.bitmap_count("bitmap"))), F.lit(0)).alias(name) for name in DISTINCT_COUNTS
-    ]
-    rows = state.groupBy(*KEYS).agg(whole.alias("_m"), *counts)
+    """The table of ``aggregates.monthly_category_aggregate``: the row of measures and the number of ids of each kind."""
+    measures = [c for c in state.columns if c not in STATE_KEYS]
+    whole = state.where(_is_measure()).select(*KEYS, F.struct(*measures).alias("_m"))
+    counts = state.where(~_is_measure()).groupBy(*KEYS).agg(*[F.count_if(F.col("kind") == n).alias(n) for n in DISTINCT_COUNTS])
+    rows = whole.join(counts, list(KEYS), "left").fillna(0, subset=list(DISTINCT_COUNTS))
     m = F.col("_m")
     spread = {
         name: F.when(m[f"n_{c}"] > 1, F.sqrt(m[f"m2_{c}"] / (m[f"n_{c}"] - 1))) for name, c in DEVIATIONS.items()
@@ -168,8 +173,12 @@ def update_state(spark: SparkSession, path: str, new: DataFrame) -> DataFrame:
 
     Only the folders of those months are read and written; the driver holds their names.
     """
-    new = materialize(new, "new-state")
-    months = [r[0] for r in new.select(MONTH).distinct().collect()]
+    return merge_stored(spark, path, materialize(new, "new-state"))
+
+
+def merge_stored(spark: SparkSession, path: str, new: DataFrame) -> DataFrame:
+    """``update_state`` for a state of new orders that is stored already."""
+    months = [r[0] for r in new.where(_is_measure()).select(MONTH).distinct().collect()]
     old = read_state(spark, path, months)
     merged = materialize(merge([old, new.select(*old.columns)]), "merged-state")
     write_state(merged, path)

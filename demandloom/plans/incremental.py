@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from demandloom.config import CATEGORY, DEFAULT_CONFIG, KEYS, FeatureConfig
 from demandloom.operators.final import final_clean
-from demandloom.operators.monthly_state import finish, update_state, write_state
+from demandloom.operators.monthly_state import finish, merge_stored, write_state
 from demandloom.plans.features import features_from_monthly
 from demandloom.session import materialize
 
@@ -66,6 +66,6 @@ def update_months(spark: SparkSession, root: str, rows: DataFrame, cfg: FeatureC
 def update_orders(spark: SparkSession, root: str, new_state: DataFrame, cfg: FeatureConfig = DEFAULT_CONFIG) -> list[str]:
     """Merge the state of new orders (``monthly_state.state_of``) and bring all three tables up to date."""
     touched = materialize(new_state, "touched")
-    merged = update_state(spark, f"{root}/state", touched)
+    merged = merge_stored(spark, f"{root}/state", touched)
     finished = finish(merged.join(touched.select(*KEYS).distinct(), list(KEYS), "left_semi"))
     return update_months(spark, root, finished, cfg)

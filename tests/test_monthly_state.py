@@ -106,3 +106,13 @@ def test_incremental_features_equal_a_rebuild(spark, items, tmp_path):
     plan = incremental.read_by_category(spark, f"{root}/features", some)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and some[0] in plan
     assert incremental.read_by_category(spark, f"{root}/monthly").select(*KEYS).distinct().count() == items.select(*KEYS).distinct().count()
+
+
+def test_far_apart_ids_cost_a_narrow_row_each(spark, items):
+    """No block of mostly empty bits per id, and no more files of a month than shares when more tasks write."""
+    far = items.withColumns({c: F.col(c) * 1_000_003 for c in aggregates.DISTINCT_COUNTS.values()})
+    state = monthly_state.state_of(far)
+    assert all(t not in ("binary", "array") for _, t in state.dtypes)
+    close(monthly_state.finish(state), aggregates.monthly_category_aggregate(items))
+    plan = monthly_state.state_of(items)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
