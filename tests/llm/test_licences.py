@@ -222,3 +222,43 @@ def test_sql_knows_wrapped_and_commented_sentences(spark, tmp_path):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/d.parquet/*.parquet')")
     assert compare(licences.scan(table).drop("text"), con, licences.oracle()) is None
+
+
+def test_names_are_sought_once_a_word(spark):
+    """The quick patterns replace the same matches, next to each other and inside words too."""
+    import re
+    import time
+
+    from pyspark.sql import functions as F
+
+    free = "is free software: you can redistribute"
+    texts = [
+        f"Foo Bar {free}", f"a b c d e f {free}", f"x\n {free}", f"two\n\n {free}", f"-x_y+z  4\t{free}s {free} it {free}",
+        f"{free}{free}", f"foo {free}d {free}", f"THE Foo IS FREE SOFTWARE; YOU CAN REDISTRIBUTE", f"é{free} éx {free}",
+        "this foo bar baz is distributed in the hope", "bathe a-b is distributed in the hope", "the is distributed in the hope", "",
+    ]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    for pattern, by in licences.REWRITES:
+        quick, plain = (F.regexp_replace("text", p, by) for p in (licences._by_words(pattern), pattern))
+        assert [r for r in rows.select("text", quick.alias("q"), plain.alias("p")).collect() if r.q != r.p] == []
+        assert len(licences._by_words(pattern)) > len(pattern) or not re.search(r"\[a-z0-9_\+-\]\+", pattern)
+
+    long = spark.createDataFrame([(" ".join(["considerations"] * 40_000),)], "text string")
+
+    def seconds(column):
+        begun = time.perf_counter()
+        long.select(F.length(column)).collect()
+        return time.perf_counter() - begun
+
+    plain = F.col("text")
+    for pattern, by in licences.REWRITES:
+        plain = F.regexp_replace(plain, pattern, by)
+    assert min(seconds(licences._rewritten(F.col("text"))) for _ in range(2)) < 0.7 * min(seconds(plain) for _ in range(2))
+
+
+def test_only_ascii_letters_and_digits_are_kept(spark):
+    text = "".join(map(chr, [*range(1, 0xD800), *range(0xE000, 0x11000)]))
+    kept = spark.createDataFrame([(text,)], "text string").selectExpr(f"regexp_replace(text, r'{licences.OTHERS}', '')").first()[0]
+    assert kept == "\n0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    odd = spark.createDataFrame([("KELVIN İs ÀB",)], "text string")
+    assert odd.select(licences._normalised(odd.text)).first()[0].strip() == "elvin s b"
