@@ -8,6 +8,7 @@ import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from demandloom.llm import alignment, registry
@@ -215,3 +216,29 @@ def test_no_piece_of_b_crosses_a_word_start(both):
     _, b = both
     pieces = [b.id_to_piece(i) for i in range(b.get_piece_size())]
     assert not [p for p in pieces if "▁" in p.lstrip("▁")]
+
+
+def test_a_task_has_one_python_worker(spark):
+    """Python steps are parted by shuffles: two in a row would keep two workers, each with its remembered pieces."""
+    docs = spark.createDataFrame([(1, "a b"), (2, "some more words " * 40_000)], "doc_id long, text string")
+    plan = alignment.align(docs, registry.BYTE_BPE, registry.PIECE_BPE)._jdf.queryExecution().executedPlan().toString()
+    inside, steps = False, 0
+    for line in plan.splitlines():
+        if "Exchange" in line or "Union" in line or "Scan" in line:
+            inside = False
+        elif "InArrow" in line or "InPandas" in line:
+            assert not inside, plan
+            inside, steps = True, steps + 1
+    assert steps >= 4
+
+
+def test_numbers_of_blocks_in_a_task_and_in_all(spark):
+    """Rows of long texts are dealt to blocks as those of short ones are, and no two tasks share a block."""
+    docs = spark.createDataFrame([(i, f"word{i} some more words " * (2_000 + i if i < 30 else 1)) for i in range(40)], "doc_id long, text string")
+    found = alignment.align(docs.repartition(8), registry.BYTE_BPE, registry.PIECE_BPE)
+    rows = found.select("doc_id", "block", F.spark_partition_id().alias("task")).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(40))
+    tasks = {}
+    for r in rows:
+        assert tasks.setdefault(r.block, r.task) == r.task
+    assert len(set(tasks.values())) == len(tasks) > 1
