@@ -65,10 +65,16 @@ class _Model:
         counted = np.concatenate([[0], np.cumsum(self.frequency)])
         # one part for every id, the others by count
         ends = counted * ((1 << self.bits) - self.vocabulary) // total + np.arange(self.vocabulary + 1)
-        self.ends = ends.astype(np.int32)
+        self.places = None
         self.below = ends.astype(np.uint64)
         self.weight = np.diff(ends).astype(np.uint64)
 
+    def symbols(self) -> np.ndarray:
+        """The id at each place of the order-0 part; the decoder asks for it, once a sum."""
+        if self.places is None:
+            self.places = np.repeat(np.arange(self.vocabulary, dtype=np.int32), self.weight.astype(np.int64))
+        return self.places
+
     def _mix(self) -> None:
         """The ends of the shares of order 2 and order 1, and the unit of order 0, for each state of the confidences."""
         shares = self.outcomes / self.outcomes.sum(axis=1, keepdims=True) * (SHARES - 3)
@@ -228,7 +234,7 @@ def decode_block(block: bytes) -> np.ndarray:
         bases, units = end12.take(rest), part0.take(rest)
         # whole numbers below 2**32, whose quotient a double rounds down right
         inside = ((found.take(rest) - bases).astype(np.float64) / units.astype(np.float64)).astype(np.int32)
-        symbols = np.searchsorted(model.ends, inside, side="right") - 1
+        symbols = model.symbols().take(inside)
         y[rest] = symbols
         start, width = np.where(by2, np.uint64(0), end2), np.where(by2, end2, end12 - end2)
         start[rest] = bases + units * model.below.take(symbols)

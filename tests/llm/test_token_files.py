@@ -80,3 +80,34 @@ def test_empty_table(spark):
     folder = scratch_path(spark, "files")
     token_files.write(no_documents(spark), folder, registry.BYTE_BPE)
     assert token_files.read(spark, folder).count() == 0
+
+
+def test_a_batch_is_looked_up_at_once_and_cut_into_blocks(monkeypatch):
+    """Blocks are cut after about 4 MB of text as before, however much text is looked up together."""
+    import pyarrow as pa
+    from pyspark import TaskContext
+
+    monkeypatch.setattr(TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda self: 3})())
+    calls, encode = [], token_files._Remembering.encode
+    monkeypatch.setattr(token_files._Remembering, "encode", lambda self, texts: calls.append(len(texts)) or encode(self, texts))
+    texts = ["some words of a text " * 10_000, None, "", "a b c"] * 60
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], ["doc_id", "text"])
+    blocks = list(token_files._blocks(registry.BYTE_BPE, 2, 60_000)(iter([batch])))
+    assert calls == [len(texts)]  # about 13 MB
+    assert [i for b in blocks for i in b.column("doc_ids")[0].as_py()] == list(range(len(texts)))
+    for b in blocks:
+        ids, sizes = idcoder.decode_block(b.column("payload")[0].as_py()), b.column("lengths")[0].as_py()
+        assert len(ids) == sum(sizes) == b.column("n_ids")[0].as_py()
+        assert all(ids[np.cumsum(sizes) - 1] == 2)
+        assert b is blocks[-1] or 60_000 <= len(ids) < 1_500_000
+    assert [b.column("block")[0].as_py() for b in blocks] == list(range(len(blocks))) and len(blocks) == 4
+
+
+def test_decoding_knows_the_id_at_each_place():
+    made = idcoder._Model(300)
+    made.pending = [np.arange(0, 300, 7)] * 5
+    made._sum()
+    ends = np.concatenate([[0], np.cumsum(made.weight.astype(np.int64))])
+    places = np.arange(1 << made.bits)
+    assert (made.symbols() == np.searchsorted(ends, places, side="right") - 1).all()
+    assert ends[-1] == 1 << made.bits and (made.below.astype(np.int64) == ends).all()
