@@ -16,18 +16,20 @@ def _smallest_neighbour(pairs: DataFrame) -> DataFrame:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Hang every larger neighbour of a node on the node's smallest neighbour."""
-    both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    both = edges.select(F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
     met = join_by_key(both, _smallest_neighbour(both), "u")
     return met.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    """Hang every smaller neighbour of a node, and the node, on the smallest of them."""
+    """Hang every smaller neighbour of a node, and the node, on the smallest of them.
+
+    The row of the smallest neighbour itself, which every node has, gives the node's own edge,
+    so that the plan reads the edges twice only.
+    """
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v")
-    smallest = _smallest_neighbour(down)
-    met = join_by_key(down, smallest, "u")
-    hung = met.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return hung.union(smallest.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+    met = join_by_key(down, _smallest_neighbour(down), "u")
+    return met.select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:

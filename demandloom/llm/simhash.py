@@ -204,8 +204,9 @@ def _clustered(prints: DataFrame, radius: int, tree_size: int = TREE_SIZE) -> Da
     """Add ``root`` and ``component_id`` to stored rows with ``doc_id`` and ``fp``."""
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("smallest"))
     linked = components(links(distinct.select("fp"), radius, tree_size)).withColumnRenamed("node", "fp")
-    rooted = distinct.join(linked, "fp", "left").select(
-        "fp", "smallest", F.coalesce("component", "fp").alias("root")
+    # stored, since it is read twice: else the plan holds all steps before it twice, and the driver plans and compiles them
+    rooted = materialize(
+        distinct.join(linked, "fp", "left").select("fp", "smallest", F.coalesce("component", "fp").alias("root")), "rooted"
     )
     labels = rooted.groupBy("root").agg(F.min("smallest").alias("component_id"))
     named = join_by_key(rooted.select("fp", "root"), labels, "root")

@@ -4,7 +4,9 @@ import pytest
 import xxhash
 
 from demandloom.llm import simhash
-from demandloom.llm.components import components
+from demandloom.llm.components import _large_star, _small_star, components
+from demandloom.llm.simhash import _clustered
+from demandloom.session import materialize
 from tests.llm.helpers import SCHEMA, as_set, no_documents, odd_documents, odd_rows
 
 
@@ -90,3 +92,20 @@ def test_empty_table_and_single_row(spark):
     one = spark.createDataFrame([(9, "a b c", "en", "s", 5)], SCHEMA)
     assert [r.component_id for r in simhash.cluster(one).collect()] == [9]
     assert simhash.drop_near_duplicates(no_documents(spark)).count() == 0
+
+
+def _tables_read(df):
+    """How often the plan of a query reads stored tables."""
+    return df._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
+
+
+def test_plans_stay_small_for_the_driver(spark):
+    """A round of star joins reads its edges four times, and labels come from fingerprints grouped once."""
+    edges = materialize(spark.createDataFrame([(1, 2), (2, 3), (2, 3), (9, 3), (7, 8)], "u long, v long"), "edges")
+    star = _small_star(_large_star(edges))
+    assert _tables_read(star) <= 4
+    assert {(r.u, r.v) for r in star.collect()} == {(2, 1), (3, 1), (9, 2), (8, 7)}
+    prints = materialize(spark.createDataFrame([(1, 0), (2, 1), (3, -1), (4, -1)], "doc_id long, fp long"), "prints")
+    found = _clustered(prints, 4)
+    assert _tables_read(found) <= 3
+    assert sorted((r.doc_id, r.root, r.component_id) for r in found.collect()) == [(1, 0, 1), (2, 0, 1), (3, -1, 3), (4, -1, 3)]
