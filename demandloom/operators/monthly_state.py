@@ -172,6 +172,7 @@ def update_state(spark: SparkSession, path: str, new: DataFrame) -> DataFrame:
     """Merge the state of new orders into the stored one, and return the merged rows of the months it touches.
 
     Only the folders of those months are read and written; the driver holds their names.
+    The merged rows are written once: a month's old folder is replaced when all of them are there.
     """
     return merge_stored(spark, path, materialize(new, "new-state"))
 
@@ -180,6 +181,5 @@ def merge_stored(spark: SparkSession, path: str, new: DataFrame) -> DataFrame:
     """``update_state`` for a state of new orders that is stored already."""
     months = [r[0] for r in new.where(_is_measure()).select(MONTH).distinct().collect()]
     old = read_state(spark, path, months)
-    merged = materialize(merge([old, new.select(*old.columns)]), "merged-state")
-    write_state(merged, path)
-    return merged
+    write_state(merge([old, new.select(*old.columns)]), path)
+    return read_state(spark, path, months)

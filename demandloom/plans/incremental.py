@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from demandloom.config import CATEGORY, DEFAULT_CONFIG, KEYS, FeatureConfig
 from demandloom.operators.final import final_clean
-from demandloom.operators.monthly_state import finish, merge_stored, write_state
+from demandloom.operators.monthly_state import MEASURES, finish, merge_stored, read_state, write_state
 from demandloom.plans.features import features_from_monthly
 from demandloom.session import materialize
 
@@ -36,9 +36,9 @@ def read_by_category(spark: SparkSession, path: str, categories: Sequence[str] |
 
 
 def start(state: DataFrame, root: str, cfg: FeatureConfig = DEFAULT_CONFIG) -> None:
-    """Store the state of the first orders, its monthly table and its features."""
+    """Store the state of the first orders, its monthly table and its features; both come from the stored state."""
     write_state(state, f"{root}/state")
-    start_monthly(finish(state), root, cfg)
+    start_monthly(finish(read_state(state.sparkSession, f"{root}/state")), root, cfg)
 
 
 def start_monthly(monthly: DataFrame, root: str, cfg: FeatureConfig = DEFAULT_CONFIG) -> None:
@@ -64,8 +64,11 @@ def update_months(spark: SparkSession, root: str, rows: DataFrame, cfg: FeatureC
 
 
 def update_orders(spark: SparkSession, root: str, new_state: DataFrame, cfg: FeatureConfig = DEFAULT_CONFIG) -> list[str]:
-    """Merge the state of new orders (``monthly_state.state_of``) and bring all three tables up to date."""
+    """Merge the state of new orders (``monthly_state.state_of``) and bring all three tables up to date.
+
+    The touched groups are sought among the finished rows, one a group, not among those of the ids.
+    """
     touched = materialize(new_state, "touched")
-    merged = merge_stored(spark, f"{root}/state", touched)
-    finished = finish(merged.join(touched.select(*KEYS).distinct(), list(KEYS), "left_semi"))
-    return update_months(spark, root, finished, cfg)
+    finished = finish(merge_stored(spark, f"{root}/state", touched))
+    groups = touched.where(F.col("kind") == MEASURES).select(*KEYS)
+    return update_months(spark, root, finished.join(groups, list(KEYS), "left_semi"), cfg)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from demandloom.config import CATEGORY, KEYS, MONTH
 from demandloom.operators import aggregates, cleaning, monthly_state, orders
 from demandloom.plans import features, incremental
+from demandloom.registry import queries
 from demandloom.session import materialize
 from demandloom.sources import views
 
@@ -116,3 +117,50 @@ def test_far_apart_ids_cost_a_narrow_row_each(spark, items):
     close(monthly_state.finish(state), aggregates.monthly_category_aggregate(items))
     plan = monthly_state.state_of(items)._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+
+
+@pytest.fixture(scope="module")
+def own_tables(spark, tmp_path_factory):
+    """Tables of 40 orders in two years, some with the same key, of two items each."""
+    root = str(tmp_path_factory.mktemp("own"))
+    day = F.expr("TIMESTAMP_NTZ'2020-01-05 00:00:00'") + F.make_dt_interval(days=(F.col("id") * 17).cast("int"))
+    ids = spark.range(1, 41)
+    rows = ids.union(ids.where("id % 10 = 3"))
+    rows.select(
+        F.col("id").alias("o_orderkey"), (F.col("id") % 7).alias("o_custkey"), F.lit("F").alias("o_orderstatus"),
+        F.lit(10.0).alias("o_totalprice"), day.alias("o_orderdate"),
+    ).write.parquet(f"{root}/orders.parquet")
+    rows.select("id", F.explode(F.array(F.lit(1), F.lit(2))).alias("line")).select(
+        F.col("id").alias("l_orderkey"), ((F.col("id") + F.col("line")) % 4).alias("l_partkey"), (F.col("id") % 3).alias("l_suppkey"),
+        F.col("line").alias("l_linenumber"), (F.col("id") + 0.5).alias("l_extendedprice"), F.lit(0.1).alias("l_tax"),
+    ).write.parquet(f"{root}/lineitem.parquet")
+    spark.range(4).select(
+        F.col("id").alias("p_partkey"), F.lit("b").alias("p_brand"), F.concat(F.lit("t"), F.col("id") % 2).alias("p_type"),
+        F.lit(3).alias("p_size"),
+    ).write.parquet(f"{root}/part.parquet")
+    return root
+
+
+def test_batches_hold_their_own_orders_only(spark, own_tables, monkeypatch):
+    """Items, payments and reviews of an order are cleaned and joined in the batch of the order, not in both."""
+    seen, clean = [], cleaning.clean_all
+    monkeypatch.setattr(queries.cleaning, "clean_all", lambda batch: seen.append(batch) or clean(batch))
+    states = queries._order_batches(spark, own_tables)
+    whole = views.source_views(spark, own_tables)
+    for name in ("orders", "items", "payments", "reviews"):
+        assert sum(batch[name].count() for batch in seen) == whole[name].count() > 0
+    close(monthly_state.finish(monthly_state.merge(states)), aggregates.monthly_category_aggregate(orders.build_item_grain(clean(whole))))
+
+
+def test_finished_rows_come_from_the_stored_state(spark, own_tables, tmp_path, monkeypatch):
+    """The state is neither worked out a second time to be finished, nor stored twice, nor are its ids joined."""
+    root, read, stored, finish = str(tmp_path / "tables"), [], [], monthly_state.finish
+    monkeypatch.setattr(incremental, "finish", lambda state: read.append(state) or stored.append(all(f"{root}/state/" in f for f in state.inputFiles())) or finish(state))
+    first, second = queries._order_batches(spark, own_tables)
+    incremental.start(first, root)
+    incremental.update_orders(spark, root, second)
+    for state in read:
+        assert "Join" not in state._jdf.queryExecution().optimizedPlan().toString()
+    assert stored == [True, True]
+    whole = orders.build_item_grain(cleaning.clean_all(views.source_views(spark, own_tables)))
+    close(incremental.read_by_category(spark, f"{root}/monthly"), aggregates.monthly_category_aggregate(whole))
