@@ -132,11 +132,15 @@ def item_grain(items: DataFrame, products: DataFrame, orders: DataFrame, payment
 
     Rows without month or category are dropped, which makes both joins inner.
     Nulls are filled on the order side, before its values fan out to the items.
+    The orders come first: they drop the items of undelivered orders before products are looked up.
     """
     catalogued = products.select("product_id", CATEGORY).filter(F.col(CATEGORY).isNotNull())
     dated = order_level(orders, payments, reviews).filter(F.col("order_month").isNotNull())
-    sold = join_by_key(items, catalogued, "product_id", "inner")
-    return join_by_key(sold, dated, "order_id", "inner")
+    sold = join_by_key(items, dated, "order_id", "inner")
+    joined = join_by_key(sold, catalogued, "product_id", "inner")
+    keys = ("order_id", "product_id")
+    of_item = [c for c in items.columns if c not in keys]
+    return joined.select(*keys, *of_item, CATEGORY, *[c for c in dated.columns if c not in keys])
 
 
 def build_item_grain(clean: dict[str, DataFrame]) -> DataFrame:
